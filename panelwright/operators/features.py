@@ -17,7 +17,8 @@ def fill_constant(df: DataFrame, **values: object) -> DataFrame:
 def fill_mean(df: DataFrame, *columns: str) -> DataFrame:
     """NULLs of each column replaced by its mean over all rows (one scalar subquery, no join)."""
     means = df.agg(F.struct(*[F.avg(quoted(c)).alias(c) for c in columns])).scalar()
-    return df.withColumns({c: F.coalesce(F.col(quoted(c)), means[c]) for c in columns})
+    filled = {c: F.coalesce(F.col(quoted(c)), F.col("_means")[c]) for c in columns}
+    return df.withColumn("_means", means).withColumns(filled).drop("_means")
 
 
 def one_hot(df: DataFrame, column: str, prefix: str, levels: Sequence[str] | None = None, limit: int = 1000) -> DataFrame:
@@ -77,12 +78,15 @@ def min_max(df: DataFrame, columns: Sequence[str], fit_on: DataFrame | None = No
     ])).scalar()
 
     def scaled(i: int, c: str) -> Column:
-        lo = ranges[f"c{i}"]["lo"].cast("double")
-        width = ranges[f"c{i}"]["hi"].cast("double") - lo
+        found = F.col("_ranges")[f"c{i}"]
+        lo = found["lo"].cast("double")
+        width = found["hi"].cast("double") - lo
         # a NULL stays NULL, also in a constant column
         return (F.col(quoted(c)) - lo) / F.when(width == 0, F.lit(1.0)).otherwise(width)
 
-    return df.withColumns({c: scaled(i, c) for i, c in enumerate(columns)})
+    # one column holds all ranges, so the subquery is planned and run once
+    with_ranges = df.withColumn("_ranges", ranges)
+    return with_ranges.withColumns({c: scaled(i, c) for i, c in enumerate(columns)}).drop("_ranges")
 
 
 def time_split(df: DataFrame, period: str, cut: str) -> tuple[DataFrame, DataFrame]:

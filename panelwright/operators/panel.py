@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from panelwright.functions.dates import is_month, year_of
 from panelwright.functions.numbers import monthly_share
-from panelwright.operators.reshape import all_not_null, quoted
+from panelwright.operators.reshape import all_not_null, quoted, with_tags
 
 
 @dataclass(frozen=True)
@@ -22,7 +22,9 @@ class Feature:
     that hold amounts per year, of which a month gets a twelfth.  ``duplicates``
     says what several rows of one key mean: ``raise`` fails the query, ``mean``
     averages them (text columns take their smallest value), ``unique`` trusts
-    that the source was grouped by the key.
+    that the source was grouped by the key.  ``tags`` are constant columns,
+    NULL where the spine finds no row; kept out of the check on duplicates,
+    they leave it to a hash aggregation over numbers.
     """
 
     data: DataFrame
@@ -31,6 +33,7 @@ class Feature:
     by: str = "region"
     annual: Sequence[str] = field(default=())
     duplicates: str = "raise"
+    tags: Mapping[str, str] = field(default_factory=dict)
 
 
 def one_row_per_key(df: DataFrame, keys: Sequence[str], columns: Sequence[str], duplicates: str) -> DataFrame:
@@ -85,6 +88,8 @@ def build_panel(
         side = one_row_per_key(data, keys, f.columns, f.duplicates)
         if f.annual:
             side = side.withColumns({c: monthly_share(quoted(c)) for c in f.annual})
+        if f.tags:
+            side = with_tags(side, **f.tags)
         out = out.join(F.broadcast(side) if f.by == "national" else side, keys, "left")
-    names = [*spine.columns, *[c for f in features for c in f.columns]]
+    names = [*spine.columns, *[c for f in features for c in [*f.tags, *f.columns]]]
     return out.select(*[quoted(c) for c in names])

@@ -102,7 +102,8 @@ def simple_ridge(train: DataFrame, x: str, y: str, alpha: float) -> DataFrame:
 def predict_line(line: DataFrame, df: DataFrame, x: str, name: str = "prediction") -> DataFrame:
     """All rows with the value of a one-row line, taken in as a scalar subquery."""
     fitted = line.select(F.struct("slope", "intercept")).scalar()
-    return df.withColumn(name, fitted["intercept"] + fitted["slope"] * F.col(quoted(x)))
+    line_at = F.col("_line")["intercept"] + F.col("_line")["slope"] * F.col(quoted(x))
+    return df.withColumn("_line", fitted).withColumn(name, line_at).drop("_line")
 
 
 def regression_errors(df: DataFrame, target: str, prediction: str, by: Sequence[str] = ()) -> DataFrame:

@@ -8,7 +8,7 @@ averages, with an ``avg_`` prefix on the value columns.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -79,8 +79,41 @@ CPI_MEASURE = {
         "the Bank of Canada and excluding the effect of changes in indirect taxes, seasonally adjusted"
     ),
 }
-CPI_UNIT = {"region": "Percent", "province": "2002=100"}
-FUEL_SCALAR = {"region": "units", "province": "units "}
+
+# Unit, scalar and statistic texts of the sources; those of housing and income come from the code sets.
+EXPENDITURE_TAGS = {
+    "uom_expenditure": "Dollars",
+    "scalar_expenditure": "unit",
+    "statistic_expenditure": "Average expenditure per household",
+}
+TOURISM_TAGS = {"uom_tourist": "Persons", "scalar_tourist": "unit"}
+LABOUR_TAGS = {
+    "uom_labourforce": "Persons",
+    "scalar_labourforce": "thousands",
+    "statistic_labourforce": "Both sexes, All age groups, Seasonally adjusted",
+    "uom_lfperc": "Percentage",
+    "scalar_lfperc": "unit",
+    "statistic_labourforceperc": "Both sexes, All age groups, Seasonally adjusted",
+}
+MIGRATION_TAGS = {"uom_imm": "Persons", "scalar_imm": "units"}
+IMMIGRANTS_TAGS = {"uom_imm2": "Persons", "scalar_imm2": "units"}
+
+
+def crime_tags(by: str) -> dict[str, str]:
+    return {
+        "uom_crime": "Number",
+        "scalar_crime": "unit",
+        "statistic_crime": f"Total of all violations-{CRIME_MEASURE[by]}",
+    }
+
+
+def cpi_tags(by: str) -> dict[str, str]:
+    return {"uom_cpi": "Percent" if by == "region" else "2002=100", "scalar_cpi": "unit"}
+
+
+def fuel_tags(by: str) -> dict[str, str]:
+    return {"uom_oil": "Cents per litre", "scalar_oil": "units" if by == "region" else "units "}
+
 
 
 def avg_name(name: str) -> str:
@@ -155,12 +188,7 @@ def expenditure(long: DataFrame, by: str = "region") -> DataFrame:
     wide = pivot_mean(long, _keys(by), "Household expenditures, summary-level categories", names)
     if by == "province":
         wide = province_mean(wide, F.col("GEO"), list(names.values()))
-    return with_tags(
-        wide,
-        uom_expenditure="Dollars",
-        scalar_expenditure="unit",
-        statistic_expenditure="Average expenditure per household",
-    )
+    return with_tags(wide, **EXPENDITURE_TAGS)
 
 
 def tourism(long: DataFrame, by: str = "region") -> DataFrame:
@@ -168,7 +196,7 @@ def tourism(long: DataFrame, by: str = "region") -> DataFrame:
     wide = pivot_mean(long, _keys(by), "Traveller characteristics", TOURISM)
     if by == "province":
         wide = province_mean(wide, after_last_comma("GEO"), list(TOURISM.values()))
-    return with_tags(wide, uom_tourist="Persons", scalar_tourist="unit")
+    return with_tags(wide, **TOURISM_TAGS)
 
 
 def labour(long: DataFrame, by: str = "region", age_group: str | None = None) -> DataFrame:
@@ -180,16 +208,10 @@ def labour(long: DataFrame, by: str = "region", age_group: str | None = None) ->
     wide = pivot_mean(kept, _keys(by), "Labour force characteristics", names)
     if by == "province":
         wide = province_mean(wide, F.col("GEO"), list(names.values()))
-    statistic = f"Both sexes, {age_group or 'All age groups'}, Seasonally adjusted"
-    return with_tags(
-        wide,
-        uom_labourforce="Persons",
-        scalar_labourforce="thousands",
-        statistic_labourforce=statistic,
-        uom_lfperc="Percentage",
-        scalar_lfperc="unit",
-        statistic_labourforceperc=statistic,
-    )
+    tags = LABOUR_TAGS
+    if age_group is not None:
+        tags = {k: v.replace("All age groups", age_group) for k, v in tags.items()}
+    return with_tags(wide, **tags)
 
 
 def crime(long: DataFrame, by: str = "region") -> DataFrame:
@@ -201,12 +223,7 @@ def crime(long: DataFrame, by: str = "region") -> DataFrame:
     else:
         named = kept.withColumnRenamed("VALUE", "crime_incidents")
         out = province_mean(named, strip_code(after_last_comma("GEO")), ["crime_incidents"])
-    return with_tags(
-        out,
-        uom_crime="Number",
-        scalar_crime="unit",
-        statistic_crime=f"Total of all violations-{CRIME_MEASURE[by]}",
-    )
+    return with_tags(out, **crime_tags(by))
 
 
 def cpi(long: DataFrame, by: str = "region") -> DataFrame:
@@ -215,7 +232,7 @@ def cpi(long: DataFrame, by: str = "region") -> DataFrame:
     wide = pivot_mean(long, LABEL_KEYS, "Alternative measures", {CPI_MEASURE[by]: "cpi_index"})
     if by == "province":
         wide = province_mean(wide, F.col("GEO"), ["cpi_index"])
-    return with_tags(wide, uom_cpi=CPI_UNIT[by], scalar_cpi="unit")
+    return with_tags(wide, **cpi_tags(by))
 
 
 def fuel(long: DataFrame, housing_long: DataFrame | None = None, by: str = "region", keep_duplicates: bool = False) -> DataFrame:
@@ -225,13 +242,13 @@ def fuel(long: DataFrame, housing_long: DataFrame | None = None, by: str = "regi
     label = province_of("GEO")
     if by == "province":
         means = province_mean(wide, label, prices)
-        return with_tags(means, uom_oil="Cents per litre", scalar_oil=FUEL_SCALAR[by])
+        return with_tags(means, **fuel_tags(by))
     if housing_long is None:
         raise ValueError("the ids of provinces come from the housing table")
     means = wide.groupBy(label.alias("GEO"), "REF_DATE").agg(*[F.avg(c).alias(c) for c in prices])
     averages = name_to_id(means, region_ids(housing_long))
     both = detail_and_average(wide, averages, ["DGUID", "REF_DATE"], keep_duplicates)
-    return with_tags(both, uom_oil="Cents per litre", scalar_oil=FUEL_SCALAR[by])
+    return with_tags(both, **fuel_tags(by))
 
 
 def migration(long: DataFrame, by: str = "region") -> DataFrame:
@@ -239,7 +256,7 @@ def migration(long: DataFrame, by: str = "region") -> DataFrame:
     wide = pivot_mean(long, _keys(by), "Interprovincial migration", MIGRATION)
     if by == "province":
         wide = province_mean(wide, F.col("GEO"), list(MIGRATION.values()))
-    return with_tags(wide, uom_imm="Persons", scalar_imm="units")
+    return with_tags(wide, **MIGRATION_TAGS)
 
 
 def immigrants(long: DataFrame, by: str = "region") -> DataFrame:
@@ -247,7 +264,7 @@ def immigrants(long: DataFrame, by: str = "region") -> DataFrame:
     wide = pivot_mean(long, _keys(by), "Components of population growth", IMMIGRANTS)
     if by == "province":
         wide = province_mean(wide, F.col("GEO"), list(IMMIGRANTS.values()))
-    return with_tags(wide, uom_imm2="Persons", scalar_imm2="units")
+    return with_tags(wide, **IMMIGRANTS_TAGS)
 
 
 def rates(daily: DataFrame, by: str = "region") -> DataFrame:

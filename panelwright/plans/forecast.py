@@ -59,10 +59,10 @@ def prepare(
     """
     kept = keep_in(panel, region, regions) if regions is not None else panel
     dated = keep_not_null(kept, target).withColumn("REF_DATE_INT", month_number(period))
-    filled = impute_regression(dated, region, "REF_DATE_INT", columns)
-    coded = one_hot(filled, label, "Province", levels)
+    coded = one_hot(dated, label, "Province", levels)
+    filled = impute_regression(coded, region, "REF_DATE_INT", columns)
     features = [*columns, "REF_DATE_INT", *[c for c in coded.columns if c.startswith("Province_")]]
-    return min_max(coded, features), features
+    return min_max(filled, features), features
 
 
 def _fitted(

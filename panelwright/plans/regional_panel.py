@@ -12,12 +12,6 @@ from panelwright.operators.reshape import quoted
 from panelwright.plans import datasets as d
 from panelwright.sources.schemas import PANEL_COLUMNS, RATE_VALUES
 
-_LABOUR_TAGS = [
-    "uom_labourforce", "scalar_labourforce", "statistic_labourforce",
-    "uom_lfperc", "scalar_lfperc", "statistic_labourforceperc",
-]
-
-
 def load_all(tables: Mapping[str, DataFrame], by: str = "region") -> dict[str, DataFrame]:
     """All feature tables from the scanned ones.
 
@@ -65,22 +59,20 @@ def regional_panel(parts: Mapping[str, DataFrame], by: str = "region", duplicate
 
     spending = values(d.EXPENDITURE.values())
     moves = values(d.MIGRATION.values())
-    # the migration tables both hold a unit of persons, of which the panel keeps the first
     arrivals = parts["immigrants"].withColumnRenamed(name("immigrants"), "_arrivals")
     features = [
         Feature(parts["income"], ["uom_income", "scalar_income", "statistic_income", *values(["income"])],
                 grain="year", annual=values(["income"]), duplicates=duplicates),
-        Feature(parts["expenditure"],
-                ["uom_expenditure", "scalar_expenditure", "statistic_expenditure", *spending],
-                grain="year", annual=spending, duplicates=duplicates),
-        Feature(parts["tourism"], ["uom_tourist", "scalar_tourist", *values(d.TOURISM.values())], duplicates=duplicates),
-        Feature(parts["labour"], [*_LABOUR_TAGS, *values([*d.LABOUR_COUNTS.values(), *d.LABOUR_RATES.values()])],
-                duplicates=duplicates),
-        Feature(parts["crime"], ["uom_crime", "scalar_crime", "statistic_crime", *values(["crime_incidents"])],
-                grain="year", annual=values(["crime_incidents"]), duplicates=duplicates),
-        Feature(parts["cpi"], ["uom_cpi", "scalar_cpi", *values(["cpi_index"])], by="national", duplicates="mean"),
-        Feature(parts["fuel"], ["uom_oil", "scalar_oil", *values(d.FUEL.values())], duplicates=duplicates),
-        Feature(parts["migration"], ["uom_imm", "scalar_imm", *moves], duplicates=duplicates),
+        Feature(parts["expenditure"], spending, grain="year", annual=spending, duplicates=duplicates,
+                tags=d.EXPENDITURE_TAGS),
+        Feature(parts["tourism"], values(d.TOURISM.values()), duplicates=duplicates, tags=d.TOURISM_TAGS),
+        Feature(parts["labour"], values([*d.LABOUR_COUNTS.values(), *d.LABOUR_RATES.values()]),
+                duplicates=duplicates, tags=d.LABOUR_TAGS),
+        Feature(parts["crime"], values(["crime_incidents"]), grain="year", annual=values(["crime_incidents"]),
+                duplicates=duplicates, tags=d.crime_tags(by)),
+        Feature(parts["cpi"], values(["cpi_index"]), by="national", duplicates="mean", tags=d.cpi_tags(by)),
+        Feature(parts["fuel"], values(d.FUEL.values()), duplicates=duplicates, tags=d.fuel_tags(by)),
+        Feature(parts["migration"], moves, duplicates=duplicates, tags=d.MIGRATION_TAGS),
         Feature(arrivals, ["_arrivals"], duplicates=duplicates),
         Feature(parts["rates"], values(RATE_VALUES), by="national", duplicates="unique"),
         Feature(parts["weather"], d.WEATHER, duplicates=duplicates),

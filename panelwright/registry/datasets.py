@@ -16,22 +16,30 @@ from pyspark.sql import functions as F
 from panelwright.functions.labels import region_of_file
 from panelwright.plans import datasets as d
 from panelwright.plans.regional_panel import load_all, panel_columns, regional_panel
-from panelwright.registry.support import derived, plain, r, tidy
+from panelwright.registry.support import plain, r, read, tidy
+from panelwright.session import checkpointed
 from panelwright.sources.schemas import RATE_VALUES
 
-_MONTH = "substr(cast(o_orderdate AS STRING), 1, 7)"
-_YEAR = "substr(cast(o_orderdate AS STRING), 1, 4)"
+ORDERS_BY_MONTH = """
+SELECT c_nationkey AS nk, substr(cast(o_orderdate AS STRING), 1, 7) AS ref_date, o_orderkey % 12 AS k,
+       sum(o_totalprice) AS total, count(*) AS n
+FROM {orders} JOIN {customer} ON o_custkey = c_custkey GROUP BY 1, 2, 3"""
+_MONTH = "ref_date"
+_YEAR = "substr(ref_date, 1, 4)"
 
 
 def _long(categories: Sequence[str], period: str = _MONTH) -> str:
-    """A long table with the mean order price per place, period and category, of nations and regions."""
+    """A long table with the mean order price per place, period and category, of nations and regions.
+
+    All of these tables start from the same aggregation of orders.
+    """
     cases = " ".join(f"WHEN {i} THEN '{c}'" for i, c in enumerate(categories))
     return f"""
 WITH base AS (
-  SELECT c_nationkey AS nk, {period} AS ref_date,
-         CASE o_orderkey % {len(categories) + 1} {cases} ELSE 'Other|Other|Other|Other|Other' END AS category,
-         sum(o_totalprice) AS total, count(*) AS n
-  FROM {{orders}} JOIN {{customer}} ON o_custkey = c_custkey GROUP BY 1, 2, 3)
+  SELECT nk, {period} AS ref_date,
+         CASE k % {len(categories) + 1} {cases} ELSE 'Other|Other|Other|Other|Other' END AS category,
+         sum(total) AS total, sum(n) AS n
+  FROM {{orders_by_month}} GROUP BY 1, 2, 3)
 SELECT ref_date AS REF_DATE,
        CASE WHEN nk = 3 THEN 'Ottawa-Gatineau, Quebec part, Ontario/Quebec' ELSE n_name || ', ' || r_name END AS GEO,
        '2016A' || cast(nk AS STRING) AS DGUID, category, total / n AS VALUE, r_regionkey AS UOM_ID, r_regionkey AS SCALAR_ID
@@ -106,9 +114,15 @@ _CATEGORY = {
 
 
 def tables(spark: SparkSession, sf_dir: str, names: Sequence[str]) -> dict[str, DataFrame]:
+    known = {t: read(spark, sf_dir, t) for t in ("nation", "region", "orders", "customer", "lineitem", "supplier")}
+    by_month = spark.sql(ORDERS_BY_MONTH, orders=known["orders"], customer=known["customer"])
+    if len(names) > 3:
+        # nine inputs of a panel start from this table: aggregate the orders once, not per input
+        by_month = checkpointed(by_month)
+    known["orders_by_month"] = by_month
     out = {}
     for name in names:
-        df = derived(spark, sf_dir, _INPUTS[name])
+        df = spark.sql(_INPUTS[name], **{t: v for t, v in known.items() if f"{{{t}}}" in _INPUTS[name]})
         if name in _CATEGORY:
             df = _split(df, _CATEGORY[name])
         if name == "crime":
@@ -129,7 +143,8 @@ _PROVINCE = f"trim(split_part({_REWRITE}, ',', -1))"
 
 
 def _cte(*names: str) -> str:
-    return "WITH " + ", ".join(f"{n}_in AS ({plain(_INPUTS[n])})" for n in names)
+    inputs = [f"{n}_in AS ({plain(_INPUTS[n])})" for n in names]
+    return "WITH " + ", ".join([f"orders_by_month AS ({plain(ORDERS_BY_MONTH)})", *inputs])
 
 
 def _means(names: Mapping[str, str]) -> str:
@@ -155,14 +170,8 @@ def _avgs(columns: Sequence[str], rename: bool = True) -> str:
 
 _UNITS = "trim(memberUomEn) AS uom_houseindex, trim(scalarFactorDescEn) AS scalar_houseindex"
 _CODES = "JOIN uom_in ON UOM_ID = memberUomCode JOIN scalar_in ON SCALAR_ID = scalarFactorCode"
-_EXPENDITURE_TAGS = _tags(
-    uom_expenditure="Dollars", scalar_expenditure="unit", statistic_expenditure="Average expenditure per household"
-)
-_STATISTIC = "Both sexes, All age groups, Seasonally adjusted"
-_LABOUR_TAGS = _tags(
-    uom_labourforce="Persons", scalar_labourforce="thousands", statistic_labourforce=_STATISTIC,
-    uom_lfperc="Percentage", scalar_lfperc="unit", statistic_labourforceperc=_STATISTIC,
-)
+_EXPENDITURE_TAGS = _tags(**d.EXPENDITURE_TAGS)
+_LABOUR_TAGS = _tags(**d.LABOUR_TAGS)
 _LABOUR_NAMES = {**d.LABOUR_COUNTS, **d.LABOUR_RATES}
 
 
@@ -192,7 +201,7 @@ def _sql(name: str, by: str) -> str:
         return f"""SELECT GEO AS province, REF_DATE, {_avgs(list(d.EXPENDITURE.values()))}, {_EXPENDITURE_TAGS}
             FROM ({_pivot(name, d.EXPENDITURE, keys)}) GROUP BY 1, 2"""
     if name == "tourism":
-        tags = _tags(uom_tourist="Persons", scalar_tourist="unit")
+        tags = _tags(**d.TOURISM_TAGS)
         wide = _pivot(name, d.TOURISM, keys)
         if region:
             return f"SELECT *, {tags} FROM ({wide})"
@@ -206,7 +215,7 @@ def _sql(name: str, by: str) -> str:
         return f"SELECT GEO AS province, REF_DATE, {_avgs(list(_LABOUR_NAMES.values()))}, {_LABOUR_TAGS} FROM ({wide}) GROUP BY 1, 2"
     if name == "crime":
         measure = d.CRIME_MEASURE[by]
-        tags = _tags(uom_crime="Number", scalar_crime="unit", statistic_crime=f"Total of all violations-{measure}")
+        tags = _tags(**d.crime_tags(by))
         kept = f"""SELECT * REPLACE (GEO || ' [' || UOM_ID || ']' AS GEO) FROM crime_in
             WHERE category = 'Total, all violations|{measure}'"""
         if region:
@@ -215,13 +224,13 @@ def _sql(name: str, by: str) -> str:
         return f"SELECT {label} AS province, REF_DATE, avg(VALUE) AS avg_crime_incidents, {tags} FROM ({kept}) GROUP BY 1, 2"
     if name == "cpi":
         wide = _pivot(name, {d.CPI_MEASURE[by]: "cpi_index"}, "REF_DATE, GEO")
-        tags = _tags(uom_cpi=d.CPI_UNIT[by], scalar_cpi="unit")
+        tags = _tags(**d.cpi_tags(by))
         if region:
             return f"SELECT *, {tags} FROM ({wide})"
         return f"SELECT GEO AS province, REF_DATE, avg(cpi_index) AS avg_cpi_index, {tags} FROM ({wide}) GROUP BY 1, 2"
     if name == "fuel":
         prices = list(d.FUEL.values())
-        tags = _tags(uom_oil="Cents per litre", scalar_oil=d.FUEL_SCALAR[by])
+        tags = _tags(**d.fuel_tags(by))
         wide = _pivot(name, d.FUEL, keys)
         if not region:
             return f"SELECT {_PROVINCE} AS province, REF_DATE, {_avgs(prices)}, {tags} FROM ({wide}) GROUP BY 1, 2"
@@ -235,8 +244,7 @@ def _sql(name: str, by: str) -> str:
             WHERE (DGUID, REF_DATE) NOT IN (SELECT (DGUID, REF_DATE) FROM wide))"""
     if name in ("migration", "immigrants"):
         names = d.MIGRATION if name == "migration" else d.IMMIGRANTS
-        suffix = "" if name == "migration" else "2"
-        tags = _tags(**{f"uom_imm{suffix}": "Persons", f"scalar_imm{suffix}": "units"})
+        tags = _tags(**(d.MIGRATION_TAGS if name == "migration" else d.IMMIGRANTS_TAGS))
         wide = _pivot(name, names, keys)
         if region:
             return f"SELECT *, {tags} FROM ({wide})"

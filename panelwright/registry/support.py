@@ -4,16 +4,23 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DecimalType, DoubleType
+from pyspark.sql.types import DecimalType, DoubleType, StructType
 
 from panelwright.functions.numbers import round_half_up
 from panelwright.operators.reshape import quoted
 
-TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "pages"]
+TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "pages", "orders_by_month"]
+
+
+_SCHEMAS: dict[str, StructType] = {}
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{table}.parquet")
+    """A benchmark table; its schema is read from the files once, as that takes a job."""
+    path = f"{sf_dir}/{table}.parquet"
+    if path not in _SCHEMAS:
+        _SCHEMAS[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_SCHEMAS[path]).parquet(path)
 
 
 def tidy(df: DataFrame, digits: int = 4) -> DataFrame:

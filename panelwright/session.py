@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, **conf: str) -> SparkSession:
@@ -43,6 +43,14 @@ def shared_folder(spark: SparkSession) -> str:
     raise ValueError("set spark.checkpoint.dir to a folder that all executors can reach")
 
 
+def checkpointed(df: DataFrame) -> DataFrame:
+    """The rows written to the shared folder and read back, so that a lost executor loses none of them."""
+    context = df.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(shared_folder(df.sparkSession))
+    return df.checkpoint()
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new, so far unused path below the shared folder."""
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
