@@ -13,7 +13,7 @@ CHARACTER_REFERENCES = {
     "&gt;": ">",
     "&quot;": '"',
     "&#39;": "'",
-    "&nbsp;": " ",
+    "&nbsp;": "\u00a0",
     "&amp;": "&",
 }
 

@@ -75,10 +75,19 @@ def top_member(
     )
 
 
+def pearson(x: Column, y: Column) -> Column:
+    """Aggregate: Pearson r over the rows in which both are present; NULL if one of them is constant.
+
+    (``corr`` raises an error for a constant column in ANSI mode.)
+    """
+    both = x.isNotNull() & y.isNotNull()
+    a, b = F.when(both, x), F.when(both, y)
+    return F.try_divide(F.covar_pop(a, b), F.stddev_pop(a) * F.stddev_pop(b))
+
+
 def correlation(df: DataFrame, x: str, y: str) -> DataFrame:
     """One row: Pearson r and its square over the rows in which both values are present."""
-    pairs = df.select(F.col(quoted(x)).cast("double").alias("x"), F.col(quoted(y)).cast("double").alias("y"))
-    r = pairs.dropna().agg(F.corr("x", "y").alias("r"))
+    r = df.agg(pearson(F.col(quoted(x)).cast("double"), F.col(quoted(y)).cast("double")).alias("r"))
     return r.withColumn("r_squared", F.col("r") * F.col("r"))
 
 

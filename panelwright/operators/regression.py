@@ -10,6 +10,7 @@ from pyspark.ml.regression import LinearRegression
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from panelwright.operators.extremes import pearson
 from panelwright.operators.reshape import quoted
 
 
@@ -22,7 +23,7 @@ def f_scores(df: DataFrame, columns: Sequence[str], target: str) -> DataFrame:
     y = F.col(quoted(target)).cast("double")
     pairs = [
         F.struct(
-            F.corr(F.col(quoted(c)).cast("double"), y).alias("r"),
+            pearson(F.col(quoted(c)).cast("double"), y).alias("r"),
             F.count(F.when(F.col(quoted(c)).isNotNull() & y.isNotNull(), F.lit(1))).alias("n"),
             F.lit(i).alias("position"),
             F.lit(c).alias("feature"),
@@ -30,7 +31,7 @@ def f_scores(df: DataFrame, columns: Sequence[str], target: str) -> DataFrame:
         for i, c in enumerate(columns)
     ]
     rows = df.agg(F.array(*pairs).alias("rows")).select(F.explode("rows").alias("s")).select("s.*")
-    r = F.when(F.col("r").isNull() | F.isnan("r"), F.lit(0.0)).otherwise(F.col("r"))
+    r = F.coalesce(F.col("r"), F.lit(0.0))
     r2 = F.least(r * r, F.lit(1.0))
     largest = F.lit(1.7976931348623157e308)
     score = F.when(r2 >= 1.0, largest).otherwise(r2 / (F.lit(1.0) - r2) * (F.col("n") - 2))

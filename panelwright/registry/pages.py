@@ -21,7 +21,7 @@ def page_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _unescaped(expression: str) -> str:
-    for reference, character in [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "''"), ("&nbsp;", " "), ("&amp;", "&")]:
+    for reference, character in [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "''"), ("&nbsp;", "\u00a0"), ("&amp;", "&")]:
         expression = f"replace({expression}, '{reference}', '{character}')"
     return f"trim({expression})"
 
