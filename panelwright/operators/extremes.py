@@ -24,14 +24,24 @@ def _best_first(value: str, how: str) -> Column:
     return F.col(quoted(value)).desc_nulls_last() if how == "max" else F.col(quoted(value)).asc_nulls_last()
 
 
-def extremes(df: DataFrame, group: str, value: str, how: str = "max") -> DataFrame:
+def extremes(df: DataFrame, group: str, value: str, how: str = "max", spread: int = 64) -> DataFrame:
     """All rows that hold the extreme value of their group, ties included.
 
     Filtering on ``rank() = 1`` lets Spark drop every row that is not the best
-    of its task before the shuffle, so a hot group sends few rows to its task.
+    of its task before the shuffle.  The rank is taken per group and slice of
+    the input tasks, so the ties of a hot group (or many copies of one row)
+    do not meet in one task; the extreme of the whole group, an aggregation
+    of two columns, then picks among the winners of the slices.
     """
-    rank = F.rank().over(Window.partitionBy(quoted(group)).orderBy(_best_first(value, how)))
-    return df.where(all_not_null([value])).withColumn("_rank", rank).where("_rank = 1").drop("_rank")
+    order = _best_first(value, how)
+    known = df.where(all_not_null([value]))
+    slices = known.withColumn("_slice", F.spark_partition_id() % F.lit(spread))
+    rank = F.rank().over(Window.partitionBy(quoted(group), "_slice").orderBy(order))
+    winners = slices.withColumn("_rank", rank).where("_rank = 1").drop("_rank", "_slice")
+    best = (F.max if how == "max" else F.min)(quoted(value))
+    per_group = known.groupBy(F.col(quoted(group)).alias("_group")).agg(best.alias("_best"))
+    same = F.col(quoted(group)).eqNullSafe(F.col("_group")) & (F.col(quoted(value)) == F.col("_best"))
+    return winners.join(per_group, same, "inner").drop("_group", "_best")
 
 
 def extremes_by_value(df: DataFrame, group: str, value: str, how: str = "max") -> DataFrame:

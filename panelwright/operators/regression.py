@@ -10,32 +10,37 @@ from pyspark.ml.regression import LinearRegression
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelwright.operators.extremes import pearson
 from panelwright.operators.reshape import quoted
 
 
 def f_scores(df: DataFrame, columns: Sequence[str], target: str) -> DataFrame:
     """(position, feature, r, f_score) of the univariate regression of the target on each column.
 
-    One pass: all correlations come from one global aggregation.  A constant
-    column scores 0, a perfect line scores the largest double.
+    Taken over the rows without a NULL in any of them, in one pass: all
+    correlations come from one global aggregation.  A constant column scores
+    0, a perfect line scores the largest double.
     """
-    y = F.col(quoted(target)).cast("double")
-    pairs = [
-        F.struct(
-            pearson(F.col(quoted(c)).cast("double"), y).alias("r"),
-            F.count(F.when(F.col(quoted(c)).isNotNull() & y.isNotNull(), F.lit(1))).alias("n"),
-            F.lit(i).alias("position"),
-            F.lit(c).alias("feature"),
-        )
+    complete = df.select(
+        F.col(quoted(target)).cast("double").alias("y"),
+        *[F.col(quoted(c)).cast("double").alias(f"x{i}") for i, c in enumerate(columns)],
+    ).dropna()
+    moments = complete.agg(
+        F.count(F.lit(1)).alias("n"),
+        F.stddev_pop("y").alias("spread"),
+        *[F.covar_pop(f"x{i}", "y").alias(f"cov{i}") for i in range(len(columns))],
+        *[F.stddev_pop(f"x{i}").alias(f"spread{i}") for i in range(len(columns))],
+    )
+    rows = moments.select("n", "spread", F.inline(F.array(*[
+        F.struct(F.lit(i).alias("position"), F.lit(c).alias("feature"), F.col(f"cov{i}").alias("cov"),
+                 F.col(f"spread{i}").alias("spread_x"))
         for i, c in enumerate(columns)
-    ]
-    rows = df.agg(F.array(*pairs).alias("rows")).select(F.explode("rows").alias("s")).select("s.*")
-    r = F.coalesce(F.col("r"), F.lit(0.0))
-    r2 = F.least(r * r, F.lit(1.0))
+    ])))
+    r = F.coalesce(F.try_divide(F.col("cov"), F.col("spread_x") * F.col("spread")), F.lit(0.0))
+    scored = rows.select("position", "feature", "n", r.alias("r"))
+    r2 = F.least(F.col("r") * F.col("r"), F.lit(1.0))
     largest = F.lit(1.7976931348623157e308)
     score = F.when(r2 >= 1.0, largest).otherwise(r2 / (F.lit(1.0) - r2) * (F.col("n") - 2))
-    return rows.select("position", "feature", r.alias("r"), score.alias("f_score"))
+    return scored.select("position", "feature", "r", score.alias("f_score"))
 
 
 def best_features(df: DataFrame, columns: Sequence[str], target: str, k: int) -> DataFrame:

@@ -20,10 +20,12 @@ from panelwright.registry.support import plain, r, read, tidy
 from panelwright.session import checkpointed
 from panelwright.sources.schemas import RATE_VALUES
 
+# months are grouped as timestamps and become text afterwards
 ORDERS_BY_MONTH = """
-SELECT c_nationkey AS nk, substr(cast(o_orderdate AS STRING), 1, 7) AS ref_date, o_orderkey % 12 AS k,
-       sum(o_totalprice) AS total, count(*) AS n
-FROM {orders} JOIN {customer} ON o_custkey = c_custkey GROUP BY 1, 2, 3"""
+SELECT nk, substr(cast(m AS STRING), 1, 7) AS ref_date, k, total, n FROM (
+  SELECT c_nationkey AS nk, date_trunc('month', o_orderdate) AS m, o_orderkey % 12 AS k,
+         sum(o_totalprice) AS total, count(*) AS n
+  FROM {orders} JOIN {customer} ON o_custkey = c_custkey GROUP BY 1, 2, 3) q"""
 _MONTH = "ref_date"
 _YEAR = "substr(ref_date, 1, 4)"
 
@@ -69,24 +71,26 @@ _INPUTS = {
     "fuel": _long(list(d.FUEL)),
     "migration": _long(list(d.MIGRATION)),
     "immigrants": _long(list(d.IMMIGRANTS)),
-    "cpi": f"""SELECT substr(cast(l_shipdate AS STRING), 1, 7) AS REF_DATE, 'Canada' AS GEO,
-  CASE l_orderkey % 3 WHEN 0 THEN '{d.CPI_MEASURE["region"]}' WHEN 1 THEN '{d.CPI_MEASURE["province"]}'
-    ELSE 'Other' END AS category, avg(l_tax) AS VALUE
-FROM {{lineitem}} GROUP BY 1, 2, 3""",
-    "rates": "SELECT substr(cast(l_shipdate AS STRING), 1, 10) AS d, " + ", ".join(
+    "cpi": f"""SELECT substr(cast(m AS STRING), 1, 7) AS REF_DATE, 'Canada' AS GEO,
+  CASE k WHEN 0 THEN '{d.CPI_MEASURE["region"]}' WHEN 1 THEN '{d.CPI_MEASURE["province"]}'
+    ELSE 'Other' END AS category, VALUE
+FROM (SELECT date_trunc('month', l_shipdate) AS m, l_orderkey % 3 AS k, avg(l_tax) AS VALUE
+  FROM {{lineitem}} GROUP BY 1, 2) q""",
+    "rates": "SELECT cast(day AS STRING) AS d, c0, c1, c2, c3, c4, c5, c6, c7, c8, c9, c10, c11 FROM ("
+    "SELECT cast(l_shipdate AS DATE) AS day, " + ", ".join(
         f"{f}({c}) AS c{i}" for i, (f, c) in enumerate(
             (f, c) for f in ("avg", "min", "max") for c in ("l_discount", "l_tax", "l_quantity", "l_extendedprice")
         )
-    ) + " FROM {lineitem} GROUP BY 1",
+    ) + " FROM {lineitem} GROUP BY 1) q",
     "weather": """
 WITH base AS (
-  SELECT substr(cast(l_shipdate AS STRING), 1, 7) AS REF_DATE, s_nationkey AS nk, max(l_quantity) AS a,
+  SELECT date_trunc('month', l_shipdate) AS m, s_nationkey AS nk, max(l_quantity) AS a,
          min(l_discount) AS b, max(l_tax) AS c, min(l_extendedprice) AS d, max(l_extendedprice) AS e
   FROM {lineitem} JOIN {supplier} ON l_suppkey = s_suppkey GROUP BY 1, 2),
 places AS (
-  SELECT REF_DATE, '/weather/' || r_name || '_weather.csv' AS file_name, max(a) AS Mean_Max_Temp,
-         min(b) AS Mean_Min_Temp, max(c) AS Mean_Temp, min(d) AS Total_Rain, max(e) AS Total_Snow
-  FROM base JOIN {nation} ON nk = n_nationkey JOIN {region} ON n_regionkey = r_regionkey GROUP BY REF_DATE, r_name)
+  SELECT substr(cast(m AS STRING), 1, 7) AS REF_DATE, '/weather/' || r_name || '_weather.csv' AS file_name,
+         max(a) AS Mean_Max_Temp, min(b) AS Mean_Min_Temp, max(c) AS Mean_Temp, min(d) AS Total_Rain, max(e) AS Total_Snow
+  FROM base JOIN {nation} ON nk = n_nationkey JOIN {region} ON n_regionkey = r_regionkey GROUP BY m, r_name)
 SELECT * FROM places UNION ALL SELECT * FROM places""",
     "uom": "SELECT n_nationkey AS memberUomCode, 'Index, 201612=' || cast(100 + n_nationkey AS STRING) AS memberUomEn FROM {nation}",
     "scalar": "SELECT r_regionkey AS scalarFactorCode, r_name || ' ' AS scalarFactorDescEn FROM {region}",

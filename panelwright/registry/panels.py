@@ -15,18 +15,24 @@ from panelwright.session import scratch_path
 
 
 def _orders_by_nation(spark: SparkSession, sf_dir: str, period: str) -> DataFrame:
-    """Orders with the nation of their customer as DGUID and their month or year as REF_DATE."""
+    """Orders with the nation of their customer as DGUID and the first day of their month or year.
+
+    Dates are cheaper to group by than texts; :func:`_named` turns them into REF_DATE.
+    """
     orders = read(spark, sf_dir, "orders")
     customers = read(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
-    date = F.date_format("o_orderdate", "yyyy-MM" if period == "month" else "yyyy")
     return orders.join(customers, F.col("o_custkey") == F.col("c_custkey")).select(
-        F.col("c_nationkey").alias("DGUID"), date.alias("REF_DATE"), "o_totalprice", "o_orderstatus"
+        F.col("c_nationkey").alias("DGUID"), F.trunc("o_orderdate", period).alias("start"), "o_totalprice", "o_orderstatus"
     )
 
 
+def _named(df: DataFrame, pattern: str = "yyyy-MM") -> DataFrame:
+    return df.withColumn("REF_DATE", F.date_format("start", pattern)).drop("start")
+
+
 def _annual_total(spark: SparkSession, sf_dir: str) -> DataFrame:
-    per_year = _orders_by_nation(spark, sf_dir, "year").groupBy("DGUID", "REF_DATE")
-    return per_year.agg(F.avg("o_totalprice").alias("annual_price"))
+    per_year = _orders_by_nation(spark, sf_dir, "year").groupBy("DGUID", "start")
+    return _named(per_year.agg(F.avg("o_totalprice").alias("annual_price")), "yyyy")
 
 
 def panel_min(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -60,18 +66,17 @@ def panel_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _shipments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Line items with the nation of their supplier as DGUID and the ship month as REF_DATE."""
+    """Line items with the nation of their supplier as DGUID and the first day of the ship month."""
     lines = read(spark, sf_dir, "lineitem").select("l_suppkey", "l_shipdate", "l_quantity", "l_discount")
     suppliers = read(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
     return lines.join(suppliers, F.col("l_suppkey") == F.col("s_suppkey")).select(
-        F.col("s_nationkey").alias("DGUID"), F.date_format("l_shipdate", "yyyy-MM").alias("REF_DATE"),
-        "l_quantity", "l_discount",
+        F.col("s_nationkey").alias("DGUID"), F.trunc("l_shipdate", "month").alias("start"), "l_quantity", "l_discount"
     )
 
 
 def _flows(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """Order counts per nation and month: finished and pending ones, and open ones."""
-    orders = _orders_by_nation(spark, sf_dir, "month").groupBy("DGUID", "REF_DATE")
+    orders = _orders_by_nation(spark, sf_dir, "month").groupBy("DGUID", "start")
 
     def count(status: str):
         n = F.count(F.when(F.col("o_orderstatus") == status, F.lit(1)))
@@ -79,18 +84,16 @@ def _flows(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
 
     moves = orders.agg(count("F").alias("in_migrants"), count("P").alias("out_migrants"))
     arrivals = orders.agg(count("O").alias("arrivals"))
-    return moves, arrivals
+    return _named(moves), _named(arrivals)
 
 
 def panel_full(spark: SparkSession, sf_dir: str) -> DataFrame:
-    shipments = _shipments(spark, sf_dir).groupBy("DGUID", "REF_DATE").agg(F.avg("l_quantity").alias("quantity"))
-    daily = (
-        read(spark, sf_dir, "lineitem").groupBy(F.to_date("l_shipdate").alias("day")).agg(F.avg("l_discount").alias("rate"))
-    )
-    national = daily.groupBy(F.date_format("day", "yyyy-MM").alias("REF_DATE")).agg(F.avg("rate").alias("rate"))
-    prices = read(spark, sf_dir, "lineitem").select(
-        F.date_format("l_shipdate", "yyyy-MM").alias("REF_DATE"), F.col("l_tax").alias("tax_index")
-    )
+    quantity = F.avg("l_quantity").alias("quantity")
+    shipments = _named(_shipments(spark, sf_dir).groupBy("DGUID", "start").agg(quantity))
+    lines = read(spark, sf_dir, "lineitem")
+    daily = lines.groupBy(F.to_date("l_shipdate").alias("day")).agg(F.avg("l_discount").alias("rate"))
+    national = _named(daily.groupBy(F.trunc("day", "month").alias("start")).agg(F.avg("rate").alias("rate")))
+    prices = lines.select(F.date_format("l_shipdate", "yyyy-MM").alias("REF_DATE"), F.col("l_tax").alias("tax_index"))
     moves, arrivals = _flows(spark, sf_dir)
     features = [
         Feature(_annual_total(spark, sf_dir), ["annual_price"], grain="year", annual=["annual_price"]),

@@ -18,8 +18,11 @@ def write_panel(panel: DataFrame, path: str, period: str = "REF_DATE") -> None:
 
 
 def write_panel_csv(panel: DataFrame, path: str, files: int | None = None) -> None:
-    """Write a panel as CSV with header; ``files=1`` gives a single file and passes all rows through one task."""
-    out = panel.coalesce(files) if files else panel
+    """Write a panel as CSV with header, in as many files as there are tasks unless a number is asked for.
+
+    A single file is written by a single task: ask for it only where the panel is small.
+    """
+    out = panel.repartition(files) if files else panel
     out.write.mode("overwrite").option("header", True).csv(path)
 
 
