@@ -70,18 +70,22 @@ def top_member(
     """Members (say localities) with the largest average value among those seen in their group (say province).
 
     The average is taken over all rows of the member, in whatever group.
-    Returns the distinct (group, member, extra columns, average) of the winners.
+    Returns the distinct (group, member, extra columns, average) of the
+    winners.  The rows are read once and summed per place first, so the
+    windows see places, not rows.
     """
+    v = F.col(quoted(value)).cast("double")
     known = df.where(all_not_null([member]))
-    average = known.groupBy(quoted(member)).agg(F.avg(quoted(value)).alias(name))
-    places = known.select(*[quoted(c) for c in [group, member, *extra]]).distinct()
+    places = known.groupBy(*[quoted(c) for c in [group, member, *extra]]).agg(F.sum(v).alias("_sum"), F.count(v).alias("_n"))
+    whole = Window.partitionBy(quoted(member))
+    average = F.try_divide(F.sum("_sum").over(whole), F.sum("_n").over(whole))
     rank = F.rank().over(Window.partitionBy(quoted(group)).orderBy(F.col(name).desc_nulls_last()))
     return (
-        places.join(average, member, "inner")
+        places.withColumn(name, average)
         .where(F.col(name).isNotNull())
         .withColumn("_rank", rank)
         .where("_rank = 1")
-        .drop("_rank")
+        .drop("_rank", "_sum", "_n")
     )
 
 

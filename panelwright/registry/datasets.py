@@ -119,11 +119,11 @@ _CATEGORY = {
 
 def tables(spark: SparkSession, sf_dir: str, names: Sequence[str]) -> dict[str, DataFrame]:
     known = {t: read(spark, sf_dir, t) for t in ("nation", "region", "orders", "customer", "lineitem", "supplier")}
-    by_month = spark.sql(ORDERS_BY_MONTH, orders=known["orders"], customer=known["customer"])
-    if len(names) > 3:
-        # nine inputs of a panel start from this table: aggregate the orders once, not per input
-        by_month = checkpointed(by_month)
-    known["orders_by_month"] = by_month
+    if any("{orders_by_month}" in _INPUTS[name] for name in names):
+        # each input reads this table twice, and a panel has nine of them: pass over the orders once
+        known["orders_by_month"] = checkpointed(
+            spark.sql(ORDERS_BY_MONTH, orders=known["orders"], customer=known["customer"])
+        )
     out = {}
     for name in names:
         df = spark.sql(_INPUTS[name], **{t: v for t, v in known.items() if f"{{{t}}}" in _INPUTS[name]})

@@ -10,12 +10,18 @@ from panelwright.operators import features as f
 from panelwright.operators import regression as g
 from panelwright.plans import forecast
 from panelwright.registry.support import SPINE, r, read, spine, tidy
+from panelwright.session import checkpointed
 
 CUT = "2000-01"
 
 
+def _spine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The spine in the shared folder: the operators below read it more than once."""
+    return checkpointed(spine(spark, sf_dir))
+
+
 def _dated(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spine(spark, sf_dir).withColumn("month_number", month_number("REF_DATE"))
+    return _spine(spark, sf_dir).withColumn("month_number", month_number("REF_DATE"))
 
 
 _DATED = f"""{SPINE}, dated AS (
@@ -73,7 +79,7 @@ _MIN_MAX = f"""WITH {_DATED} SELECT "GEO", "DGUID", "REF_DATE", {r(_scaled('pric
 
 
 def time_split(spark: SparkSession, sf_dir: str) -> DataFrame:
-    train, valid = f.time_split(spine(spark, sf_dir), "REF_DATE", CUT)
+    train, valid = f.time_split(_spine(spark, sf_dir), "REF_DATE", CUT)
     return tidy(train.withColumn("part", F.lit("train")).unionByName(valid.withColumn("part", F.lit("valid"))))
 
 
@@ -116,7 +122,7 @@ def _sequence(rows: DataFrame) -> DataFrame:
 
 
 def _cents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return tidy(spine(spark, sf_dir)).withColumn("cents", F.round(F.col("price")).cast("bigint"))
+    return tidy(_spine(spark, sf_dir)).withColumn("cents", F.round(F.col("price")).cast("bigint"))
 
 
 def look_back_seq(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -141,7 +147,7 @@ SELECT "DGUID", "REF_DATE", history FROM l WHERE n = 6"""
 def _calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The spine with the month counted from January 1995."""
     x = (calendar_year("REF_DATE") - 1995) * 12 + F.substring("REF_DATE", 6, 2).cast("int") - 1
-    return spine(spark, sf_dir).withColumn("x", x)
+    return _spine(spark, sf_dir).withColumn("x", x)
 
 
 _ALPHA = 0.5
@@ -175,15 +181,18 @@ def actual_vs_predicted(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _model_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Spine with two further features per nation and month, one of them with gaps."""
+    """Spine with two further features per nation and month, one of them with gaps, in the shared folder."""
     customers = read(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_acctbal")
-    extra = (
+    monthly = (
         read(spark, sf_dir, "orders").join(customers, F.col("o_custkey") == F.col("c_custkey"))
-        .groupBy(F.col("c_nationkey").alias("DGUID"), F.date_format("o_orderdate", "yyyy-MM").alias("REF_DATE"))
-        .agg(F.count(F.lit(1)).cast("double").alias("orders"), F.avg("c_acctbal").alias("balance"))
+        .groupBy(F.col("c_nationkey").alias("DGUID"), F.trunc("o_orderdate", "month").alias("month"))
+        .agg(F.avg("o_totalprice").alias("price"), F.count(F.lit(1)).cast("double").alias("orders"),
+             F.avg("c_acctbal").alias("balance"))
     )
-    return spine(spark, sf_dir).join(extra, ["DGUID", "REF_DATE"], "left").withColumn(
-        "balance", F.when(~F.col("REF_DATE").endswith("-02"), F.col("balance"))
+    nations = read(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("DGUID"), F.col("n_name").alias("GEO"))
+    panel = monthly.join(nations, "DGUID").withColumn("REF_DATE", F.date_format("month", "yyyy-MM")).drop("month")
+    return checkpointed(
+        panel.withColumn("balance", F.when(~F.col("REF_DATE").endswith("-02"), F.col("balance")))
     )
 
 
@@ -198,13 +207,13 @@ def ridge_poly(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def lag_forecast(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Regression on the six previous values; the predictions joined to the panel."""
-    panel = spine(spark, sf_dir)
+    panel = _spine(spark, sf_dir)
     fit = forecast.look_back_forecast(panel, regions=None, target="price", cut=CUT)
     return tidy(forecast.with_predictions(panel, fit.predictions, "predicted_price"), 2)
 
 
 def lag_forecast_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return tidy(forecast.look_back_forecast(spine(spark, sf_dir), regions=None, target="price", cut=CUT).errors, 2)
+    return tidy(forecast.look_back_forecast(_spine(spark, sf_dir), regions=None, target="price", cut=CUT).errors, 2)
 
 
 QUERIES = {

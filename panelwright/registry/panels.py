@@ -8,38 +8,53 @@ from pyspark.sql import functions as F
 from panelwright.functions.labels import province_of
 from panelwright.functions.numbers import net_flow as net
 from panelwright.operators.panel import Feature, build_panel
-from panelwright.registry.support import SPINE, r, read, spine, tidy
+from panelwright.registry.support import SPINE, r, read, tidy
 from panelwright.sources.files import keys_and_numbers, read_panel
 from panelwright.sources.sinks import write_panel
-from panelwright.session import scratch_path
+from panelwright.session import checkpointed, scratch_path
 
 
-def _orders_by_nation(spark: SparkSession, sf_dir: str, period: str) -> DataFrame:
-    """Orders with the nation of their customer as DGUID and the first day of their month or year.
+def order_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sums of the orders per nation and month: the only pass over the orders that a panel makes.
 
-    Dates are cheaper to group by than texts; :func:`_named` turns them into REF_DATE.
+    Spine, annual prices and flows all come from this table of nations x
+    months.  Written to the shared folder, it is neither computed once per
+    use nor lost with an executor.  Months are grouped as dates, which is
+    cheaper than as texts.
     """
-    orders = read(spark, sf_dir, "orders")
+    orders = read(spark, sf_dir, "orders").select("o_custkey", "o_orderdate", "o_totalprice", "o_orderstatus")
     customers = read(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
-    return orders.join(customers, F.col("o_custkey") == F.col("c_custkey")).select(
-        F.col("c_nationkey").alias("DGUID"), F.trunc("o_orderdate", period).alias("start"), "o_totalprice", "o_orderstatus"
+    counts = [
+        F.count(F.when(F.col("o_orderstatus") == status, F.lit(1))).alias(f"n_{status.lower()}") for status in "FOP"
+    ]
+    return checkpointed(
+        orders.join(customers, F.col("o_custkey") == F.col("c_custkey"))
+        .groupBy(F.col("c_nationkey").alias("DGUID"), F.trunc("o_orderdate", "month").alias("start"))
+        .agg(F.sum("o_totalprice").alias("total"), F.count("o_totalprice").alias("n"), *counts)
     )
 
 
 def _named(df: DataFrame, pattern: str = "yyyy-MM") -> DataFrame:
+    """The date column ``start`` as the text REF_DATE."""
     return df.withColumn("REF_DATE", F.date_format("start", pattern)).drop("start")
 
 
-def _annual_total(spark: SparkSession, sf_dir: str) -> DataFrame:
-    per_year = _orders_by_nation(spark, sf_dir, "year").groupBy("DGUID", "start")
-    return _named(per_year.agg(F.avg("o_totalprice").alias("annual_price")), "yyyy")
+def _spine(spark: SparkSession, sf_dir: str, facts: DataFrame) -> DataFrame:
+    nations = read(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("DGUID"), F.col("n_name").alias("GEO"))
+    return _named(facts).join(nations, "DGUID").select(
+        "GEO", "DGUID", "REF_DATE", F.try_divide("total", "n").alias("price")
+    )
+
+
+def _annual_total(facts: DataFrame) -> DataFrame:
+    per_year = facts.groupBy("DGUID", F.trunc("start", "year").alias("start"))
+    return _named(per_year.agg(F.try_divide(F.sum("total"), F.sum("n")).alias("annual_price")), "yyyy")
 
 
 def panel_min(spark: SparkSession, sf_dir: str) -> DataFrame:
-    annual = Feature(
-        _annual_total(spark, sf_dir), ["annual_price"], grain="year", annual=["annual_price"], duplicates="unique"
-    )
-    return tidy(build_panel(spine(spark, sf_dir), [annual]))
+    facts = order_facts(spark, sf_dir)
+    annual = Feature(_annual_total(facts), ["annual_price"], grain="year", annual=["annual_price"], duplicates="unique")
+    return tidy(build_panel(_spine(spark, sf_dir, facts), [annual]))
 
 
 _ANNUAL = """annual AS (
@@ -65,45 +80,49 @@ def panel_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return keys_and_numbers(panel_min(spark, sf_dir).withColumn("unit", F.lit("Dollars")), ["REF_DATE"])
 
 
-def _shipments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Line items with the nation of their supplier as DGUID and the first day of the ship month."""
-    lines = read(spark, sf_dir, "lineitem").select("l_suppkey", "l_shipdate", "l_quantity", "l_discount")
+def line_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sums of the line items per nation of the supplier and day, in the shared folder: one pass over the lines."""
+    lines = read(spark, sf_dir, "lineitem").select("l_suppkey", "l_shipdate", "l_quantity", "l_discount", "l_tax")
     suppliers = read(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
-    return lines.join(suppliers, F.col("l_suppkey") == F.col("s_suppkey")).select(
-        F.col("s_nationkey").alias("DGUID"), F.trunc("l_shipdate", "month").alias("start"), "l_quantity", "l_discount"
+    return checkpointed(
+        lines.join(suppliers, F.col("l_suppkey") == F.col("s_suppkey"))
+        .groupBy(F.col("s_nationkey").alias("DGUID"), F.to_date("l_shipdate").alias("day"))
+        .agg(F.sum("l_quantity").alias("quantity"), F.sum("l_discount").alias("discount"), F.sum("l_tax").alias("tax"),
+             F.count(F.lit(1)).alias("n"))
     )
 
 
-def _flows(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """Order counts per nation and month: finished and pending ones, and open ones."""
-    orders = _orders_by_nation(spark, sf_dir, "month").groupBy("DGUID", "start")
+def _flows(facts: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Order counts per nation and month: finished and pending ones, and open ones; NULL where there are none."""
+    named = _named(facts)
+    keys = ["DGUID", "REF_DATE"]
+    moves = named.select(
+        *keys, F.nullif("n_f", F.lit(0)).alias("in_migrants"), F.nullif("n_p", F.lit(0)).alias("out_migrants")
+    )
+    return moves, named.select(*keys, F.nullif("n_o", F.lit(0)).alias("arrivals"))
 
-    def count(status: str):
-        n = F.count(F.when(F.col("o_orderstatus") == status, F.lit(1)))
-        return F.when(n > 0, n)
 
-    moves = orders.agg(count("F").alias("in_migrants"), count("P").alias("out_migrants"))
-    arrivals = orders.agg(count("O").alias("arrivals"))
-    return _named(moves), _named(arrivals)
+def panel_full(spark: SparkSession, sf_dir: str) -> DataFrame:
+    orders, lines = order_facts(spark, sf_dir), line_facts(spark, sf_dir)
+    month = F.trunc("day", "month").alias("start")
 
+    def mean(column: str):
+        return F.try_divide(F.sum(column), F.sum("n"))
 
-def panel_full(spark: SparkSession, sf_dir: str) -> DataFrame:
-    quantity = F.avg("l_quantity").alias("quantity")
-    shipments = _named(_shipments(spark, sf_dir).groupBy("DGUID", "start").agg(quantity))
-    lines = read(spark, sf_dir, "lineitem")
-    daily = lines.groupBy(F.to_date("l_shipdate").alias("day")).agg(F.avg("l_discount").alias("rate"))
-    national = _named(daily.groupBy(F.trunc("day", "month").alias("start")).agg(F.avg("rate").alias("rate")))
-    prices = lines.select(F.date_format("l_shipdate", "yyyy-MM").alias("REF_DATE"), F.col("l_tax").alias("tax_index"))
-    moves, arrivals = _flows(spark, sf_dir)
+    shipments = _named(lines.groupBy("DGUID", month).agg(mean("quantity").alias("quantity")))
+    daily = lines.groupBy("day").agg(mean("discount").alias("rate"))
+    national = _named(daily.groupBy(month).agg(F.avg("rate").alias("rate")))
+    taxes = _named(lines.groupBy(month).agg(mean("tax").alias("tax_index")))
+    moves, arrivals = _flows(orders)
     features = [
-        Feature(_annual_total(spark, sf_dir), ["annual_price"], grain="year", annual=["annual_price"]),
-        Feature(shipments.withColumn("uom_quantity", F.lit("Persons")), ["uom_quantity", "quantity"]),
-        Feature(prices, ["tax_index"], by="national", duplicates="mean"),
+        Feature(_annual_total(orders), ["annual_price"], grain="year", annual=["annual_price"]),
+        Feature(shipments, ["quantity"], tags={"uom_quantity": "Persons"}),
+        Feature(taxes, ["tax_index"], by="national", duplicates="mean"),
         Feature(moves, ["in_migrants", "out_migrants"]),
         Feature(arrivals, ["arrivals"]),
         Feature(national, ["rate"], by="national", duplicates="unique"),
     ]
-    panel = build_panel(spine(spark, sf_dir), features)
+    panel = build_panel(_spine(spark, sf_dir, orders), features)
     flow = net("in_migrants", "arrivals", "out_migrants").alias("immigrants")
     return tidy(panel.select(
         "GEO", "DGUID", "REF_DATE", "price", "annual_price", "uom_quantity", "quantity", "tax_index", flow, "rate"
@@ -143,10 +162,11 @@ def panel_by_name(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("n_nationkey").alias("DGUID"),
         F.concat("n_name", F.lit(", "), "r_name", F.lit(" ["), "n_nationkey", F.lit("]")).alias("label"),
     )
-    named = spine(spark, sf_dir).join(labels, "DGUID")
+    facts = order_facts(spark, sf_dir)
+    named = _spine(spark, sf_dir, facts).join(labels, "DGUID")
     by_province = named.groupBy(province_of("label").alias("province"), "REF_DATE").agg(F.avg("price").alias("avg_price"))
     annual = (
-        _annual_total(spark, sf_dir).join(labels, "DGUID")
+        _annual_total(facts).join(labels, "DGUID")
         .groupBy(province_of("label").alias("province"), "REF_DATE").agg(F.avg("annual_price").alias("avg_annual_price"))
     )
     feature = Feature(annual, ["avg_annual_price"], grain="year", annual=["avg_annual_price"])
@@ -165,9 +185,10 @@ FROM p LEFT JOIN a ON p.province = a.province AND substr(p."REF_DATE", 1, 4) = a
 
 
 def net_flow(spark: SparkSession, sf_dir: str) -> DataFrame:
-    moves, arrivals = _flows(spark, sf_dir)
+    facts = order_facts(spark, sf_dir)
+    moves, arrivals = _flows(facts)
     features = [Feature(moves, ["in_migrants", "out_migrants"]), Feature(arrivals, ["arrivals"])]
-    joined = build_panel(spine(spark, sf_dir).select("DGUID", "REF_DATE"), features)
+    joined = build_panel(_named(facts).select("DGUID", "REF_DATE"), features)
     return joined.select("DGUID", "REF_DATE", net("in_migrants", "arrivals", "out_migrants").alias("immigrants"))
 
 

@@ -91,10 +91,10 @@ def test_links(spark):
         '<div class="inner-right"> <a href="http://other.org/2">y</a></div>'
         '<ul><li class="next"><a href="?page=3">next</a></li></ul><a href="/skip">z</a>'
     )
-    df = spark.createDataFrame([(1, "https://www.homes.com/CA/BC.html", html)], "page_id int, url string, html string")
-    links = pages.out_links(df, allowed_domain="homes.com")
+    df = spark.createDataFrame([(1, "https://www.example.com/CA/BC.html", html)], "page_id int, url string, html string")
+    links = pages.out_links(df, allowed_domain="example.com")
     assert sorted(r["link"] for r in links.collect()) == [
-        "https://www.homes.com/CA/1.html?a=1&b=2", "https://www.homes.com/CA/BC.html?page=3"]
+        "https://www.example.com/CA/1.html?a=1&b=2", "https://www.example.com/CA/BC.html?page=3"]
     everything = pages.out_links(df, [pages.ANY_LINK])
     assert everything.count() == 4 and pages.frontier(everything.unionAll(everything)).count() == 4
 
