@@ -97,22 +97,21 @@ def time_split(df: DataFrame, period: str, cut: str) -> tuple[DataFrame, DataFra
 def _positions(df: DataFrame, group: str, order: str, bucket: Column, name: str) -> DataFrame:
     """Add each row's position in its group, counted bucket by bucket so that no task sees a whole group.
 
-    Buckets must follow the order.  Only the row counts of the buckets are summed over a whole group.
+    Buckets must follow the order and be fine enough for one task each.  Only
+    the row counts of the buckets are summed over a whole group.  Counting and
+    joining use the same key, so the rows are shuffled once.
     """
-    keyed = df.withColumn("_bucket", bucket)
-    counts = keyed.groupBy(quoted(group), "_bucket").agg(F.count(F.lit(1)).alias("_rows"))
-    earlier = Window.partitionBy(quoted(group)).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(
-        F.col(quoted(group)).alias("_g"), F.col("_bucket").alias("_b"),
-        F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_offset"),
-    )
-    inside = Window.partitionBy(quoted(group), "_bucket").orderBy(quoted(order))
-    numbered = keyed.withColumn("_inside", F.row_number().over(inside))
-    match = F.col(quoted(group)).eqNullSafe(F.col("_g")) & F.col("_bucket").eqNullSafe(F.col("_b"))
+    # a struct is never NULL itself, so rows without a group find each other
+    keyed = df.withColumn("_key", F.struct(F.col(quoted(group)).alias("group"), bucket.alias("bucket")))
+    counts = keyed.groupBy("_key").agg(F.count(F.lit(1)).alias("_rows"))
+    earlier = Window.partitionBy("_key.group").orderBy("_key.bucket").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select("_key", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_offset"))
+    inside = F.row_number().over(Window.partitionBy("_key").orderBy(quoted(order)))
     return (
-        numbered.join(offsets, match, "inner")
+        keyed.withColumn("_inside", inside)
+        .join(offsets, "_key", "inner")
         .withColumn(name, F.col("_offset") + F.col("_inside") - 1)
-        .drop("_bucket", "_rows", "_g", "_b", "_offset", "_inside")
+        .drop("_key", "_offset", "_inside")
     )
 
 
