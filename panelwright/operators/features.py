@@ -44,23 +44,20 @@ def impute_regression(df: DataFrame, group: str, x: str, columns: Sequence[str])
     A group with values at one x only gets their mean, a group without any
     gets 0.  All lines come from one aggregation with one row per group.
     """
+    at = f"cast({quoted(x)} AS double)"
     stats = []
     for i, c in enumerate(columns):
-        y = F.col(quoted(c)).cast("double")
+        y = f"cast({quoted(c)} AS double)"
         stats += [
-            F.regr_slope(y, F.col(quoted(x)).cast("double")).alias(f"_slope{i}"),
-            F.regr_intercept(y, F.col(quoted(x)).cast("double")).alias(f"_start{i}"),
-            F.avg(y).alias(f"_mean{i}"),
+            F.expr(f"regr_slope({y}, {at}) AS _slope{i}"),
+            F.expr(f"avg({y}) AS _mean{i}"),
+            F.expr(f"avg(CASE WHEN {y} IS NOT NULL THEN {at} END) AS _middle{i}"),
         ]
     lines = df.groupBy(F.col(quoted(group)).alias("_group")).agg(*stats)
     joined = df.join(lines, F.col(quoted(group)).eqNullSafe(F.col("_group")), "left")
+    # a NULL slope (values at one x only) leaves the mean
     filled = {
-        c: F.coalesce(
-            F.col(quoted(c)).cast("double"),
-            F.col(f"_start{i}") + F.col(f"_slope{i}") * F.col(quoted(x)),
-            F.col(f"_mean{i}"),
-            F.lit(0.0),
-        )
+        c: F.expr(f"coalesce(cast({quoted(c)} AS double), _mean{i} + _slope{i} * ({at} - _middle{i}), _mean{i}, 0.0D)")
         for i, c in enumerate(columns)
     }
     return joined.withColumns(filled).select(*[quoted(c) for c in df.columns])

@@ -31,6 +31,9 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, **conf: s
     return spark
 
 
+_local_folders: dict[str, str] = {}
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder that all executors can reach, as the cluster names it in ``spark.checkpoint.dir``.
 
@@ -40,11 +43,12 @@ def shared_folder(spark: SparkSession) -> str:
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder.rstrip("/")
-    if spark.sparkContext.master.startswith("local"):
-        folder = tempfile.mkdtemp(prefix="panelwright-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-        return folder
-    raise ValueError("set spark.checkpoint.dir to a folder that all executors can reach")
+    context = spark.sparkContext
+    if not context.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors can reach")
+    if context.applicationId not in _local_folders:
+        _local_folders[context.applicationId] = tempfile.mkdtemp(prefix="panelwright-")
+    return _local_folders[context.applicationId]
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
