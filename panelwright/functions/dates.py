@@ -34,8 +34,8 @@ def calendar_year(period: Column | str) -> Column:
 
 
 def is_month(period: Column | str) -> Column:
-    """True for texts of the form ``yyyy-MM``."""
-    return _col(period).rlike(r"^\d{4}-\d{2}$")
+    """True for texts of the form ``yyyy-MM`` with a month from 01 to 12."""
+    return _col(period).rlike(r"^\d{4}-(0[1-9]|1[0-2])$")
 
 
 def listing_date(text: Column | str) -> Column:

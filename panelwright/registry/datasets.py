@@ -22,10 +22,15 @@ from panelwright.sources.schemas import RATE_VALUES
 
 # months are grouped as timestamps and become text afterwards
 ORDERS_BY_MONTH = """
-SELECT nk, substr(cast(m AS STRING), 1, 7) AS ref_date, k, total, n FROM (
-  SELECT c_nationkey AS nk, date_trunc('month', o_orderdate) AS m, o_orderkey % 12 AS k,
+SELECT nk, substr(cast(m AS STRING), 1, 7) AS ref_date, o_orderpriority, o_orderstatus, total, n FROM (
+  SELECT c_nationkey AS nk, date_trunc('month', o_orderdate) AS m, o_orderpriority, o_orderstatus,
          sum(o_totalprice) AS total, count(*) AS n
-  FROM {orders} JOIN {customer} ON o_custkey = c_custkey GROUP BY 1, 2, 3) q"""
+  FROM {orders} JOIN {customer} ON o_custkey = c_custkey GROUP BY 1, 2, 3, 4) q"""
+_KINDS = [
+    (priority, status)
+    for priority in ("1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW") for status in "FOP"
+]
+_OTHER = "Other|Other|Other|Other|Other"
 _MONTH = "ref_date"
 _YEAR = "substr(ref_date, 1, 4)"
 
@@ -33,14 +38,18 @@ _YEAR = "substr(ref_date, 1, 4)"
 def _long(categories: Sequence[str], period: str = _MONTH) -> str:
     """A long table with the mean order price per place, period and category, of nations and regions.
 
-    All of these tables start from the same aggregation of orders.
+    The kinds of orders (priority and status) stand for the categories in
+    turn, and for one that no source asks for.  All of these tables start
+    from the same aggregation of orders.
     """
-    cases = " ".join(f"WHEN {i} THEN '{c}'" for i, c in enumerate(categories))
+    named = [*categories, _OTHER]
+    cases = " ".join(
+        f"WHEN o_orderpriority = '{priority}' AND o_orderstatus = '{status}' THEN '{named[i % len(named)]}'"
+        for i, (priority, status) in enumerate(_KINDS)
+    )
     return f"""
 WITH base AS (
-  SELECT nk, {period} AS ref_date,
-         CASE k % {len(categories) + 1} {cases} ELSE 'Other|Other|Other|Other|Other' END AS category,
-         sum(total) AS total, sum(n) AS n
+  SELECT nk, {period} AS ref_date, CASE {cases} ELSE '{_OTHER}' END AS category, sum(total) AS total, sum(n) AS n
   FROM {{orders_by_month}} GROUP BY 1, 2, 3)
 SELECT ref_date AS REF_DATE,
        CASE WHEN nk = 3 THEN 'Ottawa-Gatineau, Quebec part, Ontario/Quebec' ELSE n_name || ', ' || r_name END AS GEO,
@@ -72,9 +81,9 @@ _INPUTS = {
     "migration": _long(list(d.MIGRATION)),
     "immigrants": _long(list(d.IMMIGRANTS)),
     "cpi": f"""SELECT substr(cast(m AS STRING), 1, 7) AS REF_DATE, 'Canada' AS GEO,
-  CASE k WHEN 0 THEN '{d.CPI_MEASURE["region"]}' WHEN 1 THEN '{d.CPI_MEASURE["province"]}'
+  CASE l_returnflag WHEN 'A' THEN '{d.CPI_MEASURE["region"]}' WHEN 'N' THEN '{d.CPI_MEASURE["province"]}'
     ELSE 'Other' END AS category, VALUE
-FROM (SELECT date_trunc('month', l_shipdate) AS m, l_orderkey % 3 AS k, avg(l_tax) AS VALUE
+FROM (SELECT date_trunc('month', l_shipdate) AS m, l_returnflag, avg(l_tax) AS VALUE
   FROM {{lineitem}} GROUP BY 1, 2) q""",
     "rates": "SELECT cast(day AS STRING) AS d, c0, c1, c2, c3, c4, c5, c6, c7, c8, c9, c10, c11 FROM ("
     "SELECT cast(l_shipdate AS DATE) AS day, " + ", ".join(

@@ -12,7 +12,7 @@ from panelwright.sources.schemas import LISTING
 
 # raw listing texts, in a form that both engines accept
 _RAW = """
-SELECT p_partkey AS id, CASE WHEN p_partkey % 31 <> 0 THEN p_type END AS province,
+SELECT p_partkey AS id, CASE WHEN p_size < 50 THEN p_type END AS province,
   '$ ' || CASE WHEN p_retailprice >= 1000
       THEN cast(cast(floor(p_retailprice / 1000) AS INT) AS STRING) || ',' ||
            lpad(cast(cast(floor(p_retailprice) AS INT) % 1000 AS STRING), 3, '0')
@@ -21,13 +21,13 @@ SELECT p_partkey AS id, CASE WHEN p_partkey % 31 <> 0 THEN p_type END AS provinc
   cast(1 + p_partkey % 28 AS STRING) || '-' ||
     substr('JanFebMarAprMayJunJulAugSepOctNovDec', cast(1 + 3 * (p_partkey % 12) AS INT), 3) || '-' ||
     cast(10 + p_partkey % 9 AS STRING) AS date_added,
-  CASE WHEN p_partkey % 17 <> 0 THEN p_brand END AS locality,
+  CASE WHEN p_size <> 3 THEN p_brand END AS locality,
   'V' || cast(p_partkey % 10 AS STRING) AS postal_code,
   CASE WHEN p_size >= 5 THEN cast(1975 + p_size AS STRING) END AS year_built,
   '$' || cast(p_size AS STRING) AS taxes, p_name AS Basement, cast(p_size AS STRING) || ' acres' AS Lot_size,
-  CASE WHEN p_size % 6 > 0 THEN cast(p_size % 6 AS STRING) END AS Bed,
-  CASE WHEN p_size % 14 > 0 THEN cast(p_size % 14 AS STRING) END AS Baths,
-  CASE WHEN p_size % 7 = 0 THEN NULL WHEN p_size > 25 THEN '1,' || lpad(cast(p_size AS STRING), 3, '0')
+  CASE WHEN p_size <= 40 THEN cast(1 + p_size % 12 AS STRING) END AS Bed,
+  CASE WHEN p_size > 5 THEN cast(1 + p_size % 14 AS STRING) END AS Baths,
+  CASE WHEN p_size BETWEEN 10 AND 15 THEN NULL WHEN p_size > 25 THEN '1,' || lpad(cast(p_size AS STRING), 3, '0')
     ELSE cast(p_size * 20 AS STRING) END AS Area
 FROM {part}"""
 

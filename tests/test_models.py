@@ -105,7 +105,19 @@ def test_ridge_forecast(spark, tmp_path):
 
 
 def test_look_back_forecast(spark):
-    fit = forecast.look_back_forecast(_panel(spark), regions=["id0", "id1", "id2"])
+    panel = _panel(spark)
+    fit = forecast.look_back_forecast(panel, regions=["id0", "id1", "id2"])
+    # the same by least squares over plain arrays
+    series = {}
+    for r in panel.where("DGUID <> 'id9' AND total_house_land IS NOT NULL").orderBy("DGUID", "REF_DATE").collect():
+        series.setdefault(r["DGUID"], []).append((r["REF_DATE"], r["total_house_land"]))
+    samples = [(g, s[i][0], [v for _, v in s[i - 6:i]], s[i][1]) for g, s in series.items() for i in range(6, len(s))]
+    x = np.array([[*lags, *(float(g == h) for h in series)] for g, _, lags, _ in samples])
+    y = np.array([t for *_, t in samples])
+    train = np.array([month < "2018-01" for _, month, _, _ in samples])
+    w, *_ = np.linalg.lstsq(x[train], y[train], rcond=None)
+    got = {(r["DGUID"], r["REF_DATE"]): r["prediction"] for r in fit.predictions.collect()}
+    assert np.allclose([got[g, m] for g, m, _, _ in samples], x @ w, atol=1e-4)
     assert fit.predictions.count() == 3 * (60 - 6)
     errors = {r["is_train"]: r for r in fit.errors.collect()}
     assert errors[False]["mae"] < 3
