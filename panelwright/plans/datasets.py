@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from panelwright.functions.dates import month_of
 from panelwright.functions.labels import after_last_comma, province_of, rewrite_border_cities, strip_code
 from panelwright.operators.lookups import code_lookup, detail_and_average, name_to_id, region_ids
-from panelwright.operators.reshape import keep_all_equal, keep_in, pivot_mean, quoted, with_tags
+from panelwright.operators.reshape import keep_all_equal, pivot_mean, quoted, with_tags
 from panelwright.sources.schemas import RATE_VALUES
 
 REGION_KEYS = ["REF_DATE", "GEO", "DGUID"]
