@@ -17,7 +17,7 @@ from panelwright.functions.labels import region_of_file
 from panelwright.plans import datasets as d
 from panelwright.plans.regional_panel import load_all, panel_columns, regional_panel
 from panelwright.registry.support import plain, r, read, tidy
-from panelwright.session import checkpointed
+from panelwright.session import landed
 from panelwright.sources.schemas import RATE_VALUES
 
 # months are grouped as timestamps and become text afterwards
@@ -130,7 +130,7 @@ def tables(spark: SparkSession, sf_dir: str, names: Sequence[str]) -> dict[str,
     known = {t: read(spark, sf_dir, t) for t in ("nation", "region", "orders", "customer", "lineitem", "supplier")}
     if any("{orders_by_month}" in _INPUTS[name] for name in names):
         # each input reads this table twice, and a panel has nine of them: pass over the orders once
-        known["orders_by_month"] = checkpointed(
+        known["orders_by_month"] = landed(
             spark.sql(ORDERS_BY_MONTH, orders=known["orders"], customer=known["customer"])
         )
     out = {}

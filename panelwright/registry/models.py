@@ -10,14 +10,14 @@ from panelwright.operators import features as f
 from panelwright.operators import regression as g
 from panelwright.plans import forecast
 from panelwright.registry.support import SPINE, r, read, spine, tidy
-from panelwright.session import checkpointed
+from panelwright.session import landed
 
 CUT = "2000-01"
 
 
 def _spine(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The spine in the shared folder: the operators below read it more than once."""
-    return checkpointed(spine(spark, sf_dir))
+    return landed(spine(spark, sf_dir))
 
 
 def _dated(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -191,7 +191,7 @@ def _model_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     nations = read(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("DGUID"), F.col("n_name").alias("GEO"))
     panel = monthly.join(nations, "DGUID").withColumn("REF_DATE", F.date_format("month", "yyyy-MM")).drop("month")
-    return checkpointed(
+    return landed(
         panel.withColumn("balance", F.when(~F.col("REF_DATE").endswith("-02"), F.col("balance")))
     )
 

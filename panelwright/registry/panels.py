@@ -11,7 +11,7 @@ from panelwright.operators.panel import Feature, build_panel
 from panelwright.registry.support import SPINE, r, read, tidy
 from panelwright.sources.files import keys_and_numbers, read_panel
 from panelwright.sources.sinks import write_panel
-from panelwright.session import checkpointed, scratch_path
+from panelwright.session import landed, scratch_path
 
 
 def order_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -27,7 +27,7 @@ def order_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = [
         F.count(F.when(F.col("o_orderstatus") == status, F.lit(1))).alias(f"n_{status.lower()}") for status in "FOP"
     ]
-    return checkpointed(
+    return landed(
         orders.join(customers, F.col("o_custkey") == F.col("c_custkey"))
         .groupBy(F.col("c_nationkey").alias("DGUID"), F.trunc("o_orderdate", "month").alias("start"))
         .agg(F.sum("o_totalprice").alias("total"), F.count("o_totalprice").alias("n"), *counts)
@@ -84,7 +84,7 @@ def line_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sums of the line items per nation of the supplier and day, in the shared folder: one pass over the lines."""
     lines = read(spark, sf_dir, "lineitem").select("l_suppkey", "l_shipdate", "l_quantity", "l_discount", "l_tax")
     suppliers = read(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
-    return checkpointed(
+    return landed(
         lines.join(suppliers, F.col("l_suppkey") == F.col("s_suppkey"))
         .groupBy(F.col("s_nationkey").alias("DGUID"), F.to_date("l_shipdate").alias("day"))
         .agg(F.sum("l_quantity").alias("quantity"), F.sum("l_discount").alias("discount"), F.sum("l_tax").alias("tax"),

@@ -16,7 +16,7 @@ from panelwright.operators.reshape import (
 )
 from panelwright.plans import workbook
 from panelwright.registry.support import SPINE, r, read, spine, tidy
-from panelwright.session import checkpointed
+from panelwright.session import landed
 
 FLAGS = {"A": "mean_a", "N": "mean_n", "R": "mean_r"}
 PRIORITIES = {"1-URGENT": "urgent", "2-HIGH": "high", "3-MEDIUM": "medium"}
@@ -207,7 +207,7 @@ def detail_union_avg(spark: SparkSession, sf_dir: str) -> DataFrame:
     nations = read(spark, sf_dir, "nation")
     regions = read(spark, sf_dir, "region")
     # read as detail, for the averages and for the keys that both have: pass over the customers once
-    balances = checkpointed(customers.groupBy("c_nationkey").agg(F.avg("c_acctbal").alias("balance")))
+    balances = landed(customers.groupBy("c_nationkey").agg(F.avg("c_acctbal").alias("balance")))
     named = balances.join(nations, F.col("c_nationkey") == F.col("n_nationkey")).join(
         regions, F.col("n_regionkey") == F.col("r_regionkey")
     )

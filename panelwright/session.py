@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import os
 import tempfile
 import uuid
@@ -51,14 +52,40 @@ def shared_folder(spark: SparkSession) -> str:
     return _local_folders[context.applicationId]
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """The rows written to the shared folder and read back, so that a lost executor loses none of them."""
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(shared_folder(df.sparkSession))
-    return df.checkpoint()
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A new, so far unused path below the shared folder, deleted by :func:`clean` or when the session ends."""
+    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    _scratch.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
 
 
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new, so far unused path below the shared folder."""
-    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+_scratch: dict[str, list[str]] = {}
+
+
+def landed(df: DataFrame, name: str = "table") -> DataFrame:
+    """The rows written once as Parquet in the shared folder and read back.
+
+    Lineage ends there, so a lost executor loses none of the rows, later reads
+    can prune columns, and the planner knows the true size of the table.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def clean(spark: SparkSession) -> None:
+    """Delete the tables that :func:`landed` and :func:`scratch_path` made in this session.
+
+    To be called when no DataFrame that reads them is needed any more.
+    """
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    for path in _scratch.pop(spark.sparkContext.applicationId, []):
+        place = jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(conf).delete(place, True)
+
+
+@atexit.register
+def _clean_at_exit() -> None:
+    active = SparkSession.getActiveSession()
+    if active is not None:
+        clean(active)

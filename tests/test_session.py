@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import os
 from types import SimpleNamespace
 
 import pytest
@@ -27,5 +28,9 @@ def test_only_a_local_session_may_use_a_folder_of_its_own():
         session.shared_folder(_fake(None, "spark://host:7077", "c"))
 
 
-def test_checkpoint_keeps_rows(spark):
-    assert session.checkpointed(spark.range(10)).count() == 10
+def test_landed_rows_are_read_back_until_cleaned(spark):
+    rows = session.landed(spark.range(10))
+    assert rows.count() == 10
+    path = rows.inputFiles()[0]
+    session.clean(spark)
+    assert not os.path.exists(path.removeprefix("file://"))
