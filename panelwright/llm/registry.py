@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from panelwright.llm import mixing
+from panelwright.llm import mixing, search
 
 QUERIES = {
     "op2_mixing": (mixing.op2, mixing.OP2_SQL),
+    "op4_top_k": (search.op4, search.OP4_SQL),
 }
