@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from panelwright.llm import mixing, search
+from panelwright.llm import html_text, mixing, search
 
 QUERIES = {
+    "op1_main_text": (html_text.op1, None),
     "op2_mixing": (mixing.op2, mixing.OP2_SQL),
     "op4_top_k": (search.op4, search.OP4_SQL),
 }
