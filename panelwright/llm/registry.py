@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from panelwright.llm import bpe, html_text, mixing, search
+from panelwright.llm import bpe, dedup, html_text, mixing, search
 
 QUERIES = {
     "op1_main_text": (html_text.op1, None),
     "op2_mixing": (mixing.op2, mixing.OP2_SQL),
     "op3_bpe": (bpe.op3, None),
     "op4_top_k": (search.op4, search.OP4_SQL),
+    "op6_near_duplicates": (dedup.op6, dedup.OP6_SQL),
 }
