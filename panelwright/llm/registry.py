@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from panelwright.llm import bpe, dedup, html_text, mixing, search
+from panelwright.llm import bpe, dedup, html_text, language, mixing, search
 
 QUERIES = {
     "op1_main_text": (html_text.op1, None),
@@ -10,4 +10,5 @@ QUERIES = {
     "op3_bpe": (bpe.op3, None),
     "op4_top_k": (search.op4, search.OP4_SQL),
     "op6_near_duplicates": (dedup.op6, dedup.OP6_SQL),
+    "op10_language": (language.op10, None),
 }
