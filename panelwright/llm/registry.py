@@ -2,13 +2,34 @@
 
 from __future__ import annotations
 
-from panelwright.llm import bpe, dedup, html_text, language, mixing, search
+from collections.abc import Callable
+from functools import wraps
 
-QUERIES = {
+from pyspark.sql import DataFrame, SparkSession
+
+from panelwright.llm import bpe, dedup, html_text, language, mixing, search, toxicity
+from panelwright.session import ship
+
+
+def shipped(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    """The query, run after the executors have this package."""
+
+    @wraps(query)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        ship(spark)
+        return query(spark, sf_dir)
+
+    return run
+
+
+_ENTRIES = {
     "op1_main_text": (html_text.op1, None),
     "op2_mixing": (mixing.op2, mixing.OP2_SQL),
     "op3_bpe": (bpe.op3, None),
     "op4_top_k": (search.op4, search.OP4_SQL),
     "op6_near_duplicates": (dedup.op6, dedup.OP6_SQL),
+    "op8_toxicity": (toxicity.op8, None),
     "op10_language": (language.op10, None),
 }
+
+QUERIES = {name: (shipped(query), sql) for name, (query, sql) in _ENTRIES.items()}
