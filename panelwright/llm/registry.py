@@ -7,7 +7,7 @@ from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
-from panelwright.llm import bpe, dedup, html_text, language, mixing, search, toxicity
+from panelwright.llm import bpe, dedup, fingerprints, html_text, language, mixing, search, toxicity
 from panelwright.session import ship
 
 
@@ -27,6 +27,7 @@ _ENTRIES = {
     "op2_mixing": (mixing.op2, mixing.OP2_SQL),
     "op3_bpe": (bpe.op3, None),
     "op4_top_k": (search.op4, search.OP4_SQL),
+    "op5_fingerprints": (fingerprints.op5, None),
     "op6_near_duplicates": (dedup.op6, dedup.OP6_SQL),
     "op8_toxicity": (toxicity.op8, None),
     "op10_language": (language.op10, None),
