@@ -196,9 +196,9 @@ def _rows(ids: list[int | None], texts: list[str], following: list[str]) -> pa.R
     columns = {
         "doc_id": pa.array(ids, pa.int64()),
         "n_chars": pa.array([len(t) for t in texts], pa.int64()),
-        "edited_sha256": pa.array([hashlib.sha256(e.encode()).hexdigest() for e in edits]),
-        "fingerprint": pa.array(found["fingerprint"]),
-        "edited_fingerprint": pa.array(found["edited_fingerprint"]),
+        "edited_sha256": pa.array([hashlib.sha256(e.encode()).hexdigest() for e in edits], pa.string()),
+        "fingerprint": pa.array(found["fingerprint"], pa.string()),
+        "edited_fingerprint": pa.array(found["edited_fingerprint"], pa.string()),
         "near_edited": pa.array(found["near_edited"], pa.float64()),
         "near_next": pa.array(found["near_next"], pa.float64()),
     }
