@@ -31,24 +31,30 @@ def union_find(left: np.ndarray, right: np.ndarray) -> dict[int, int]:
     return {x: root(x) for x in list(parent)}
 
 
+#: Edges that one task contracts by union-find, whose forest it holds in memory.
+EDGES_PER_TASK = 500_000
+
+
 def _contract(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """The edges of each batch as stars around the smallest nodes of their components."""
-    for batch in batches:
-        stars = [(x, top) for x, top in union_find(batch["u"].to_numpy(), batch["v"].to_numpy()).items() if x != top]
-        yield pd.DataFrame(stars, columns=["u", "v"], dtype="int64")
+    """The edges of a task as stars around the smallest nodes of their components."""
+    parts = [(batch["u"].to_numpy(), batch["v"].to_numpy()) for batch in batches]
+    if parts:
+        found = union_find(*(np.concatenate(side) for side in zip(*parts)))
+        yield pd.DataFrame([(x, top) for x, top in found.items() if x != top], columns=["u", "v"], dtype="int64")
 
 
 def components(edges: DataFrame) -> DataFrame:
     """node, component: the smallest node that can be reached, for every node of the edges ``u``, ``v`` (long).
 
-    Every batch of edges is first contracted by union-find in its task.  Then
-    large and small stars alternate until all edges are stars around their
-    smallest nodes; each round is a shuffle with a minimum per node, written to
-    the shared folder.  Loops and repeated edges change nothing; rows with a
-    null end are left out; no edges give no rows.
+    Tasks first contract bounded shares of the edges by union-find.  Then large
+    and small stars alternate until all edges are stars around their smallest
+    nodes; each round is a shuffle with a minimum per node, written to the
+    shared folder.  Loops and repeated edges change nothing; rows with a null
+    end are left out; no edges give no rows.
     """
-    links = edges.select("u", "v").filter("u <> v")
-    links = landed(links.mapInPandas(_contract, "u long, v long").distinct(), "links")
+    links = landed(edges.select("u", "v").filter("u <> v"), "links")
+    tasks = links.count() // EDGES_PER_TASK + 1
+    links = landed(links.repartition(tasks).mapInPandas(_contract, "u long, v long").distinct(), "links")
     while True:
         children = links.groupBy(F.col("u").alias("child")).agg(F.count(F.lit(1)).alias("parents"))
         # stars already: one parent each, and no parent is a child

@@ -17,27 +17,30 @@ from panelwright.session import landed
 
 #: Members of a bucket that are compared in one task; larger buckets are cut into tiles of this size.
 TILE = 2_048
+#: Members of a bucket with which all its members are compared first.
+HUBS = 12
 
 
 @dataclass(frozen=True)
 class Rule:
     """Documents are linked whose sets of ``width``-word shingles have a Jaccard similarity of ``percent`` or more.
 
-    ``bands`` x ``rows`` slots make a signature.  At a similarity of 0.85 a pair
-    shares no band with probability 1e-8, at 0.8 with 2e-6.  ``doubt`` is the
-    share of equal slots below which a pair in a band is not verified: over six
-    standard deviations below the similarity asked for.
+    The first ``bands`` x ``rows`` of ``slots`` slots make the bands.  At a
+    similarity of 0.85 a pair shares no band with probability 1e-8, at 0.8 with
+    2e-6.  All slots make the sketch.
     """
 
     width: int = 5
     percent: int = 80
     bands: int = 25
     rows: int = 4
-    doubt: float = 0.50
+    slots: int = 256
 
     @property
-    def slots(self) -> int:
-        return self.bands * self.rows
+    def doubt(self) -> float:
+        """Share of equal slots below which a pair is not verified: five standard deviations below the similarity."""
+        p = self.percent / 100
+        return p - 5 * (p * (1 - p) / self.slots) ** 0.5
 
 
 def superminhash(elements: np.ndarray, owner: np.ndarray, owners: int, m: int) -> np.ndarray:
@@ -90,8 +93,9 @@ def signatures(docs: DataFrame, rule: Rule) -> DataFrame:
                 sizes = np.bincount(owner, minlength=n)
                 table = superminhash(elements, owner, n, rule.slots)
                 keys = np.zeros((n, rule.bands), np.uint64)
+                banded = table[:, : rule.bands * rule.rows].reshape(n, rule.bands, rule.rows)
                 for i in range(rule.rows):
-                    keys = hashing.mix64(keys * np.uint64(31) + table[:, i :: rule.rows][:, : rule.bands])
+                    keys = hashing.mix64(keys * np.uint64(31) + banded[:, :, i])
                 keys = hashing.mix64(keys + np.arange(rule.bands, dtype=np.uint64)).view(np.int64)
                 digest = [np.zeros(n, np.uint64), np.zeros(n, np.uint64)]
                 for i in (0, 1):
@@ -153,12 +157,17 @@ def promising(pairs: DataFrame, heads: DataFrame, rule: Rule) -> DataFrame:
     return sized.select("u", "v", "u_sketch", "v_sketch").mapInArrow(keep, "u long, v long")
 
 
+def set_table(docs: DataFrame, asked: DataFrame, rule: Rule) -> DataFrame:
+    """The full sets of the documents asked for, made of their texts."""
+    # as many ids as duplicates, so no side to broadcast at scale
+    texts = docs.select("doc_id", "text").join(asked.hint("merge"), "doc_id", "left_semi")
+    return landed(shingle_sets(texts, rule).dropDuplicates(["doc_id"]), "sets")
+
+
 def verified(pairs: DataFrame, docs: DataFrame, rule: Rule) -> DataFrame:
-    """The pairs (u, v) that are similar by their full sets, which are made of the texts of these documents alone."""
+    """The pairs (u, v) that are similar by their full sets."""
     pairs = landed(pairs, "pairs")
-    asked = pairs.select(F.explode(F.array("u", "v")).alias("doc_id")).distinct()
-    texts = docs.select("doc_id", "text").join(asked, "doc_id", "left_semi")
-    sets = landed(shingle_sets(texts, rule).dropDuplicates(["doc_id"]), "sets")
+    sets = set_table(docs, pairs.select(F.explode(F.array("u", "v")).alias("doc_id")).distinct(), rule)
     side = lambda name: sets.select(F.col("doc_id").alias(name), F.col("set").alias(f"{name}_set"))
     shared = F.size(F.array_intersect("u_set", "v_set"))
     return (
@@ -170,58 +179,94 @@ def verified(pairs: DataFrame, docs: DataFrame, rule: Rule) -> DataFrame:
     )
 
 
-def _tile_pairs(rule: Rule):
-    """Pairs of different components within tiles, whose rows come sorted by tile."""
+_TILE_KEYS = ["bucket", "low", "high"]
+
+
+def _tiles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """The tiles of rows that come sorted by tile."""
+    held: pa.Table | None = None
+    for batch in batches:
+        table = pa.Table.from_batches([batch])
+        held = table if held is None else pa.concat_tables([held, table])
+        keys = [held.column(n).to_numpy() for n in _TILE_KEYS]
+        new = np.logical_or.reduce([np.diff(k) != 0 for k in keys])
+        cuts = np.r_[0, np.flatnonzero(new) + 1] if len(held) else [0]
+        for first, last in zip(cuts[:-1], cuts[1:]):
+            yield held.slice(first, last - first)
+        held = held.slice(cuts[-1])
+    if held is not None and len(held):
+        yield held
+
+
+def _candidates(tile: pa.Table, rule: Rule) -> Iterator[tuple[int, np.ndarray]]:
+    """(row, later rows) of a tile that may be similar, are in different components, and share no earlier band.
+
+    So a pair is a candidate in the bucket of one band only.
+    """
+    tops, chunk, sizes = (tile.column(n).to_numpy() for n in ("component", "chunk", "n_shingles"))
+    sketch = _rows(tile.column("sketch").combine_chunks())
+    bands = np.concatenate(tile.column("buckets").to_numpy()).reshape(len(tile), -1)
+    bucket, cross = tile.column("bucket")[0].as_py(), tile.column("low")[0] != tile.column("high")[0]
+    for i in range(len(tile) - 1):
+        rest = slice(i + 1, None)
+        fit = tops[rest] != tops[i]
+        fit &= 100 * np.minimum(sizes[rest], sizes[i]) >= rule.percent * np.maximum(sizes[rest], sizes[i])
+        if cross:
+            fit &= chunk[rest] != chunk[i]
+        at = np.flatnonzero(fit) + i + 1
+        at = at[_alike(sketch[at], sketch[i]) >= rule.doubt] if len(at) else at
+        at = at[bands[i, (bands[at] == bands[i]).argmax(axis=1)] == bucket] if len(at) else at
+        if len(at):
+            yield i, at
+
+
+def _suspects(rule: Rule):
+    """The members of tiles that are in a candidate pair."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for tile in _tiles(batches):
+            rows = [np.r_[i, at] for i, at in _candidates(tile, rule)]
+            if rows:
+                yield from tile.select([*_TILE_KEYS, "doc_id"]).take(np.unique(np.concatenate(rows))).to_batches()
+
+    return run
+
 
-    def pairs_of(ids: np.ndarray, tops: np.ndarray, chunk: np.ndarray, sizes: np.ndarray, sketch: np.ndarray, cross: bool):
-        for i in range(len(ids) - 1):
-            rest = slice(i + 1, None)
-            fit = (tops[rest] != tops[i]) & (
-                100 * np.minimum(sizes[rest], sizes[i]) >= rule.percent * np.maximum(sizes[rest], sizes[i])
-            )
-            if cross:
-                fit &= chunk[rest] != chunk[i]
-            at = np.flatnonzero(fit) + i + 1
-            if len(at):
-                at = at[_alike(sketch[at], sketch[i]) >= rule.doubt]
-                yield np.minimum(ids[at], ids[i]), np.maximum(ids[at], ids[i])
+def _links(rule: Rule):
+    """A forest of the verified links of each tile: a pair whose ends are joined already is not looked at."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: pa.Table | None = None
-
-        def flush(table: pa.Table) -> Iterator[pa.RecordBatch]:
-            names = ["bucket", "low", "high", "doc_id", "component", "chunk", "n_shingles"]
-            bucket, low, high, ids, tops, chunk, sizes = (table.column(n).to_numpy() for n in names)
-            sketch = _rows(table.column("sketch").combine_chunks())
-            new = (np.diff(bucket) != 0) | (np.diff(low) != 0) | (np.diff(high) != 0)
-            cuts = np.r_[0, np.flatnonzero(new) + 1, len(bucket)]
+        for tile in _tiles(batches):
+            ids, sets = tile.column("doc_id").to_pylist(), tile.column("set").to_numpy()
+            top = list(range(len(ids)))
+
+            def find(x: int) -> int:
+                while top[x] != x:
+                    top[x] = x = top[top[x]]
+                return x
+
             found = []
-            for a, b in zip(cuts[:-1], cuts[1:]):
-                found.extend(pairs_of(ids[a:b], tops[a:b], chunk[a:b], sizes[a:b], sketch[a:b], low[a] != high[a]))
+            for i, at in _candidates(tile, rule):
+                for j in at.tolist():
+                    if find(i) != find(j):
+                        shared = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
+                        if 100 * shared >= rule.percent * (len(sets[i]) + len(sets[j]) - shared):
+                            top[find(i)] = find(j)
+                            found.append((ids[i], ids[j]))
             if found:
-                u, v = (np.concatenate(x) for x in zip(*found))
-                yield pa.RecordBatch.from_arrays([pa.array(u), pa.array(v)], ["u", "v"])
-
-        for batch in batches:
-            table = pa.Table.from_batches([batch])
-            held = table if held is None else pa.concat_tables([held, table])
-            keys = [held.column(n).to_numpy() for n in ("bucket", "low", "high")]
-            same = np.logical_and.reduce([k == k[-1] for k in keys]) if len(held) else np.empty(0, bool)
-            whole = int(np.flatnonzero(~same)[-1]) + 1 if (~same).any() else 0
-            yield from flush(held.slice(0, whole)) if whole else ()
-            held = held.slice(whole)
-        if held is not None and len(held):
-            yield from flush(held)
+                yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*found)], ["u", "v"])
 
     return run
 
 
-def across_components(buckets: DataFrame, heads: DataFrame, tops: DataFrame, rule: Rule) -> DataFrame:
-    """All promising pairs (u, v) of a bucket whose ends are in different components so far.
+def links_across(buckets: DataFrame, heads: DataFrame, tops: DataFrame, docs: DataFrame, rule: Rule) -> DataFrame:
+    """Links (u, v) that join all documents of a bucket that can be joined, between its components so far.
 
     Only buckets that still hold several components are opened.  A bucket above
     ``TILE`` members is cut into chunks by a hash, and every pair of chunks is a
-    tile, so no task gets a whole hot bucket and no pair is left out.
+    tile, so no task gets a whole hot bucket and no pair is left out.  Sketches
+    tell which members of a tile may have a partner; the full sets of these
+    alone are then compared, inside the tile, and only links leave it.
     """
     placed = buckets.join(tops.withColumnRenamed("node", "doc_id"), "doc_id", "left").withColumn(
         "component", F.coalesce("component", "doc_id")
@@ -232,29 +277,39 @@ def across_components(buckets: DataFrame, heads: DataFrame, tops: DataFrame, rul
         .filter("first <> last AND n > 2")
         .select("bucket", F.expr(f"cast((n - 1) div {TILE} + 1 as int)").alias("chunks"))
     )
-    chunk = F.pmod(F.xxhash64("doc_id"), F.col("chunks")).cast("int")
     tiled = (
         placed.join(opened, "bucket")
-        .withColumn("chunk", chunk)
+        .withColumn("chunk", F.pmod(F.xxhash64("doc_id"), F.col("chunks")).cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
         .select(
             "bucket", F.least("chunk", "other").alias("low"), F.greatest("chunk", "other").alias("high"),
             "doc_id", "component", "chunk",
         )
-        .join(heads.select("doc_id", "n_shingles", "sketch"), "doc_id")
-        .select("bucket", "low", "high", "doc_id", "component", "chunk", "n_shingles", "sketch")
     )
-    dealt = tiled.repartition("bucket", "low", "high").sortWithinPartitions("bucket", "low", "high")
-    return dealt.mapInArrow(_tile_pairs(rule), "u long, v long").distinct()
+    tiled = landed(tiled, "tiles")
+    described = tiled.join(heads.select("doc_id", "n_shingles", "sketch", "buckets"), "doc_id")
+    order = [*_TILE_KEYS, "doc_id"]
+    dealt = described.select(*order, "component", "chunk", "n_shingles", "sketch", "buckets").repartition(*_TILE_KEYS)
+    schema = "bucket long, low int, high int, doc_id long"
+    suspects = landed(dealt.sortWithinPartitions(*order).mapInArrow(_suspects(rule), schema), "suspects")
+    asked = suspects.select("doc_id").distinct()
+    sets = set_table(docs, asked, rule)
+    held = described.join(suspects, order, "left_semi").join(sets, "doc_id")
+    return (
+        held.select(*order, "component", "chunk", "n_shingles", "sketch", "buckets", "set")
+        .repartition(*_TILE_KEYS)
+        .sortWithinPartitions(*order)
+        .mapInArrow(_links(rule), "u long, v long")
+    )
 
 
 def near_duplicates(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
     """doc_id, n_shingles, component_id, kept of every row of ``docs`` (doc_id, text).
 
     Documents with equal sets are one class, and only its smallest id goes on.
-    In each bucket of a band all classes are paired with the smallest one;
-    promising pairs are verified on full sets, and union-find makes components
-    of the links.  Buckets that then still hold several components are compared
+    In each bucket of a band all classes are paired with the same ``HUBS``
+    members, those with the least hashes; promising pairs are verified on full
+    sets, and union-find makes components of the links.  Buckets that then still hold several components are compared
     in full, pairs of one component left out, and the components are made anew
     of all links.  So no link that could join two components of a bucket is
     missed, and no bucket is expanded into all its pairs.
@@ -275,13 +330,18 @@ def near_duplicates(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
     )
     heads = landed(heads if repeated else heads.dropDuplicates(["doc_id"]), "heads")
     every = heads.select("doc_id", F.explode("buckets").alias("bucket"))
-    shared = every.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("hub")).filter("n > 1")
-    buckets = landed(every.join(shared.select("bucket", "hub"), "bucket"), "buckets")
-    to_hubs = buckets.filter("doc_id <> hub").select(F.col("hub").alias("u"), F.col("doc_id").alias("v")).distinct()
+    least = [F.min(F.struct(F.xxhash64("doc_id", F.lit(k)), "doc_id"))["doc_id"] for k in range(HUBS)]
+    shared = every.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.array_distinct(F.array(*least)).alias("hubs"))
+    buckets = landed(every.join(shared.filter("n > 1"), "bucket"), "buckets")
+    to_hubs = (
+        buckets.select("doc_id", F.explode("hubs").alias("hub"))
+        .filter("doc_id <> hub")
+        .select(F.least("doc_id", "hub").alias("u"), F.greatest("doc_id", "hub").alias("v"))
+        .distinct()
+    )
     first = landed(verified(promising(to_hubs, heads, rule), docs, rule), "edges")
     tops = components(first)
-    more = across_components(buckets.drop("hub"), heads, tops, rule)
-    second = verified(more, docs, rule)
+    second = links_across(buckets.select("doc_id", "bucket"), heads, tops, docs, rule)
     copies = members.filter("doc_id <> head").select(F.col("head").alias("u"), F.col("doc_id").alias("v"))
     stars = tops.filter("node <> component").select(F.col("node").alias("u"), F.col("component").alias("v"))
     groups = components(stars.unionAll(second).unionAll(copies))
@@ -298,7 +358,7 @@ def near_duplicates(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
 
 
 #: What the query asks for: 3-word shingles, similarity 0.85.
-OP6 = Rule(width=3, percent=85, doubt=0.55)
+OP6 = Rule(width=3, percent=85)
 
 
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
