@@ -7,7 +7,7 @@ from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
-from panelwright.llm import bpe, dedup, fingerprints, html_text, language, mixing, search, toxicity
+from panelwright.llm import bpe, dedup, fingerprints, html_text, language, mixing, search, toxicity, warc
 from panelwright.session import ship
 
 
@@ -29,6 +29,7 @@ _ENTRIES = {
     "op4_top_k": (search.op4, search.OP4_SQL),
     "op5_fingerprints": (fingerprints.op5, None),
     "op6_near_duplicates": (dedup.op6, dedup.OP6_SQL),
+    "op7_warc": (warc.op7, warc.OP7_SQL),
     "op8_toxicity": (toxicity.op8, None),
     "op10_language": (language.op10, None),
 }
