@@ -7,7 +7,7 @@ from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
-from panelwright.llm import bpe, dedup, fingerprints, html_text, language, mixing, search, toxicity, warc
+from panelwright.llm import bpe, dedup, fingerprints, html_text, language, lm, mixing, search, toxicity, warc
 from panelwright.session import ship
 
 
@@ -31,6 +31,7 @@ _ENTRIES = {
     "op6_near_duplicates": (dedup.op6, dedup.OP6_SQL),
     "op7_warc": (warc.op7, warc.OP7_SQL),
     "op8_toxicity": (toxicity.op8, None),
+    "op9_lm": (lm.op9, None),
     "op10_language": (language.op10, None),
 }
 
