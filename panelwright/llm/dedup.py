@@ -357,6 +357,19 @@ def near_duplicates(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
     )
 
 
+def one_of_each(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
+    """The rows of ``docs`` without all but the smallest id of each group of near duplicates.
+
+    Rows that repeat an id and its text are one document, of which one row stays.
+    """
+    dropped = near_duplicates(docs, rule).filter("NOT kept").select("doc_id").distinct()
+    left = docs.join(dropped, "doc_id", "left_anti").select(docs.columns)
+    repeated = docs.filter("doc_id IS NOT NULL").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    if repeated.isEmpty():
+        return left
+    return left.filter("doc_id IS NOT NULL").dropDuplicates(["doc_id", "text"]).unionByName(left.filter("doc_id IS NULL"))
+
+
 #: What the query asks for: 3-word shingles, similarity 0.85.
 OP6 = Rule(width=3, percent=85)
 

@@ -76,7 +76,7 @@ def shuffled(sized: DataFrame, sources: DataFrame, documents: int, seed: str) ->
     buckets = documents // BUCKET_DOCS + 1
     digest = F.md5(F.concat(F.lit(seed), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))))
     keyed = sized.join(sources, sized["source"].eqNullSafe(sources["source"])).select(
-        "doc_id", "size", "sid", "source_size", "target", digest.alias("digest")
+        "doc_id", "size", sources["source"], "sid", "source_size", "target", digest.alias("digest")
     )
     leading = F.conv(F.substring("digest", 1, 8), 16, 10).cast("long")
     keyed = keyed.withColumn("bucket", F.shiftrightunsigned(leading * buckets, 32))
@@ -91,7 +91,7 @@ def shuffled(sized: DataFrame, sources: DataFrame, documents: int, seed: str) ->
         keyed.withColumns({"inner": F.coalesce(F.sum("size").over(inside), F.lit(0)), "row": F.count(F.lit(1)).over(inside)})
         .join(starts, ["sid", "bucket"])
         .withColumn("start", F.col("offset") + F.col("inner"))
-        .select("doc_id", "size", "sid", "bucket", "row", "source_size", "target", "start")
+        .select("doc_id", "size", "source", "sid", "bucket", "row", "source_size", "target", "start")
     )
 
 
@@ -149,12 +149,13 @@ def schedule(sources: DataFrame, block_words: int) -> DataFrame:
 
 def mix(docs: DataFrame, text: str = "text", source: str = "source", key: str = "doc_id",
         block_words: int = BLOCK_WORDS, seed: str = "mix-1:") -> DataFrame:
-    """doc_id, size, source_size, target, taken of every document.
+    """doc_id, size, source_size, target, taken and source of every document.
 
     Each source is laid out in a shuffled order and cut into blocks of equal
     words; :func:`schedule` tells which blocks are read and how often, and a
     join of blocks with the documents that lie in them tells the words taken of
-    each.  A source's taken words are its target, rounded.  The result depends
+    each.  Slots and blocks grow with the words, though they come from the few
+    rows of the sources, so their joins are told not to broadcast them.  A source's taken words are its target, rounded.  The result depends
     on the rows alone, not on their partitions.
 
     Null texts and texts without words have size 0 and take nothing; a null
@@ -185,9 +186,9 @@ def mix(docs: DataFrame, text: str = "text", source: str = "source", key: str =
     return (
         pieces.join(picks, ["sid", "block"], "left")
         .withColumn("words", F.coalesce(words, F.lit(0)))
-        .groupBy("sid", "bucket", "row", "doc_id", "size", "source_size", "target")
+        .groupBy("sid", "bucket", "row", "doc_id", "size", "source_size", "target", "source")
         .agg(F.sum("words").alias("taken"))
-        .select("doc_id", "size", "source_size", "target", "taken")
+        .select("doc_id", "size", "source_size", "target", "taken", "source")
     )
 
 
@@ -195,21 +196,26 @@ def passes(docs: DataFrame, mixed: DataFrame) -> DataFrame:
     """The mixed documents: one row for each time a document is read, with the columns of ``docs``.
 
     A pass that ends inside a document keeps its first words, joined by spaces,
-    and ``n_chars`` says so.  ``mixed`` is the result of :func:`mix`; ids are
-    taken as unique here, rows of a null id are left out with what is not read.
+    and ``n_chars`` says so.  ``mixed`` is the result of :func:`mix` for these
+    rows; rows of one id are told apart by source and size.
     """
-    taken = mixed.filter("taken > 0").select("doc_id", "size", "taken")
-    read_through = docs.join(taken, "doc_id").withColumn(
-        "_pass", F.explode(F.sequence(F.lit(1).cast("long"), F.expr("(taken + size - 1) div size")))
+    size = F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0))
+    numbered = lambda size: F.row_number().over(Window.partitionBy("doc_id").orderBy("source", size))
+    taken = mixed.withColumn("_n", numbered(F.col("size"))).filter("taken > 0").select(
+        F.col("doc_id").alias("_id"), "_n", F.col("size").alias("_size"), F.col("taken").alias("_taken")
     )
-    words = F.least(F.col("size"), F.col("taken") - (F.col("_pass") - 1) * F.col("size")).cast("int")
+    own = docs.withColumn("_own", size).withColumn("_row", numbered(F.col("_own")))
+    read_through = own.join(taken, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_row") == F.col("_n"))).withColumn(
+        "_pass", F.explode(F.sequence(F.lit(1).cast("long"), F.expr("(_taken + _size - 1) div _size")))
+    )
+    words = F.least(F.col("_size"), F.col("_taken") - (F.col("_pass") - 1) * F.col("_size")).cast("int")
     cut = F.array_join(F.slice(F.regexp_extract_all("text", F.lit(WORD), F.lit(0)), F.lit(1), words), " ")
-    text = F.when(words < F.col("size"), cut).otherwise(F.col("text"))
+    text = F.when(words < F.col("_size"), cut).otherwise(F.col("text"))
     return read_through.withColumn("text", text).withColumn("n_chars", F.length("text").cast("long")).select(docs.columns)
 
 
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mix(read(spark, sf_dir, "documents"))
+    return mix(read(spark, sf_dir, "documents")).drop("source")
 
 
 #: The schedule reads every block of a source once per pass and ends inside one pass, so what it takes of a
