@@ -11,12 +11,11 @@ from panelwright.functions.labels import _col
 def round_half_up(value: Column | str, digits: int) -> Column:
     """Round half up as double, independent of noise in the last bits of a sum.
 
-    The order in which executors add doubles differs from run to run; passing
-    through a decimal with a few more digits keeps exact halves on one side.
+    The order in which executors add doubles differs from run to run; rounding
+    to a few more digits first keeps exact halves on one side.  The rule is the
+    same for values of any size.
     """
-    v = _col(value)
-    exact = F.round(v.try_cast(f"decimal(38,{digits + 4})"), digits).cast("double")
-    return F.coalesce(exact, F.round(v, digits))
+    return F.round(F.round(_col(value).cast("double"), digits + 4), digits)
 
 
 def monthly_share(annual: Column | str, digits: int = 2) -> Column:

@@ -1,12 +1,14 @@
 """Batch jobs: ``spark-submit run.py <job> ...``.
 
-    panel     --statistics DIR --codes FILE --weather DIR --rates FILE --out DIR [--by province] [--csv] [--plain]
+    panel     --statistics DIR --codes FILE --weather DIR --rates FILE --out DIR [--by province] [--form csv [--files N]] [--plain]
     combine   PARTS OUT          join headed listing part files into one table
     clean     IN OUT             clean raw listings (CSV without header)
     report    KIND IN            beds, baths, localities, provinces, highest, lowest or correlation of cleaned listings
     pages     IN OUT             listing rows out of stored pages (Parquet with url and html)
     workbook  KIND PANEL         unit, year or map: distinct index values
     forecast  KIND PANEL OUT     ridge or look-back: predictions, and the model in OUT/model
+
+The last two read a panel by region, written as Parquet or, with ``--form csv``, as CSV.
 """
 
 from __future__ import annotations
@@ -21,6 +23,7 @@ from panelwright.functions.numbers import round_half_up
 from panelwright.plans import forecast, listings, pages, workbook
 from panelwright.plans.datasets import REGION_KEYS
 from panelwright.plans.regional_panel import load_all, regional_panel
+from panelwright.session import landed, ship
 from panelwright.sources import files, sinks
 from panelwright.sources.schemas import PRODUCTS
 from panelwright.sources.statistics import statistics_table
@@ -38,9 +41,13 @@ SHEETS = {"unit": workbook.distinct_by_unit, "year": workbook.distinct_by_year,
 
 
 def scan_tables(spark: SparkSession, statistics: str, codes: str, weather: str, rates: str, zipped: bool = True) -> dict[str, DataFrame]:
-    """All inputs of the panel.  Each statistics table lies in a folder named after its product id."""
+    """All inputs of the panel.  Each statistics table lies in a folder named after its product id.
+
+    Every archive is read once and lands as Parquet in the shared folder.
+    """
     tables = {
-        name: statistics_table(spark, f"{statistics}/{product}", name, zipped) for name, (product, _) in PRODUCTS.items()
+        name: landed(statistics_table(spark, f"{statistics}/{product}", name, zipped), name)
+        for name, (product, _) in PRODUCTS.items()
     }
     tables["uom"] = files.code_set(spark, codes, "uom")
     tables["scalar"] = files.code_set(spark, codes, "scalar")
@@ -52,16 +59,23 @@ def scan_tables(spark: SparkSession, statistics: str, codes: str, weather: str,
 def panel(spark: SparkSession, a: argparse.Namespace) -> DataFrame:
     tables = scan_tables(spark, a.statistics, a.codes, a.weather, a.rates, not a.plain)
     out = regional_panel(load_all(tables, a.by), a.by)
-    (sinks.write_panel_csv if a.csv else sinks.write_panel)(out, a.out)
-    return files.read_panel(spark, a.out) if not a.csv else spark.read.option("header", True).csv(a.out)
+    if a.form == "csv":
+        sinks.write_panel_csv(out, a.out, a.files)
+    else:
+        sinks.write_panel(out, a.out)
+    return files.read_panel(spark, a.out, a.form, a.by)
 
 
-def _read_panel(spark: SparkSession, path: str) -> DataFrame:
-    return files.read_panel(spark, path, "csv" if path.endswith(".csv") else "parquet")
+def panel_by_region(spark: SparkSession, a: argparse.Namespace) -> DataFrame:
+    """A written panel that has the columns these jobs are about."""
+    rows = files.read_panel(spark, a.panel, a.form)
+    if forecast.TARGET not in rows.columns:
+        raise ValueError(f"{a.panel} has no {forecast.TARGET}: the {a.job} job needs a panel by region")
+    return rows
 
 
 def fit(spark: SparkSession, a: argparse.Namespace) -> DataFrame:
-    rows = _read_panel(spark, a.panel)
+    rows = panel_by_region(spark, a)
     if a.kind == "ridge":
         numbers = files.numeric_columns(rows.drop("house_only", "land_only", "total_house_land", "panel_year"))
         result = forecast.ridge_forecast(rows, numbers)
@@ -74,7 +88,6 @@ def fit(spark: SparkSession, a: argparse.Namespace) -> DataFrame:
         "is_train", "n", *[round_half_up(c, 4).alias(c) for c in ("mae", "mse", "r2")]
     ).orderBy(F.desc("is_train"))
     errors.show()
-    result.rows.unpersist()
     return errors
 
 
@@ -85,7 +98,8 @@ def _parser() -> argparse.ArgumentParser:
     for name in ("statistics", "codes", "weather", "rates", "out"):
         p.add_argument(f"--{name}", required=True)
     p.add_argument("--by", choices=["region", "province"], default="region")
-    p.add_argument("--csv", action="store_true")
+    p.add_argument("--form", choices=["parquet", "csv"], default="parquet")
+    p.add_argument("--files", type=int, help="number of CSV files; as many as there are tasks if not given")
     p.add_argument("--plain", action="store_true", help="statistics are plain CSV files, not zip archives")
     for job in ("combine", "clean", "pages"):
         p = jobs.add_parser(job)
@@ -97,16 +111,19 @@ def _parser() -> argparse.ArgumentParser:
     p = jobs.add_parser("workbook")
     p.add_argument("kind", choices=list(SHEETS))
     p.add_argument("panel")
+    p.add_argument("--form", choices=["parquet", "csv"], default="parquet")
     p = jobs.add_parser("forecast")
     p.add_argument("kind", choices=["ridge", "look-back"])
     p.add_argument("panel")
     p.add_argument("out")
+    p.add_argument("--form", choices=["parquet", "csv"], default="parquet")
     return parser
 
 
 def main(arguments: Sequence[str] | None = None, spark: SparkSession | None = None) -> DataFrame | None:
     a = _parser().parse_args(arguments)
     spark = spark or SparkSession.builder.appName(f"panelwright {a.job}").getOrCreate()
+    ship(spark)
     if a.job == "panel":
         return panel(spark, a)
     if a.job == "forecast":
@@ -114,7 +131,7 @@ def main(arguments: Sequence[str] | None = None, spark: SparkSession | None = No
     if a.job == "report":
         out = REPORTS[a.kind](files.clean_listings_file(spark, a.source))
     elif a.job == "workbook":
-        out = SHEETS[a.kind](_read_panel(spark, a.panel))
+        out = SHEETS[a.kind](panel_by_region(spark, a))
     else:
         if a.job == "combine":
             rows = listings.combine_listings(spark, a.source)

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from panelwright.functions.numbers import round_half_up
 from panelwright.operators.reshape import all_not_null, quoted
 
 
@@ -65,28 +66,25 @@ def extremes_by_value(df: DataFrame, group: str, value: str, how: str = "max") -
 
 
 def top_member(
-    df: DataFrame, group: str, member: str, value: str, extra: Sequence[str] = (), name: str = "maxprice"
+    df: DataFrame, group: str, member: str, value: str, extra: Sequence[str] = (), name: str = "maxprice",
+    digits: int = 8,
 ) -> DataFrame:
     """Members (say localities) with the largest average value among those seen in their group (say province).
 
-    The average is taken over all rows of the member, in whatever group.
-    Returns the distinct (group, member, extra columns, average) of the
-    winners.  The rows are read once and summed per place first, so the
-    windows see places, not rows.
+    The average is taken over all rows of the member, in whatever group, and
+    rounded to ``digits``, so that equal averages tie however their sums were
+    added.  Returns the distinct (group, member, extra columns, average) of the
+    winners.  The rows are read once and summed per place first.
     """
     v = F.col(quoted(value)).cast("double")
     known = df.where(all_not_null([member]))
     places = known.groupBy(*[quoted(c) for c in [group, member, *extra]]).agg(F.sum(v).alias("_sum"), F.count(v).alias("_n"))
-    whole = Window.partitionBy(quoted(member))
-    average = F.try_divide(F.sum("_sum").over(whole), F.sum("_n").over(whole))
-    rank = F.rank().over(Window.partitionBy(quoted(group)).orderBy(F.col(name).desc_nulls_last()))
-    return (
-        places.withColumn(name, average)
-        .where(F.col(name).isNotNull())
-        .withColumn("_rank", rank)
-        .where("_rank = 1")
-        .drop("_rank", "_sum", "_n")
-    )
+    average = round_half_up(F.try_divide(F.sum("_sum"), F.sum("_n")), digits)
+    members = places.groupBy(quoted(member)).agg(average.alias(name)).where(F.col(name).isNotNull())
+    found = places.drop("_sum", "_n").join(members, member)
+    best = found.groupBy(F.col(quoted(group)).alias("_group")).agg(F.max(name).alias("_best"))
+    same = F.col(quoted(group)).eqNullSafe(F.col("_group")) & (F.col(name) == F.col("_best"))
+    return found.join(best, same, "left_semi")
 
 
 def pearson(x: Column, y: Column) -> Column:

@@ -4,10 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.ml import Pipeline
+from pyspark.ml.feature import OneHotEncoder, StringIndexer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from panelwright.operators.reshape import quoted
+from panelwright.session import landed
 
 
 def fill_constant(df: DataFrame, **values: object) -> DataFrame:
@@ -21,17 +24,23 @@ def fill_mean(df: DataFrame, *columns: str) -> DataFrame:
     return df.withColumn("_means", means).withColumns(filled).drop("_means")
 
 
-def one_hot(df: DataFrame, column: str, prefix: str, levels: Sequence[str] | None = None, limit: int = 1000) -> DataFrame:
-    """A 0/1 column ``<prefix>_<level>`` per level of a column, all levels kept.
+def levels_of(df: DataFrame, column: str) -> list[str]:
+    """The distinct values of a column, in order.  They come to the driver: for columns that become names of columns."""
+    rows = df.select(F.col(quoted(column)).alias("level")).dropna().distinct().orderBy("level").collect()
+    return [r["level"] for r in rows]
 
-    Without given levels they are looked up, in order.  More than ``limit`` of
-    them is an error: each level becomes a column.
-    """
-    if levels is None:
-        rows = df.select(F.col(quoted(column)).alias("level")).dropna().distinct().orderBy("level").head(limit + 1)
-        levels = [r["level"] for r in rows]
-        if len(levels) > limit:
-            raise ValueError(f"{column} has more than {limit} levels")
+
+def one_hot_vector(df: DataFrame, column: str, name: str) -> DataFrame:
+    """A sparse 0/1 vector over all levels of a column, however many, in the order of the levels; NULL has no 1."""
+    index = StringIndexer(inputCol=column, outputCol="_index", stringOrderType="alphabetAsc", handleInvalid="keep")
+    encoder = OneHotEncoder(inputCol="_index", outputCol="_vector", dropLast=True)
+    # the extra index of NULL comes last, and the last one has no position
+    coded = Pipeline(stages=[index, encoder]).fit(df).transform(df)
+    return coded.withColumnRenamed("_vector", name).drop("_index")
+
+
+def one_hot(df: DataFrame, column: str, prefix: str, levels: Sequence[str]) -> DataFrame:
+    """A 0/1 column ``<prefix>_<level>`` per named level of a column; for any number of levels see :func:`one_hot_vector`."""
     return df.withColumns({
         f"{prefix}_{level}": F.coalesce((F.col(quoted(column)) == F.lit(level)).cast("int"), F.lit(0))
         for level in levels
@@ -42,7 +51,9 @@ def impute_regression(df: DataFrame, group: str, x: str, columns: Sequence[str])
     """NULLs of each column replaced by a line fitted on x per group, over the rows that have a value.
 
     A group with values at one x only gets their mean, a group without any
-    gets 0.  All lines come from one aggregation with one row per group.
+    gets 0.  All lines come from one aggregation with one row per group, written
+    to the shared folder: its size is known then, and below the threshold Spark
+    broadcasts it, so that the wide rows are not shuffled.
     """
     at = f"cast({quoted(x)} AS double)"
     stats = []
@@ -53,7 +64,7 @@ def impute_regression(df: DataFrame, group: str, x: str, columns: Sequence[str])
             F.expr(f"avg({y}) AS _mean{i}"),
             F.expr(f"avg(CASE WHEN {y} IS NOT NULL THEN {at} END) AS _middle{i}"),
         ]
-    lines = df.groupBy(F.col(quoted(group)).alias("_group")).agg(*stats)
+    lines = landed(df.groupBy(F.col(quoted(group)).alias("_group")).agg(*stats), "lines")
     joined = df.join(lines, F.col(quoted(group)).eqNullSafe(F.col("_group")), "left")
     # a NULL slope (values at one x only) leaves the mean
     filled = {
@@ -152,9 +163,9 @@ def look_back(
     )
 
 
-def lags(df: DataFrame, group: str, order: str, column: str, n: int) -> DataFrame:
+def lags(df: DataFrame, group: str, order: str, column: str, n: int, bucket: Column | None = None) -> DataFrame:
     """The flat form: ``<column>_lag1`` ... ``<column>_lag<n>``, rows with fewer predecessors dropped."""
-    history = look_back(df, group, order, [column], n, "_history")
+    history = look_back(df, group, order, [column], n, "_history", bucket)
     return history.withColumns({
         f"{column}_lag{k}": F.get("_history", F.lit(n - k))[column] for k in range(1, n + 1)
     }).drop("_history")

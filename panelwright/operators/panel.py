@@ -8,7 +8,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelwright.functions.dates import is_month, year_of
+from panelwright.functions.dates import year_of
 from panelwright.functions.numbers import monthly_share
 from panelwright.operators.reshape import all_not_null, quoted, with_tags
 
@@ -66,10 +66,11 @@ def build_panel(
 ) -> DataFrame:
     """The spine with the columns of every feature; exactly one output row per spine row.
 
+    Periods are matched as they are written, months or any other form.
+
     Features with the same key are joined next to each other, so the spine is
-    shuffled once per kind of key and not once per feature.  A national table
-    is broadcast: it holds one row per calendar month or year at most, which
-    bounds its size whatever the size of its source.
+    shuffled once per kind of key and not once per feature.  Nothing is told to
+    be broadcast: Spark does so with what is below its threshold when it is known.
     """
     order = [(g, b) for b in ("region", "national") for g in ("month", "year")]
     for f in features:
@@ -79,8 +80,6 @@ def build_panel(
     out = spine.withColumn(year, year_of(period))
     for f in sorted(features, key=lambda f: order.index((f.grain, f.by))):
         data = f.data
-        if f.by == "national":
-            data = data.where(is_month(period) if f.grain == "month" else F.col(period).rlike(r"^\d{4}$"))
         time = period if f.grain == "month" else year
         if time != period:
             data = data.withColumnRenamed(period, time)
@@ -90,6 +89,6 @@ def build_panel(
             side = side.withColumns({c: monthly_share(quoted(c)) for c in f.annual})
         if f.tags:
             side = with_tags(side, **f.tags)
-        out = out.join(F.broadcast(side) if f.by == "national" else side, keys, "left")
+        out = out.join(side, keys, "left")
     names = [*spine.columns, *[c for f in features for c in [*f.tags, *f.columns]]]
     return out.select(*[quoted(c) for c in names])

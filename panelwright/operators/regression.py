@@ -71,6 +71,8 @@ def polynomial_ridge(
         best = {r["feature"] for r in best_features(train, columns, target, k).collect()}
         chosen = [c for c in columns if c in best]
     facts = train.agg(F.count(quoted(target)).alias("n"), F.stddev_pop(quoted(target)).alias("spread")).first()
+    if not facts["n"]:
+        raise ValueError(f"no training row has a {target}")
     penalty = alpha / facts["n"] * facts["spread"]
     stages = [VectorAssembler(inputCols=chosen, outputCol="_inputs")]
     if degree > 1:

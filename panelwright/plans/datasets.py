@@ -15,9 +15,10 @@ from pyspark.sql import functions as F
 
 from panelwright.functions.dates import month_of
 from panelwright.functions.labels import after_last_comma, province_of, rewrite_border_cities, strip_code
-from panelwright.operators.lookups import code_lookup, detail_and_average, name_to_id, region_ids
+from panelwright.operators.lookups import code_lookup, detail_and_average, name_to_id
 from panelwright.operators.reshape import keep_all_equal, pivot_mean, quoted, with_tags
 from panelwright.sources.schemas import RATE_VALUES
+from panelwright.session import landed
 
 REGION_KEYS = ["REF_DATE", "GEO", "DGUID"]
 LABEL_KEYS = ["REF_DATE", "GEO"]
@@ -158,7 +159,7 @@ def housing(long: DataFrame, uom: DataFrame, scalar: DataFrame, by: str = "regio
     if not own_rows:
         wide = wide.where(F.trim("GEO") != label)
     keys = [label.alias("province"), month, *units]
-    return wide.groupBy(*keys).agg(*[F.avg(c).alias(avg_name(c)) for c in ("house_only", "land_only")])
+    return wide.groupBy(*keys).agg(*[F.avg(c).alias(avg_name(c)) for c in HOUSING.values()])
 
 
 def income(long: DataFrame, uom: DataFrame, scalar: DataFrame, by: str = "region") -> DataFrame:
@@ -235,18 +236,23 @@ def cpi(long: DataFrame, by: str = "region") -> DataFrame:
     return with_tags(wide, **cpi_tags(by))
 
 
-def fuel(long: DataFrame, housing_long: DataFrame | None = None, by: str = "region", keep_duplicates: bool = False) -> DataFrame:
-    """Fuel prices of cities and, under the province's own id, the mean of its cities."""
+def fuel(long: DataFrame, ids: DataFrame | None = None, by: str = "region", keep_duplicates: bool = False) -> DataFrame:
+    """Fuel prices of cities and, under the province's own id, the mean of its cities.
+
+    ``ids`` are the :func:`region_ids` of the housing table.  The region variant
+    uses the pivoted rows three times, so they are written once.
+    """
     prices = list(FUEL.values())
     wide = pivot_mean(long, _keys(by), "Type of fuel", FUEL)
     label = province_of("GEO")
     if by == "province":
         means = province_mean(wide, label, prices)
         return with_tags(means, **fuel_tags(by))
-    if housing_long is None:
+    if ids is None:
         raise ValueError("the ids of provinces come from the housing table")
+    wide = landed(wide, "fuel")
     means = wide.groupBy(label.alias("GEO"), "REF_DATE").agg(*[F.avg(c).alias(c) for c in prices])
-    averages = name_to_id(means, region_ids(housing_long))
+    averages = name_to_id(means, ids)
     both = detail_and_average(wide, averages, ["DGUID", "REF_DATE"], keep_duplicates)
     return with_tags(both, **fuel_tags(by))
 
@@ -276,12 +282,12 @@ def rates(daily: DataFrame, by: str = "region") -> DataFrame:
     )
 
 
-def weather(stations: DataFrame, housing_long: DataFrame | None = None, by: str = "region") -> DataFrame:
-    """Monthly weather per region; the region variant drops repeated rows and adds the id of the label."""
+def weather(stations: DataFrame, ids: DataFrame | None = None, by: str = "region") -> DataFrame:
+    """Monthly weather per region without repeated rows; the region variant adds the id of the label."""
     _check(by)
+    rows = stations.select("GEO", "REF_DATE", *WEATHER).dropDuplicates()
     if by == "province":
-        return stations.select(F.col("GEO").alias("province"), "REF_DATE", *WEATHER)
-    if housing_long is None:
+        return rows.withColumnRenamed("GEO", "province")
+    if ids is None:
         raise ValueError("the ids of regions come from the housing table")
-    rows = stations.select("GEO", "REF_DATE", *WEATHER).dropDuplicates()
-    return name_to_id(rows, region_ids(housing_long))
+    return name_to_id(rows, ids)

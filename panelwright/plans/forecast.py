@@ -6,14 +6,15 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.storagelevel import StorageLevel
 
 from panelwright.functions.dates import month_number
-from panelwright.operators.features import impute_regression, lags, min_max, one_hot, time_split
+from panelwright.operators.features import impute_regression, lags, levels_of, min_max, one_hot, time_split
 from panelwright.operators.regression import polynomial_ridge, predict, regression_errors
+from panelwright.operators.panel import one_row_per_key
 from panelwright.operators.reshape import keep_in, keep_not_null, quoted
+from panelwright.session import landed
 
 # Ids of the modelled provinces.
 MODELLED_REGIONS = [
@@ -32,7 +33,7 @@ LOOK_BACK = 6
 class Forecast:
     """A fitted model, all rows with ``prediction`` and ``is_train``, and the errors of both parts.
 
-    ``rows`` are the cached model rows; ``rows.unpersist()`` frees them when the results are written.
+    ``rows`` are the model rows in the shared folder, deleted by :func:`panelwright.session.clean`.
     """
 
     model: PipelineModel
@@ -59,8 +60,9 @@ def prepare(
     """
     kept = keep_in(panel, region, regions) if regions is not None else panel
     dated = keep_not_null(kept, target).withColumn("REF_DATE_INT", month_number(period))
-    coded = one_hot(dated, label, "Province", levels)
-    filled = impute_regression(coded, region, "REF_DATE_INT", columns)
+    coded = one_hot(dated, label, "Province", levels_of(dated, label) if levels is None else levels)
+    # ranges and rows both need the filled rows
+    filled = landed(impute_regression(coded, region, "REF_DATE_INT", columns), "filled")
     features = [*columns, "REF_DATE_INT", *[c for c in coded.columns if c.startswith("Province_")]]
     return min_max(filled, features), features
 
@@ -69,8 +71,8 @@ def _fitted(
     rows: DataFrame, features: Sequence[str], target: str, period: str, cut: str,
     alpha: float, degree: int, k: int | None,
 ) -> Forecast:
-    # fitting reads the rows several times; a lost cached block is computed again
-    rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
+    # fitting reads the rows several times
+    rows = landed(rows, "model")
     train, _ = time_split(rows, period, cut)
     model = polynomial_ridge(train, features, target, alpha, degree, k)
     scored = predict(model, rows).withColumn("is_train", F.col(quoted(period)) < F.lit(cut))
@@ -105,17 +107,26 @@ def look_back_forecast(
     n: int = LOOK_BACK,
     alpha: float = 0.0,
     levels: Sequence[str] | None = None,
+    bucket: Column | None = None,
 ) -> Forecast:
-    """Linear regression of the target on its previous ``n`` values and the one-hot label."""
+    """Linear regression of the target on its previous ``n`` values and the one-hot label.
+
+    The first label has no column of its own: beside the intercept it would
+    leave the system without a unique solution.  ``bucket`` is that of
+    :func:`panelwright.operators.features.look_back`, for long groups.
+    """
     kept = keep_in(panel, region, regions) if regions is not None else panel
     rows = keep_not_null(kept, target).select(region, label, period, target)
-    samples = lags(one_hot(rows, label, "Province", levels), region, period, target, n)
-    features = [f"{target}_lag{i}" for i in range(1, n + 1)]
-    features += [c for c in samples.columns if c.startswith("Province_")]
+    levels = levels_of(rows, label) if levels is None else list(levels)
+    samples = lags(one_hot(rows, label, "Province", levels[1:]), region, period, target, n, bucket)
+    features = [f"{target}_lag{i}" for i in range(1, n + 1)] + [f"Province_{level}" for level in levels[1:]]
     return _fitted(samples, features, target, period, cut, alpha, 1, None)
 
 
 def with_predictions(panel: DataFrame, predictions: DataFrame, name: str, keys: Sequence[str] = ("REF_DATE", "DGUID")) -> DataFrame:
-    """Panel rows that have a prediction, with it as a column."""
+    """Panel rows that have a prediction, with it as a column.
+
+    Several predictions of one key fail the query; they would multiply panel rows.
+    """
     found = predictions.select(*[quoted(c) for c in keys], F.col("prediction").alias(name))
-    return panel.join(found, list(keys), "inner")
+    return panel.join(one_row_per_key(found, keys, [name], "raise"), list(keys), "inner")

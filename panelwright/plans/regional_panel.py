@@ -7,32 +7,38 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame
 
 from panelwright.functions.numbers import net_flow
+from panelwright.operators.lookups import region_ids
 from panelwright.operators.panel import Feature, build_panel
 from panelwright.operators.reshape import quoted
 from panelwright.plans import datasets as d
+from panelwright.session import landed
 from panelwright.sources.schemas import PANEL_COLUMNS, RATE_VALUES
 
+
 def load_all(tables: Mapping[str, DataFrame], by: str = "region") -> dict[str, DataFrame]:
     """All feature tables from the scanned ones.
 
     ``tables`` holds ``housing income expenditure tourism labour crime cpi fuel
     migration immigrants`` (long), ``rates`` (daily), ``weather`` (stations)
-    and the code sets ``uom`` and ``scalar``.
+    and the code sets ``uom`` and ``scalar``.  What several of the results are
+    made of is made once: the ids of the regions, and the rows of the spine,
+    which the panel joins eleven times.
     """
     t = tables
+    ids = landed(region_ids(t["housing"]), "ids") if by == "region" else None
     return {
-        "housing": d.housing(t["housing"], t["uom"], t["scalar"], by),
+        "housing": landed(d.housing(t["housing"], t["uom"], t["scalar"], by), "housing"),
         "income": d.income(t["income"], t["uom"], t["scalar"], by),
         "expenditure": d.expenditure(t["expenditure"], by),
         "tourism": d.tourism(t["tourism"], by),
         "labour": d.labour(t["labour"], by),
         "crime": d.crime(t["crime"], by),
         "cpi": d.cpi(t["cpi"], by),
-        "fuel": d.fuel(t["fuel"], t["housing"], by),
+        "fuel": d.fuel(t["fuel"], ids, by),
         "migration": d.migration(t["migration"], by),
         "immigrants": d.immigrants(t["immigrants"], by),
         "rates": d.rates(t["rates"], by),
-        "weather": d.weather(t["weather"], t["housing"], by),
+        "weather": d.weather(t["weather"], ids, by),
     }
 
 

@@ -17,6 +17,7 @@ from panelwright.functions.labels import region_of_file
 from panelwright.plans import datasets as d
 from panelwright.plans.regional_panel import load_all, panel_columns, regional_panel
 from panelwright.registry.support import plain, r, read, tidy
+from panelwright.operators.lookups import region_ids
 from panelwright.session import landed
 from panelwright.sources.schemas import RATE_VALUES
 
@@ -198,7 +199,7 @@ def _sql(name: str, by: str) -> str:
             return f"""SELECT trim(GEO) AS GEO, trim(DGUID) AS DGUID, trim(REF_DATE) AS REF_DATE, {_UNITS},
                 {_avgs(list(d.HOUSING.values()), False)} FROM ({wide}) GROUP BY 1, 2, 3, 4, 5"""
         return f"""SELECT {_PROVINCE} AS province, trim(REF_DATE) AS REF_DATE, {_UNITS},
-            {_avgs(['house_only', 'land_only'])} FROM ({wide}) GROUP BY 1, 2, 3, 4"""
+            {_avgs(list(d.HOUSING.values()))} FROM ({wide}) GROUP BY 1, 2, 3, 4"""
     if name == "income":
         measure = d.INCOME_MEASURE[by]
         kept = f"SELECT * FROM income_in {_CODES} WHERE category = 'Both sexes|All age groups|{measure}'"
@@ -268,10 +269,10 @@ def _sql(name: str, by: str) -> str:
         return f"SELECT substr(d, 1, 7) AS REF_DATE, {columns} FROM rates_in GROUP BY 1"
     if name == "weather":
         place = "split_part(split_part(file_name, '/', -1), '_', 1)"
-        rows = f"SELECT {place} AS GEO, REF_DATE, {_q(d.WEATHER)} FROM weather_in"
+        rows = f"SELECT DISTINCT {place} AS GEO, REF_DATE, {_q(d.WEATHER)} FROM weather_in"
         if not region:
             return f"SELECT GEO AS province, REF_DATE, {_q(d.WEATHER)} FROM ({rows})"
-        return f"""SELECT DISTINCT GEO, REF_DATE, {_q(d.WEATHER)}, DGUID
+        return f"""SELECT GEO, REF_DATE, {_q(d.WEATHER)}, DGUID
             FROM ({rows}) JOIN (SELECT DISTINCT GEO, DGUID FROM housing_in) USING (GEO)"""
     raise ValueError(name)
 
@@ -294,18 +295,18 @@ _BUILDERS: dict[str, Callable[..., DataFrame]] = {
     "labour": lambda t, by: d.labour(t["labour"], by),
     "crime": lambda t, by: d.crime(t["crime"], by),
     "cpi": lambda t, by: d.cpi(t["cpi"], by),
-    "fuel": lambda t, by: d.fuel(t["fuel"], t["housing"], by),
+    "fuel": lambda t, by: d.fuel(t["fuel"], region_ids(t["housing"]), by),
     "migration": lambda t, by: d.migration(t["migration"], by),
     "immigrants": lambda t, by: d.immigrants(t["immigrants"], by),
     "rates": lambda t, by: d.rates(t["rates"], by),
-    "weather": lambda t, by: d.weather(t["weather"], t["housing"], by),
+    "weather": lambda t, by: d.weather(t["weather"], region_ids(t["housing"]), by),
 }
 
 
 def _dataset(name: str, by: str):
     needs = _NEEDS.get(name, [name])
     values = {
-        "housing": list(d.HOUSING.values()) if by == "region" else ["house_only", "land_only"],
+        "housing": list(d.HOUSING.values()),
         "income": ["income"],
         "expenditure": [*d.EXPENDITURE.values(), *(["education"] if by == "region" else [])],
         "tourism": list(d.TOURISM.values()),
@@ -330,11 +331,7 @@ def _dataset(name: str, by: str):
 
 def _panel(by: str):
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        parts = load_all(tables(spark, sf_dir, list(_INPUTS)), by)
-        if by == "province":
-            # the province variant keeps repeated weather rows
-            parts["weather"] = parts["weather"].distinct()
-        return tidy(regional_panel(parts, by))
+        return tidy(regional_panel(load_all(tables(spark, sf_dir, list(_INPUTS)), by), by))
 
     region = by == "region"
     name = (lambda c: c) if region else d.avg_name
@@ -356,14 +353,13 @@ def _panel(by: str):
             columns.append(f'{r(chr(34) + c + chr(34))} AS "{c}"')
     same = f'h."{key}" = {{0}}."{key}" AND h.REF_DATE = {{0}}.REF_DATE'
     year = f'h."{key}" = {{0}}."{key}" AND substr(h.REF_DATE, 1, 4) = {{0}}.REF_DATE'
-    weather = f"SELECT DISTINCT * FROM ({_sql('weather', by)})"
     joins = [
         ("income", "inc", year, _sql("income", by)), ("expenditure", "e", year, _sql("expenditure", by)),
         ("tourism", "t", same, _sql("tourism", by)), ("labour", "l", same, _sql("labour", by)),
         ("crime", "c", year, _sql("crime", by)), ("cpi", "p", "h.REF_DATE = {0}.REF_DATE", _sql("cpi", by)),
         ("fuel", "o", same, _sql("fuel", by)), ("migration", "m", same, _sql("migration", by)),
         ("immigrants", "i", same, _sql("immigrants", by)), ("rates", "x", "h.REF_DATE = {0}.REF_DATE", _sql("rates", by)),
-        ("weather", "w", same, weather),
+        ("weather", "w", same, _sql("weather", by)),
     ]
     body = " ".join(f"LEFT JOIN ({sql}) {a} ON {on.format(a)}" for _, a, on, sql in joins)
     return query, f"{_cte(*_INPUTS)} SELECT {', '.join(columns)} FROM ({_sql('housing', by)}) h {body}"

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -30,7 +31,20 @@ _DATED = f"""{SPINE}, dated AS (
 
 def one_hot(spark: SparkSession, sf_dir: str) -> DataFrame:
     parts = read(spark, sf_dir, "part").select("p_partkey", "p_type")
-    return f.one_hot(parts, "p_type", "Type")
+    return f.one_hot(parts, "p_type", "Type", TYPES)
+
+
+def one_hot_vector(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The position of each part's name among all names, as the sparse vector has it."""
+    parts = read(spark, sf_dir, "part").select("p_partkey", "p_name")
+    coded = f.one_hot_vector(parts, "p_name", "hot").withColumn("ones", vector_to_array("hot"))
+    return coded.select(
+        "p_partkey", "p_name", F.size("ones").alias("levels"), (F.array_position("ones", 1.0) - 1).alias("position")
+    )
+
+
+_ONE_HOT_VECTOR = """SELECT p_partkey, p_name, (SELECT count(DISTINCT p_name) FROM part)::INTEGER AS levels,
+  dense_rank() OVER (ORDER BY p_name) - 1 AS position FROM part"""
 
 
 # The part types of the benchmark tables.
@@ -172,7 +186,7 @@ def ridge_uni(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def forecast_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = _fitted(spark, sf_dir).withColumn("is_train", F.col("REF_DATE") < CUT)
-    return tidy(g.regression_errors(scored, "price", "prediction", ["is_train"]).drop("mse"), 2)
+    return tidy(g.regression_errors(scored, "price", "prediction", ["is_train"]), 2)
 
 
 def actual_vs_predicted(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -180,6 +194,55 @@ def actual_vs_predicted(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tidy(g.actual_vs_predicted(valid, "DGUID", "REF_DATE", "price", "prediction"), 2)
 
 
+def _plane(u: str, v: str, y: str, alpha: float, rows: str, where: str) -> str:
+    """CTEs up to ``w``: the ridge plane of y on u and v over some rows, by Cramer's rule."""
+    return f"""m AS (SELECT avg({u}) AS mu, avg({v}) AS mv, avg({y}) AS my FROM {rows} WHERE {where}),
+s AS (SELECT sum(({u} - mu) * ({u} - mu)) + {alpha} AS uu, sum(({v} - mv) * ({v} - mv)) + {alpha} AS vv,
+  sum(({u} - mu) * ({v} - mv)) AS uv, sum(({u} - mu) * ({y} - my)) AS uy, sum(({v} - mv) * ({y} - my)) AS vy
+  FROM {rows}, m WHERE {where}),
+w AS (SELECT mu, mv, my, (uy * vv - vy * uv) / (uu * vv - uv * uv) AS a, (vy * uu - uy * uv) / (uu * vv - uv * uv) AS b FROM m, s)"""
+
+
+def ridge_square(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Polynomial ridge of degree 2 on one feature, predictions of all rows."""
+    rows = _calendar(spark, sf_dir).withColumn("x", F.col("x") / 10.0)
+    train, _ = f.time_split(rows, "REF_DATE", CUT)
+    model = g.polynomial_ridge(train, ["x"], "price", _ALPHA, degree=2)
+    return tidy(g.predict(model, rows).select("DGUID", "REF_DATE", "prediction"), 2)
+
+
+_RIDGE_SQUARE = f"""WITH {SPINE}, t AS (SELECT *, x * x AS z FROM (
+  SELECT *, ((substr("REF_DATE", 1, 4)::INTEGER - 1995) * 12 + substr("REF_DATE", 6, 2)::INTEGER - 1) / 10.0::DOUBLE AS x FROM spine)),
+{_plane('x', 'z', 'price', _ALPHA, 't', f""""REF_DATE" < '{CUT}'""")}
+SELECT "DGUID", "REF_DATE", {r('my + a * (x - mu) + b * (z - mv)', 2)} AS prediction FROM t, w"""
+
+
+def _lag_line(spark: SparkSession, sf_dir: str) -> forecast.Forecast:
+    return forecast.look_back_forecast(
+        _spine(spark, sf_dir), regions=None, target="price", cut=CUT, n=2, levels=[], bucket=year_of("REF_DATE")
+    )
+
+
+def lag_line(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Look-back forecast from the two previous values, joined to the panel."""
+    found = forecast.with_predictions(_spine(spark, sf_dir), _lag_line(spark, sf_dir).predictions, "predicted_price")
+    return tidy(found.select("DGUID", "REF_DATE", "predicted_price"), 2)
+
+
+def lag_line_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tidy(_lag_line(spark, sf_dir).errors, 2)
+
+
+_LAG_FIT = f"""{SPINE}, l AS (SELECT * FROM (SELECT *, lag(price) OVER o AS u, lag(price, 2) OVER o AS v FROM spine
+  WINDOW o AS (PARTITION BY "DGUID" ORDER BY "REF_DATE")) WHERE v IS NOT NULL),
+{_plane('u', 'v', 'price', 0.0, 'l', f""""REF_DATE" < '{CUT}'""")},
+p AS (SELECT *, my + a * (u - mu) + b * (v - mv) AS prediction, "REF_DATE" < '{CUT}' AS is_train FROM l, w)"""
+_LAG_LINE = f"""WITH {_LAG_FIT} SELECT "DGUID", "REF_DATE", {r('prediction', 2)} AS predicted_price FROM p"""
+_LAG_LINE_ERRORS = f"""WITH {_LAG_FIT} SELECT is_train, count(*) AS n, {r('avg(abs(price - prediction))', 2)} AS mae,
+  {r('avg((price - prediction) * (price - prediction))', 2)} AS mse,
+  {r('1 - avg((price - prediction) * (price - prediction)) / var_pop(price)', 2)} AS r2 FROM p GROUP BY is_train"""
+
+
 def _model_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Spine with two further features per nation and month, one of them with gaps, in the shared folder."""
     customers = read(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_acctbal")
@@ -218,6 +281,7 @@ def lag_forecast_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "one_hot": (one_hot, _ONE_HOT),
+    "one_hot_vector": (one_hot_vector, _ONE_HOT_VECTOR),
     "impute_regr": (impute_regr, _IMPUTE),
     "min_max": (min_max, _MIN_MAX),
     "time_split": (time_split, _TIME_SPLIT),
@@ -232,6 +296,7 @@ QUERIES = {
     "forecast_errors": (
         forecast_errors,
         f"""WITH {_FIT} SELECT is_train, count(*) AS n, {r('avg(abs(price - prediction))', 2)} AS mae,
+  {r('avg((price - prediction) * (price - prediction))', 2)} AS mse,
   {r('1 - avg((price - prediction) * (price - prediction)) / var_pop(price)', 2)} AS r2 FROM p GROUP BY is_train""",
     ),
     "actual_vs_predicted": (
@@ -239,6 +304,9 @@ QUERIES = {
         f"""WITH {_FIT} SELECT "DGUID", "REF_DATE", {r('price', 2)} AS actual, {r('prediction', 2)} AS predicted
 FROM p WHERE NOT is_train ORDER BY 1, 2""",
     ),
+    "ridge_square": (ridge_square, _RIDGE_SQUARE),
+    "lag_line": (lag_line, _LAG_LINE),
+    "lag_line_errors": (lag_line_errors, _LAG_LINE_ERRORS),
     "ridge_poly": (ridge_poly, None),
     "lag_forecast": (lag_forecast, None),
     "lag_forecast_errors": (lag_forecast_errors, None),

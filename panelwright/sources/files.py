@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, NumericType, StructField, StructType
+from pyspark.sql.types import ArrayType, DoubleType, NumericType, StringType, StructField, StructType
 
 from panelwright.functions.dates import is_month
 from panelwright.functions.labels import region_of_file
@@ -41,21 +41,47 @@ def daily_rates(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+#: Listings hold free text: quotes are doubled, and quoted fields may hold commas and line breaks.
+LISTING_DIALECT = {"quote": '"', "escape": '"', "multiLine": True, "mode": "PERMISSIVE"}
+
+
 def raw_listings(spark: SparkSession, path: str | list[str], header: bool = True) -> DataFrame:
-    """Scraped listings of one or many CSV part files (a directory, a glob or a list), combined."""
-    return spark.read.schema(LISTING).option("header", header).option("mode", "PERMISSIVE").csv(path)
+    """Scraped listings of one or many CSV part files (a directory, a glob or a list), combined.
+
+    A file with line breaks in its fields cannot be split, so one task reads one file.
+    """
+    return spark.read.schema(LISTING).options(header=header, **LISTING_DIALECT).csv(path)
 
 
 def clean_listings_file(spark: SparkSession, path: str) -> DataFrame:
     """Cleaned listings as written by :func:`panelwright.sources.sinks.write_listings`."""
-    return spark.read.schema(CLEAN_LISTING).csv(path)
+    return spark.read.schema(CLEAN_LISTING).options(**LISTING_DIALECT).csv(path)
+
 
+def panel_schema(by: str = "region") -> StructType:
+    """The schema of a written panel, by the columns of its variant."""
+    if by == "region":
+        return PANEL
+    from panelwright.plans.regional_panel import panel_columns
 
-def read_panel(spark: SparkSession, path: str, form: str = "parquet") -> DataFrame:
-    """A written panel, typed: Parquet as it is, CSV with the fixed schema of the panel."""
+    texts = ("province", "REF_DATE", "uom_", "scalar_", "statistic_")
+    return StructType([
+        StructField(c, StringType() if c.startswith(texts) else DoubleType()) for c in panel_columns(by)
+    ])
+
+
+def read_panel(spark: SparkSession, path: str, form: str = "parquet", by: str = "region") -> DataFrame:
+    """A written panel, typed: Parquet as it is, CSV with the schema of the variant.
+
+    A CSV whose header is not that of the variant is an error, not read by position.
+    """
     if form == "parquet":
         return spark.read.parquet(path)
-    return spark.read.schema(PANEL).option("header", True).csv(path)
+    schema = panel_schema(by)
+    header = spark.read.option("header", True).csv(path).columns
+    if header != schema.names:
+        raise ValueError(f"{path} is no panel by {by}: its columns are {', '.join(header[:4])} ...")
+    return spark.read.schema(schema).option("header", True).option("enforceSchema", False).csv(path)
 
 
 def numeric_columns(df: DataFrame) -> list[str]:

@@ -27,8 +27,8 @@ def write_panel_csv(panel: DataFrame, path: str, files: int | None = None) -> No
 
 
 def write_listings(listings: DataFrame, path: str) -> None:
-    """Write cleaned listings as CSV without header; an existing target is an error."""
-    listings.write.mode("errorifexists").csv(path)
+    """Write cleaned listings as CSV without header, quotes doubled; an existing target is an error."""
+    listings.write.mode("errorifexists").option("quote", '"').option("escape", '"').csv(path)
 
 
 def write_predictions(predictions: DataFrame, path: str) -> None:

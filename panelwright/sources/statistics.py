@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-import io
 import zipfile
 from collections.abc import Iterator
+from urllib.parse import unquote, urlparse
 
 import pandas as pd
+import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,15 +20,19 @@ _ROWS_PER_BATCH = 50_000
 def read_zipped(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
     """Rows of the first member of each zip archive below a path, all columns as text.
 
-    A zip member cannot be split, so one task streams one archive in batches
-    and holds only one batch of rows.  Columns are matched by header name, an
-    absent one is NULL.  Land the result with :func:`land` before heavy use.
+    Spark lists the archives, one row each; a task opens its archive by path and
+    streams the member through, so it holds one batch of rows whatever the
+    archive's size.  A zip member cannot be split.  Columns are matched by
+    header name, an absent one is NULL.  The result is read once per use: land
+    it before heavy use.
+
+    Paths are opened with pyarrow's file systems (local, HDFS, S3, GCS).
     """
 
     def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for content in batch["content"]:
-                with zipfile.ZipFile(io.BytesIO(content)) as archive:
+            for place in batch["path"]:
+                with opened(place) as stream, zipfile.ZipFile(stream) as archive:
                     with archive.open(archive.infolist()[0]) as member:
                         reader = pd.read_csv(
                             member, dtype=str, chunksize=_ROWS_PER_BATCH, encoding="utf-8-sig"
@@ -35,8 +41,17 @@ def read_zipped(spark: SparkSession, path: str, columns: list[str]) -> DataFrame
                             part = part.reindex(columns=columns).astype(object)
                             yield part.where(part.notna(), None)
 
-    archives = spark.read.format("binaryFile").option("pathGlobFilter", "*.zip").load(path).select("content")
-    return archives.mapInPandas(rows, text_schema(*columns))
+    # only the paths are selected, so no content is read here; one archive per task
+    archives = spark.read.format("binaryFile").option("pathGlobFilter", "*.zip").load(path).select("path")
+    return archives.repartition("path").mapInPandas(rows, text_schema(*columns))
+
+
+def opened(place: str):
+    """A seekable stream of a file that Spark names by its URI."""
+    if place.startswith("file:"):
+        return pa.OSFile(unquote(urlparse(place).path), "rb")
+    system, path = fs.FileSystem.from_uri(place)
+    return system.open_input_file(path)
 
 
 def read_csv(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
@@ -44,7 +59,8 @@ def read_csv(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
     return (
         spark.read.schema(text_schema(*columns))
         .option("header", True)
-        .option("multiLine", False)
+        .option("quote", '"')
+        .option("escape", '"')
         .option("mode", "PERMISSIVE")
         .csv(path)
     )

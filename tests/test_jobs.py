@@ -9,6 +9,7 @@ import pytest
 
 from panelwright.jobs import main
 from panelwright.plans import datasets as d
+from panelwright.sources.files import clean_listings_file
 from panelwright.sources.schemas import PRODUCTS, RATE_VALUES, statistics_columns
 
 REGIONS = {"Ontario": "2016A000235", "Quebec": "2016A000224", "Alberta": "2016A000248"}
@@ -88,10 +89,26 @@ def test_panel_job(spark, landing, panel_path):
     assert all(row[c] is not None for c in panel.columns), [c for c in panel.columns if row[c] is None]
     assert row["income"] == round(50.7 / 12 + 0.2 / 12, 2) and row["Total_Snow"] == 1.5 and row["prime"] == 2.5
     by_province = main(["panel", "--statistics", f"{landing}/statistics", "--codes", f"{landing}/codes.json", "--weather",
-                        f"{landing}/weather", "--rates", f"{landing}/rates.csv", "--out", f"{landing}/p", "--by", "province", "--csv"], spark)
+                        f"{landing}/weather", "--rates", f"{landing}/rates.csv", "--out", f"{landing}/p", "--by", "province", "--form", "csv"], spark)
     assert by_province.count() == len(REGIONS) * len(MONTHS) and by_province.columns[0] == "province"
 
 
+def test_csv_panel_feeds_workbook_and_forecast(spark, landing):
+    arguments = ["panel", "--statistics", f"{landing}/statistics", "--codes", f"{landing}/codes.json", "--weather",
+                 f"{landing}/weather", "--rates", f"{landing}/rates.csv", "--form", "csv"]
+    panel = main([*arguments, "--out", f"{landing}/as_csv", "--files", "1"], spark)
+    assert len(list((landing / "as_csv").glob("*.csv"))) == 1
+    assert dict(panel.dtypes)["income"] == "double" and panel.count() == len(REGIONS) * len(MONTHS)
+    assert main(["workbook", "unit", f"{landing}/as_csv", "--form", "csv"], spark).count() == 12
+    errors = main(["forecast", "ridge", f"{landing}/as_csv", f"{landing}/from_csv", "--form", "csv"], spark)
+    assert errors.where("is_train").first()["r2"] > 0.9
+    main([*arguments, "--out", f"{landing}/by_province", "--by", "province"], spark)
+    with pytest.raises(ValueError, match="no panel by region"):
+        main(["workbook", "unit", f"{landing}/by_province", "--form", "csv"], spark)
+    with pytest.raises(ValueError, match="no panel by region"):
+        main(["forecast", "ridge", f"{landing}/by_province", f"{landing}/x", "--form", "csv"], spark)
+
+
 def test_workbook_and_forecast_jobs(spark, landing, panel_path):
     assert main(["workbook", "map", panel_path], spark).count() == 12
     assert main(["workbook", "unit", panel_path], spark).count() == 12
@@ -105,11 +122,14 @@ def test_workbook_and_forecast_jobs(spark, landing, panel_path):
 
 def test_listing_jobs(spark, tmp_path):
     (tmp_path / "parts").mkdir()
+    odd = 'ON,"$ 700,000",2-Feb-18,"Deux ""Rives"", Est\nNord",K1,1980,,,"50"" x 120"", deep",2,1,900\n'
     header = "province,listprice,date added,locality,postal code,year built,taxes,Basement,Lot Size,Bed,Baths,Area\n"
-    for i, line in enumerate(['BC,"$ 1,200,000",5-Nov-18,Surrey,V1,1990,,,,3,2,"1,200"\n', 'AB,"$ 500,000",1-Jan-18,Calgary,T1,,,,,10,1,800\n']):
+    for i, line in enumerate(['BC,"$ 1,200,000",5-Nov-18,Surrey,V1,1990,,,,3,2,"1,200"\n', 'AB,"$ 500,000",1-Jan-18,Calgary,T1,,,,,10,1,800\n' + odd]):
         (tmp_path / "parts" / f"part{i}.csv").write_text(header + line)
     main(["combine", f"{tmp_path}/parts", f"{tmp_path}/all"], spark)
     main(["clean", f"{tmp_path}/all", f"{tmp_path}/clean"], spark)
-    expected = {"beds": 2, "baths": 2, "localities": 2, "provinces": 2, "highest": 2, "lowest": 2, "correlation": 1}
+    row = clean_listings_file(spark, f"{tmp_path}/clean").where("province = 'ON'").first()
+    assert (row["locality"], row["Lot_size"], row["Bed"], row["Area"]) == ('Deux "Rives", Est\nNord', '50" x 120", deep', "2", 900.0)
+    expected = {"beds": 3, "baths": 2, "localities": 3, "provinces": 3, "highest": 3, "lowest": 3, "correlation": 1}
     for kind, rows in expected.items():
         assert main(["report", kind, f"{tmp_path}/clean"], spark).count() == rows

@@ -110,11 +110,13 @@ def test_mean_fill(spark):
 
 def test_one_hot(spark):
     rows = spark.createDataFrame([("b",), ("a",), (None,)], "GEO string")
-    out = f.one_hot(rows, "GEO", "Province")
+    out = f.one_hot(rows, "GEO", "Province", f.levels_of(rows, "GEO"))
     assert out.columns == ["GEO", "Province_a", "Province_b"]
     assert sorted(map(str, map(tuple, out.collect()))) == ["('a', 1, 0)", "('b', 0, 1)", "(None, 0, 0)"]
-    with pytest.raises(ValueError):
-        f.one_hot(rows, "GEO", "Province", limit=1)
+    many = spark.range(1500).selectExpr("lpad(cast(id AS string), 4, '0') AS level").unionAll(spark.sql("SELECT cast(NULL AS string)"))
+    coded = f.one_hot_vector(many, "level", "hot").collect()
+    assert {r["hot"].size for r in coded} == {1500}
+    assert all(list(r["hot"].indices) == ([] if r["level"] is None else [int(r["level"])]) for r in coded)
 
 
 def test_imputation_edge_cases(spark):
