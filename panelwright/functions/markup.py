@@ -2,33 +2,57 @@
 
 from __future__ import annotations
 
+from functools import lru_cache
+from html.entities import html5
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from panelwright.functions.labels import _col
 
-# Character references and their characters; the ampersand comes last.
-CHARACTER_REFERENCES = {
-    "&lt;": "<",
-    "&gt;": ">",
-    "&quot;": '"',
-    "&#39;": "'",
-    "&nbsp;": "\u00a0",
-    "&amp;": "&",
-}
+_REFERENCE = r"&(?:#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]*);"
+# the usual ones first, as a map is searched in order
+_USUAL = ["amp", "lt", "gt", "quot", "apos", "nbsp", "eacute", "egrave", "agrave", "ccedil", "copy"]
+
+
+@lru_cache(maxsize=1)
+def _named() -> str:
+    """All named character references of HTML that end in a semicolon, as a text for ``str_to_map``."""
+    names = {n[:-1]: c for n, c in html5.items() if n.endswith(";")}
+    return "\x01".join(f"{n}\x02{names[n]}" for n in dict.fromkeys([*_USUAL, *sorted(names)]))
+
+
+def _character(reference: Column) -> Column:
+    """The character of one reference; an unknown one stays as it is."""
+    named = F.str_to_map(F.lit(_named()), F.lit("\x01"), F.lit("\x02"))
+    body = F.substring(reference, 2, 40)
+    number = F.when(
+        F.lower(F.substring(body, 1, 2)) == "#x", F.conv(F.regexp_extract(body, "[0-9a-fA-F]+", 0), 16, 10)
+    ).when(F.substring(body, 1, 1) == "#", F.regexp_extract(body, "[0-9]+", 0)).cast("int")
+    # surrogates and numbers above the last code point name no character
+    valid = (number > 0) & (number < 0x110000) & ~number.between(0xD800, 0xDFFF)
+    numeric = F.when(valid, F.decode(F.unhex(F.lpad(F.hex(number), 8, "0")), "UTF-32")).when(number.isNotNull(), F.lit("\ufffd"))
+    return F.coalesce(numeric, named[F.substring_index(body, ";", 1)], reference)
 
 
 def unescape(text: Column | str) -> Column:
-    out = _col(text)
-    for reference, character in CHARACTER_REFERENCES.items():
-        out = F.replace(out, F.lit(reference), F.lit(character))
-    return out
+    """Text with its character references decoded, once: numeric ones and all named ones that end in a semicolon."""
+    t = _col(text)
+    found = F.transform(F.regexp_extract_all(t, F.lit(_REFERENCE), F.lit(0)), _character)
+    between = F.split(t, _REFERENCE, -1)
+    decoded = F.array_join(F.zip_with(between, F.concat(found, F.array(F.lit(""))), lambda a, b: F.concat(a, b)), "")
+    return F.when(t.contains("&"), decoded).otherwise(t)
+
+
+def clean(text: Column | str) -> Column:
+    """Unescaped, trimmed text; NULL where nothing is left."""
+    return F.nullif(F.trim(unescape(text)), F.lit(""))
 
 
 def first_match(html: Column | str, pattern: str) -> Column:
-    """Unescaped, trimmed first group of the first match; NULL where nothing matches."""
+    """Clean first group of the first match; NULL where nothing matches or the group is empty."""
     found = F.regexp_extract_all(_col(html), F.lit(pattern), F.lit(1))
-    return F.trim(unescape(F.get(found, F.lit(0))))
+    return clean(F.get(found, F.lit(0)))
 
 
 def element_text(html: Column | str, tag: str) -> Column:
@@ -36,14 +60,46 @@ def element_text(html: Column | str, tag: str) -> Column:
     return first_match(html, rf"<{tag}(?:\s[^>]*)?>([^<]*)")
 
 
+#: The value of an attribute in a pattern: in either kind of quotes or in none.
+VALUE = r"""("[^"]*"|'[^']*'|[^\s"'>]+)"""
+
+
+def unquoted(value: Column | str) -> Column:
+    """The value of an attribute without the quotes around it."""
+    return F.regexp_replace(_col(value), r"""^(["'])(.*)\1$""", "$2")
+
+
+def open_tag(tag: str, token: str, attribute: str = "class") -> str:
+    """Pattern of an opening tag one of whose class words (or whose id) is ``token``, whatever else it has."""
+    values = rf"""(?:"(?:[^"]*\s)?{token}(?:\s[^"]*)?"|'(?:[^']*\s)?{token}(?:\s[^']*)?'|{token}(?=[\s>]))"""
+    return rf"<{tag}\b(?=[^>]*\s{attribute}\s*=\s*{values})[^>]*>"
+
+
+def division(html: Column | str, id: str) -> Column:
+    """The first ``div`` of that id with all it contains, without its end tag; NULL if there is none."""
+    rest = F.get(F.split(F.concat(F.lit(" "), _col(html)), f"(?={open_tag('div', id, 'id')})", 2), F.lit(1))
+    parts = F.split(rest, r"(?=</?div\b)", -1)
+    start = F.struct(F.lit(0).alias("depth"), F.lit(0).alias("n"), F.lit(False).alias("done"))
+
+    def follow(state: Column, part: Column) -> Column:
+        depth = state["depth"] + F.when(part.startswith("<div"), 1).when(part.startswith("</div"), -1).otherwise(0)
+        return F.when(state["done"], state).otherwise(
+            F.struct(depth.alias("depth"), (state["n"] + 1).alias("n"), (depth <= 0).alias("done"))
+        )
+
+    # the part that holds the end tag also holds what follows it
+    inside = F.aggregate(parts, start, follow, lambda state: state["n"] - state["done"].cast("int"))
+    return F.array_join(F.slice(parts, F.lit(1), inside), "")
+
+
 def label_values(html: Column | str, pattern: str) -> Column:
-    """Array of (label, value) structs, one per match of a pattern with two groups."""
-    labels = F.regexp_extract_all(_col(html), F.lit(pattern), F.lit(1))
-    values = F.regexp_extract_all(_col(html), F.lit(pattern), F.lit(2))
-    return F.zip_with(
-        labels,
-        values,
-        lambda a, b: F.struct(F.trim(unescape(a)).alias("label"), F.trim(unescape(b)).alias("value")),
+    """Array of (label, value) structs, one per match of a pattern with two groups; each pair is cut out once."""
+    pairs = F.regexp_extract_all(_col(html), F.lit(pattern), F.lit(0))
+    return F.transform(
+        pairs,
+        lambda p: F.struct(
+            clean(F.regexp_extract(p, pattern, 1)).alias("label"), clean(F.regexp_extract(p, pattern, 2)).alias("value")
+        ),
     )
 
 

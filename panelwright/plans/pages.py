@@ -13,7 +13,8 @@ from panelwright.sources.schemas import LISTING
 # The markup of a listing page.  Pairs are label and value.
 ADDRESS_PART = r'<h1[^>]*>.*?<div[^>]*>(.*?)</div>'
 SPAN_TEXT = r"<span[^>]*>([^<]*)"
-PRICE = r'class="price"[^>]*>\s*<span[^>]*>\s*<span[^>]*>([^<]*)'
+PRICE = m.open_tag(r"\w+", "price") + r"\s*<span[^>]*>\s*<span[^>]*>([^<]*)"
+DETAILS_BLOCK = "details_info"
 DETAILS = r"<dt[^>]*>([^<]*)</dt>\s*<dd[^>]*>([^<]*)"
 CHARACTERISTICS = r"<li[^>]*>\s*<span[^>]*>([^<]*)</span>\s*<strong[^>]*>([^<]*)"
 DETAIL_FIELDS = {
@@ -26,23 +27,28 @@ DETAIL_FIELDS = {
 CHARACTERISTIC_FIELDS = {"Bed": "Beds", "Baths": "Baths", "Area": "Sqft"}
 # second, third and fourth address part
 ADDRESS_FIELDS = {"locality": 1, "province": 2, "postal_code": 3}
-LISTING_LINK = r'<div[^>]*class="inner-right"[^>]*>\s*<a\s[^>]*href="([^"]*)"'
-NEXT_PAGE_LINK = r'<li[^>]*class="next"[^>]*>\s*<a\s[^>]*href="([^"]*)"'
-ANY_LINK = r'<a\s[^>]*href="([^"]*)"'
+ANY_LINK = r"<a\s(?:[^>]*?\s)?href\s*=\s*" + m.VALUE
+LISTING_LINK = m.open_tag("div", "inner-right") + r"\s*" + ANY_LINK
+NEXT_PAGE_LINK = m.open_tag("li", "next") + r"\s*" + ANY_LINK
 
 
 def listing_fields(pages: DataFrame, html: str = "html") -> DataFrame:
     """One raw listing row (12 text columns) per stored detail page, other columns kept.
 
-    Labels may come in any order; a missing one gives NULL.
+    Labels may come in any order; a missing or empty one gives NULL.  Details and
+    characteristics are those of the page's own details block, not of listings
+    shown beside it.
     """
+    block = m.division(html, DETAILS_BLOCK)
     address = F.regexp_extract_all(
         F.regexp_extract(html, "(?s)" + ADDRESS_PART, 1), F.lit(SPAN_TEXT), F.lit(1)
     )
     parsed = pages.withColumns({
-        "_address": F.transform(address, lambda s: F.trim(m.unescape(s))),
-        "_details": m.label_values(html, DETAILS),
-        "_traits": m.label_values(html, CHARACTERISTICS),
+        "_address": F.transform(address, m.clean),
+        "_block": block,
+    }).withColumns({
+        "_details": m.label_values("_block", DETAILS),
+        "_traits": m.label_values("_block", CHARACTERISTICS),
     })
     columns = {"listprice": m.first_match(html, PRICE)}
     columns |= {name: F.get("_address", F.lit(i)) for name, i in ADDRESS_FIELDS.items()}
@@ -76,7 +82,7 @@ def out_links(
     links = F.concat(*found) if len(found) > 1 else found[0]
     kept = [c for c in pages.columns if c != html]
     rows = pages.select(*kept, F.explode(links).alias("_href"))
-    out = rows.withColumn("link", m.absolute_url(url, m.unescape("_href"))).drop("_href")
+    out = rows.withColumn("link", m.absolute_url(url, m.unescape(m.unquoted("_href")))).drop("_href")
     if allowed_domain is not None:
         out = out.where(m.in_domain("link", allowed_domain))
     return out.withColumn("host", m.host_of("link"))

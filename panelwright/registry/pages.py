@@ -78,8 +78,8 @@ def listing_page_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p.listing_fields(derived(spark, sf_dir, _DETAIL_PAGES))
 
 
-_LISTING_PAGE_FIELDS = f"""SELECT id, coalesce(province, '') AS province, listprice, date_added,
-  coalesce(locality, '') AS locality, postal_code, year_built, taxes, "Basement", "Lot_size" || ' & more' AS "Lot_size",
+_LISTING_PAGE_FIELDS = f"""SELECT id, nullif(trim(province), '') AS province, listprice, date_added,
+  nullif(trim(locality), '') AS locality, postal_code, year_built, taxes, "Basement", "Lot_size" || ' & more' AS "Lot_size",
   "Bed", "Baths", "Area" FROM ({plain(_RAW)})"""
 
 

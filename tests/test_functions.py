@@ -122,3 +122,29 @@ def test_domain(values):
     assert values(markup.in_domain(F.lit("http://example.com"), "example.com"))
     assert not values(markup.in_domain(F.lit("http://badexample.com"), "example.com"))
     assert not values(markup.in_domain(F.lit("mailto:me@example.com"), "example.com"))
+
+
+@pytest.mark.parametrize("text,expected", [
+    ("Montr&eacute;al &amp;lt; &#8217;&#x41;&#X1F600;", "Montréal &lt; ’A\U0001f600"),
+    ("&NotAName; &amp &#0;&#xD800;&#9999999;", "&NotAName; &amp ���"), ("plain", "plain"), ("", ""), ("&ngE;", "≧̸"),
+])
+def test_unescape(values, text, expected):
+    assert values(markup.unescape(F.lit(text))) == expected
+
+
+def test_attributes_in_any_form(values):
+    tag = markup.open_tag("div", "inner-right")
+    for form in ('<div class="inner-right">', "<div id=x class='wide inner-right big'>", "<div class=inner-right>", '<div data-a="1"\nclass = "a inner-right">'):
+        assert values(F.lit(form).rlike(f"^{tag}$"))
+    for form in ('<div class="inner-rights">', '<div title="inner-right">', '<p class="inner-right">'):
+        assert not values(F.lit(form).rlike(tag))
+    link = r"<a\s(?:[^>]*?\s)?href\s*=\s*" + markup.VALUE
+    for form in ('<a href="/x?a=1">', "<a class=b href='/x?a=1'>", "<a rel='n' href=/x?a=1>"):
+        assert values(markup.unquoted(F.regexp_extract(F.lit(form), link, 1))) == "/x?a=1"
+
+
+def test_division_ends_with_its_own_end(values):
+    page = '<div>a</div><div class="k" id="info"><div>1</div>2<div><div>3</div></div></div><div id="other">4</div>'
+    assert values(markup.division(F.lit(page), "info")) == '<div class="k" id="info"><div>1</div>2<div><div>3</div></div>'
+    assert values(markup.division(F.lit(page), "absent")) is None
+    assert values(markup.division(F.lit("<div id=info>open <div>x"), "info")) == "<div id=info>open <div>x"

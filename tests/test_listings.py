@@ -85,6 +85,16 @@ def test_listing_page(spark):
     assert all(v is None for k, v in row[1].asDict().items() if k != "id")
 
 
+def test_listings_shown_beside_the_page_do_not_count(spark):
+    page = (
+        "<h1><div><span>1 Main</span><span></span><span>Qu&eacute;bec</span></div></h1><div id='details_info'><dl><dt>Taxes</dt><dd>$5</dd></dl>"
+        "<div><ul><li><span>Beds</span><strong>2</strong></li></ul></div></div><p class='top price big'><span><span>$ 7</span></span></p>"
+        "<div class='similar'><dl><dt>Taxes</dt><dd>$9</dd></dl><li><span>Beds</span><strong>8</strong></li></div>"
+    )
+    row = pages.listing_fields(spark.createDataFrame([(page,)], "html string")).first()
+    assert (row["taxes"], row["Bed"], row["listprice"], row["province"], row["locality"]) == ("$5", "2", "$ 7", "Québec", None)
+
+
 def test_links(spark):
     html = (
         '<div class="inner-right"><a class="t" href="/CA/1.html?a=1&amp;b=2">x</a></div>'
