@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from panelwright.functions.numbers import round_half_up
 from panelwright.operators.reshape import all_not_null, quoted
+from panelwright.session import landed
 
 
 def summary(df: DataFrame, group: str, value: str, measures: Sequence[str] = ("max", "min", "avg")) -> DataFrame:
@@ -46,19 +47,20 @@ def extremes(df: DataFrame, group: str, value: str, how: str = "max", spread: in
 
 
 def extremes_by_value(df: DataFrame, group: str, value: str, how: str = "max") -> DataFrame:
-    """Rows whose value equals the extreme of *any* group, once per such group.
+    """Rows whose value equals the extreme of *any* group, each once.
 
-    The column ``<how>_<value>`` repeats the value.  Only values between the
-    least and the greatest extreme can match; that range, a scalar subquery,
-    is filtered first and takes nearly all rows out before the join.
+    The column ``<how>_<value>`` repeats the value, and ``<how>_groups`` counts
+    the groups that have it as their extreme.  The extremes, one row per group,
+    are written once: the range they span is filtered first, which takes nearly
+    all rows out before the join.
     """
-    name = f"{how}_{value}"
+    name, groups = f"{how}_{value}", f"{how}_groups"
     per_group = df.where(all_not_null([value])).groupBy(quoted(group)).agg(
-        (F.max if how == "max" else F.min)(quoted(value)).alias(name)
+        (F.max if how == "max" else F.min)(quoted(value)).alias("_extreme")
     )
-    bound = per_group.agg((F.min if how == "max" else F.max)(name)).scalar()
+    per_value = landed(per_group.groupBy("_extreme").agg(F.count(F.lit(1)).alias(groups)), "extremes")
+    bound = per_value.agg((F.min if how == "max" else F.max)("_extreme")).scalar()
     candidates = df.where(F.col(quoted(value)) >= bound if how == "max" else F.col(quoted(value)) <= bound)
-    per_value = per_group.select(F.col(name).alias("_extreme"))
     return (
         candidates.join(per_value, F.col(quoted(value)) == F.col("_extreme"), "inner")
         .withColumnRenamed("_extreme", name)
@@ -67,14 +69,15 @@ def extremes_by_value(df: DataFrame, group: str, value: str, how: str = "max") -
 
 def top_member(
     df: DataFrame, group: str, member: str, value: str, extra: Sequence[str] = (), name: str = "maxprice",
-    digits: int = 8,
+    digits: int = 8, by_value_only: bool = False,
 ) -> DataFrame:
     """Members (say localities) with the largest average value among those seen in their group (say province).
 
     The average is taken over all rows of the member, in whatever group, and
     rounded to ``digits``, so that equal averages tie however their sums were
     added.  Returns the distinct (group, member, extra columns, average) of the
-    winners.  The rows are read once and summed per place first.
+    winners.  ``by_value_only`` also returns members whose average happens to be
+    the largest of another group.  The rows are read once and summed per place first.
     """
     v = F.col(quoted(value)).cast("double")
     known = df.where(all_not_null([member]))
@@ -83,7 +86,9 @@ def top_member(
     members = places.groupBy(quoted(member)).agg(average.alias(name)).where(F.col(name).isNotNull())
     found = places.drop("_sum", "_n").join(members, member)
     best = found.groupBy(F.col(quoted(group)).alias("_group")).agg(F.max(name).alias("_best"))
-    same = F.col(quoted(group)).eqNullSafe(F.col("_group")) & (F.col(name) == F.col("_best"))
+    same = F.col(name) == F.col("_best")
+    if not by_value_only:
+        same = F.col(quoted(group)).eqNullSafe(F.col("_group")) & same
     return found.join(best, same, "left_semi")
 
 

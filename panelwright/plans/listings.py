@@ -54,9 +54,9 @@ def price_range(listings: DataFrame, by: str) -> DataFrame:
     return ranges.orderBy(F.col(by).try_cast("double"), by).select("maxprice", "minprice", by)
 
 
-def most_expensive_localities(listings: DataFrame) -> DataFrame:
+def most_expensive_localities(listings: DataFrame, by_value_only: bool = False) -> DataFrame:
     """Per province, the locality with the highest mean price per square foot and its postal codes."""
-    top = x.top_member(listings, "province", "locality", "PriceperSqft", extra=["postal_code"])
+    top = x.top_member(listings, "province", "locality", "PriceperSqft", extra=["postal_code"], by_value_only=by_value_only)
     return top.select("locality", "postal_code", "province", "maxprice")
 
 
@@ -69,7 +69,8 @@ def province_summary(listings: DataFrame) -> DataFrame:
 def extreme_listings(listings: DataFrame, how: str = "max", by_value_only: bool = False) -> DataFrame:
     """Listings at the highest or lowest price of their province, with that price repeated.
 
-    ``by_value_only`` also returns listings of other provinces that happen to have such a price.
+    ``by_value_only`` also returns listings of other provinces that happen to have
+    such a price, each listing once, with the number of provinces that have it.
     """
     name = f"{how}price"
     if by_value_only:

@@ -18,11 +18,16 @@ MAP_PROVINCES = [
 ]
 
 
+def _dated(panel: DataFrame) -> DataFrame:
+    """With the integer ``year``, taken from the month unless the panel has it."""
+    return panel if "year" in panel.columns else panel.withColumn("year", calendar_year("REF_DATE"))
+
+
 def distinct_by_unit(
     panel: DataFrame, year: int | None = None, measures: Sequence[str] = ("total_house_land",), approximate: bool = False
 ) -> DataFrame:
     """Distinct index values per unit and region, for one year or per year."""
-    dated = panel.withColumn("year", calendar_year("REF_DATE"))
+    dated = _dated(panel)
     if year is not None:
         dated = dated.where(F.col("year") == year)
     return distinct_count(dated, ["year", "uom_houseindex", "GEO"], measures, approximate)
@@ -32,7 +37,7 @@ def distinct_by_year(
     panel: DataFrame, region: str | None = None, measures: Sequence[str] = ("total_house_land",), approximate: bool = False
 ) -> DataFrame:
     """Distinct index values per year, for one region or per region."""
-    dated = panel.withColumn("year", calendar_year("REF_DATE"))
+    dated = _dated(panel)
     if region is not None:
         dated = dated.where(F.col("GEO") == region)
     return distinct_count(dated, ["year", "GEO", "uom_houseindex"], measures, approximate)

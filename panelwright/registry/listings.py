@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from panelwright.operators import extremes as x
 from panelwright.plans import listings as p
 from panelwright.registry.support import derived, plain, r, read, tidy
+from panelwright.session import scratch_path
+from panelwright.sources import files, sinks
 from panelwright.sources.schemas import LISTING
 
 # raw listing texts, in a form that both engines accept
@@ -93,9 +95,15 @@ def region_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _extreme(how: str, by_value_only: bool):
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         rows = p.extreme_listings(clean(spark, sf_dir), how, by_value_only)
-        return tidy(rows.select("province", "listprice", "locality", "postal_code", "Bed", f"{how}price"))
-
-    match = "c.listprice = m.p" if by_value_only else "c.listprice = m.p AND c.province = m.province"
+        counted = [f"{how}_groups"] if by_value_only else []
+        return tidy(rows.select("province", "listprice", "locality", "postal_code", "Bed", f"{how}price", *counted))
+
+    if by_value_only:
+        return query, f"""WITH {_CLEAN}, m AS (SELECT p, count(*) AS n FROM (
+  SELECT {how}(listprice) AS p FROM clean GROUP BY province) GROUP BY p)
+SELECT c.province, c.listprice::DOUBLE AS listprice, c.locality, c.postal_code, c."Bed", m.p::DOUBLE AS {how}price,
+  m.n AS {how}_groups FROM clean c JOIN m ON c.listprice = m.p"""
+    match = "c.listprice = m.p AND c.province = m.province"
     sql = f"""WITH {_CLEAN}, m AS (SELECT province, {how}(listprice) AS p FROM clean GROUP BY province)
 SELECT c.province, c.listprice::DOUBLE AS listprice, c.locality, c.postal_code, c."Bed", m.p::DOUBLE AS {how}price
 FROM clean c JOIN m ON {match}"""
@@ -106,9 +114,13 @@ def _extreme_parts(how: str, by_value_only: bool):
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         parts = read(spark, sf_dir, "part").select("p_partkey", "p_type", "p_size")
         rows = x.extremes_by_value if by_value_only else x.extremes
-        return rows(parts, "p_type", "p_size", how).select("p_partkey", "p_type", "p_size")
+        counted = [f"{how}_groups"] if by_value_only else []
+        return rows(parts, "p_type", "p_size", how).select("p_partkey", "p_type", "p_size", *counted)
 
-    match = "p.p_size = m.v" if by_value_only else "p.p_size = m.v AND p.p_type = m.p_type"
+    if by_value_only:
+        return query, f"""WITH m AS (SELECT v, count(*) AS n FROM (SELECT {how}(p_size) AS v FROM part GROUP BY p_type) GROUP BY v)
+SELECT p_partkey, p_type, p_size, m.n AS {how}_groups FROM part JOIN m ON p_size = m.v"""
+    match = "p.p_size = m.v AND p.p_type = m.p_type"
     sql = f"""WITH m AS (SELECT p_type, {how}(p_size) AS v FROM part GROUP BY p_type)
 SELECT p_partkey, p.p_type, p_size FROM part p JOIN m ON {match}"""
     return query, sql
@@ -127,6 +139,41 @@ SELECT DISTINCT b.locality, b.postal_code, m.province, {r('m.maxprice')} AS maxp
 FROM m JOIN b ON m.province = b.province AND m.maxprice = b.avgprice"""
 
 
+def top_locality_value_only(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tidy(p.most_expensive_localities(clean(spark, sf_dir), by_value_only=True))
+
+
+_TOP_VALUE_ONLY = _TOP_LOCALITY[: _TOP_LOCALITY.index("SELECT DISTINCT")] + f"""
+SELECT DISTINCT locality, postal_code, province, {r('avgprice')} AS maxprice FROM b
+WHERE avgprice IN (SELECT maxprice FROM m)"""
+
+
+# raw listings with commas, quotes and line breaks in their fields
+_ODD = f"""SELECT id, province, listprice, date_added, locality || '\n"' || postal_code || '", ' || taxes AS locality, postal_code,
+  year_built, taxes, Basement, Lot_size || '" x 120", deep' AS Lot_size, Bed, Baths, Area FROM ({_RAW})"""
+
+
+def listing_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Headed CSV part files as a scraper writes them, combined."""
+    path = scratch_path(spark, "listings")
+    odd = derived(spark, sf_dir, _ODD).select(*LISTING.names)
+    odd.write.option("header", True).option("quote", '"').option("escape", '"').csv(path)
+    return p.combine_listings(spark, path)
+
+
+def listing_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cleaned listings written by the sink and read again."""
+    path = scratch_path(spark, "listings")
+    sinks.write_listings(p.clean_listings(derived(spark, sf_dir, _ODD).select(*LISTING.names)), path)
+    return tidy(files.clean_listings_file(spark, path))
+
+
+_ODD_COLUMNS = {"locality": """locality || '\n"' || postal_code || '", ' || taxes""", '"Lot_size"': """"Lot_size" || '" x 120", deep'"""}
+_LISTING_SCAN = f"""SELECT {', '.join(f'{_ODD_COLUMNS.get(c, c)} AS {c}' for c in [f'"{n}"' if n[0].isupper() else n for n in LISTING.names])}
+FROM ({plain(_RAW)})"""
+_LISTING_ROUNDTRIP = f"""SELECT * REPLACE ({', '.join(f'{v} AS {c}' for c, v in _ODD_COLUMNS.items())}) FROM ({_LISTING_CLEAN})"""
+
+
 def age_price_corr(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tidy(p.age_price_correlation(clean(spark, sf_dir)), 8)
 
@@ -165,6 +212,9 @@ QUERIES = {
     "cheapest_listings": _extreme("min", False),
     "extreme_listings_value_only": _extreme("max", True),
     "top_locality": (top_locality, _TOP_LOCALITY),
+    "top_locality_value_only": (top_locality_value_only, _TOP_VALUE_ONLY),
+    "listing_scan": (listing_scan, _LISTING_SCAN),
+    "listing_roundtrip": (listing_roundtrip, _LISTING_ROUNDTRIP),
     "age_price_corr": (age_price_corr, _CORR),
     "corr_of_moments": (corr_of_moments, _CORR_MOMENTS),
 }
