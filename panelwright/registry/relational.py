@@ -54,9 +54,11 @@ WHERE o_orderpriority IN ('1-URGENT', '2-HIGH', '3-MEDIUM') GROUP BY 1, 2, 3"""
 
 def daily_to_month(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = read(spark, sf_dir, "lineitem")
-    daily = lines.groupBy(F.date_format("l_shipdate", "yyyy-MM-dd").alias("date")).agg(
+    days = lines.groupBy(F.to_date("l_shipdate").alias("day")).agg(
         F.avg("l_discount").alias("discount"), F.avg("l_tax").alias("tax")
     )
+    # the step itself takes dates as texts, one row per day
+    daily = days.withColumn("date", F.date_format("day", "yyyy-MM-dd"))
     return tidy(group_mean(daily, [month_of("date").alias("REF_DATE")], ["discount", "tax"]), 6)
 
 
@@ -82,9 +84,10 @@ _GROUP_TRIMMED = f"""SELECT trim(label) AS label, {r('avg(c_acctbal)')} AS balan
 
 def distinct_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = read(spark, sf_dir, "lineitem").select(
-        "l_returnflag", "l_linestatus", F.date_format("l_shipdate", "yyyy-MM").alias("ship_month")
+        "l_returnflag", "l_linestatus", F.trunc("l_shipdate", "month").alias("month")
     )
-    return distinct_rows(lines, ["l_returnflag", "l_linestatus", "ship_month"])
+    kept = distinct_rows(lines, ["l_returnflag", "l_linestatus", "month"])
+    return kept.withColumn("ship_month", F.date_format("month", "yyyy-MM")).drop("month")
 
 
 def code_lookups(spark: SparkSession, sf_dir: str) -> DataFrame:
