@@ -33,7 +33,8 @@ def extremes(df: DataFrame, group: str, value: str, how: str = "max", spread: in
     of its task before the shuffle.  The rank is taken per group and slice of
     the input tasks, so the ties of a hot group (or many copies of one row)
     do not meet in one task; the extreme of the whole group, an aggregation
-    of two columns, then picks among the winners of the slices.
+    of two columns, then picks among the winners of the slices.  ``spread``
+    only says into how many tasks the ties of one group go.
     """
     order = _best_first(value, how)
     known = df.where(all_not_null([value]))

@@ -6,14 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from panelwright.registry import datasets, listings, models, pages, panels, relational
+from panelwright.registry import datasets, listings, models, pages, panels, relational, scans
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
 def _entries() -> dict[str, tuple[Query, str | None]]:
     out: dict[str, tuple[Query, str | None]] = {}
-    for module in (panels, relational, datasets, listings, models, pages):
+    for module in (panels, relational, datasets, listings, models, pages, scans):
         for name, entry in module.QUERIES.items():
             if name in out:
                 raise ValueError(f"query {name} is registered twice")
