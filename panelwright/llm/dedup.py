@@ -18,7 +18,7 @@ from panelwright.session import landed
 #: Members of a bucket that are compared in one task; larger buckets are cut into tiles of this size.
 TILE = 2_048
 #: Members of a bucket with which all its members are compared first.
-HUBS = 12
+HUBS = 6
 
 
 @dataclass(frozen=True)
