@@ -136,7 +136,7 @@ def schedule(sources: DataFrame, block_words: int) -> DataFrame:
         "sid", "stripe", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before")
     )
     inside = F.row_number().over(Window.partitionBy("sid", "stripe").orderBy("slot"))
-    ranked = slots.withColumn("inside", inside).join(before, ["sid", "stripe"]).withColumn(
+    ranked = slots.withColumn("inside", inside).join(before.hint("merge"), ["sid", "stripe"]).withColumn(
         "rank", F.col("before") + F.col("inside") - 1
     )
     block = F.col("rank") % F.col("blocks")
@@ -184,7 +184,7 @@ def mix(docs: DataFrame, text: str = "text", source: str = "source", key: str =
         F.least(high, F.col("cut")) - low, F.lit(0).cast("long")
     ) * F.col("cut").isNotNull().cast("long")
     return (
-        pieces.join(picks, ["sid", "block"], "left")
+        pieces.join(picks.hint("merge"), ["sid", "block"], "left")
         .withColumn("words", F.coalesce(words, F.lit(0)))
         .groupBy("sid", "bucket", "row", "doc_id", "size", "source_size", "target", "source")
         .agg(F.sum("words").alias("taken"))
