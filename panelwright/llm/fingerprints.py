@@ -19,7 +19,7 @@ from panelwright.session import landed
 #: Words of a piece: a line is cut into this many pieces of FINE words, then into pieces of COARSE words.
 FINE_PIECES, FINE, COARSE = 16, 2, 8
 #: Hash functions of the sketch, its cells per function, and their growth when peeling fails.
-FUNCTIONS, CELLS, GROWTH = 3, 8, 4
+FUNCTIONS, CELLS, GROWTH = 3, 4, 4
 
 
 def paragraph_digests(data: np.ndarray, cuts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
