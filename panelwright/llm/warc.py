@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelwright.llm.tables import read
-from panelwright.session import scratch_path
+from panelwright.session import landed, scratch_path
 
 #: Bytes of the smallest payload that is worth a revisit record, and records of one file.
 LEAST_PAYLOAD = 100
@@ -40,7 +40,10 @@ def decisions(headers: DataFrame, least: int = LEAST_PAYLOAD) -> DataFrame:
     Of equal payloads of ``least`` bytes or more the smallest page_id keeps its
     response, the others refer to it.
     """
-    firsts = headers.filter(F.col("bytes") >= least).groupBy("digest").agg(F.min("page_id").alias("first"))
+    groups = headers.filter(F.col("bytes") >= least).groupBy("digest")
+    firsts = groups.agg(F.min("page_id").alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
+    # written, so that the join is one of two plain tables, in which Spark splits a hot payload
+    firsts = landed(firsts, "firsts")
     refers = F.when(F.col("page_id") > F.col("first"), F.col("first"))
     return headers.join(firsts, "digest", "left").select("page_id", "digest", refers.alias("refers_to")).distinct()
 
