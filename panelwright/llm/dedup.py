@@ -321,9 +321,20 @@ def near_duplicates(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     signed = landed(signatures(docs, rule), "signatures")
     known = signed.filter("doc_id IS NOT NULL AND n_shingles > 0")
-    classes = known.groupBy("digest", "n_shingles").agg(F.min("doc_id").alias("head"))
-    members = landed(known.select("doc_id", "digest", "n_shingles").join(classes, ["digest", "n_shingles"]).select(
-        "doc_id", "head"), "members")
+    # written, so that the joins with them are of two plain tables, in which Spark splits a hot key
+    classes = landed(
+        known.groupBy("digest", "n_shingles")
+        .agg(F.min("doc_id").alias("head"), F.count(F.lit(1)).alias("n"))
+        .filter("n > 1")
+        .drop("n"),
+        "classes",
+    )
+    members = landed(
+        known.select("doc_id", "digest", "n_shingles")
+        .join(classes, ["digest", "n_shingles"], "left")
+        .select("doc_id", F.coalesce("head", "doc_id").alias("head")),
+        "members",
+    )
     repeated = known.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").isEmpty()
     heads = known.join(members.filter("doc_id = head").select("doc_id"), "doc_id", "left_semi").select(
         "doc_id", "n_shingles", "sketch", "buckets"
@@ -332,7 +343,7 @@ def near_duplicates(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
     every = heads.select("doc_id", F.explode("buckets").alias("bucket"))
     least = [F.min(F.struct(F.xxhash64("doc_id", F.lit(k)), "doc_id"))["doc_id"] for k in range(HUBS)]
     shared = every.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.array_distinct(F.array(*least)).alias("hubs"))
-    buckets = landed(every.join(shared.filter("n > 1"), "bucket"), "buckets")
+    buckets = landed(every.join(landed(shared.filter("n > 1"), "shared"), "bucket"), "buckets")
     to_hubs = (
         buckets.select("doc_id", F.explode("hubs").alias("hub"))
         .filter("doc_id <> hub")

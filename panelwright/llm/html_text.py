@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from html.parser import HTMLParser
@@ -63,52 +64,66 @@ class Blocks(HTMLParser):
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
         self.blocks: list[Block] = []
-        self.open: list[tuple[str, bool, bool, bool]] = []  # element, unseen, aside, main
-        self.links = 0
+        #: Open elements, but for inline ones that change nothing: name, unseen, aside, main.
+        self.open: list[tuple[str, bool, bool, bool]] = [("", False, False, False)]
+        self.names: Counter[str] = Counter()
+        self.in_link = False
         self.current: Block | None = None
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         if tag == "a":
-            self.links += 1
-        elif tag not in INLINE:
+            self.in_link = True
+        inline = tag in INLINE
+        if not inline:
             self.current = None
             self.end_implied(tag)
-        if tag in VOID:
+        if tag in VOID or (inline and not attrs):
+            return
+        before = self.open[-1][1:]
+        unseen, aside, main = before
+        is_main = tag in MAIN or any(n == "role" and v == "main" for n, v in attrs)
+        unseen = unseen or tag in UNSEEN
+        aside = aside or (tag in ASIDE and not (tag == "header" and main))
+        # the class of a page or of its article is about the layout
+        if tag not in ("html", "body") and not (is_main and not main):
+            aside = aside or is_aside(attrs)
+        state = (unseen, aside, main or is_main)
+        if inline and state == before:
             return
-        unseen, aside, main = self.open[-1][1:] if self.open else (False, False, False)
-        if attrs or tag not in INLINE:
-            is_main = tag in MAIN or any(n == "role" and v == "main" for n, v in attrs)
-            unseen = unseen or tag in UNSEEN
-            aside = aside or (tag in ASIDE and not (tag == "header" and main))
-            if tag not in ("html", "body") and not (is_main and not main):
-                aside = aside or is_aside(attrs)
-            main = main or is_main
-        if (unseen, aside, main) != (self.open[-1][1:] if self.open else (False, False, False)):
+        if state != before:
             self.current = None
-        self.open.append((tag, unseen, aside, main))
+        self.open.append((tag, *state))
+        self.names[tag] += 1
 
     def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         if tag not in INLINE:
             self.current = None
 
+    def close_element(self, name: str) -> None:
+        """Close the innermost open element of a name and all in it."""
+        before = self.open[-1][1:]
+        while (inner := self.open.pop()[0]) != name:
+            self.names[inner] -= 1
+        self.names[name] -= 1
+        if self.open[-1][1:] != before:
+            self.current = None
+
     def end_implied(self, tag: str) -> None:
-        ends = CLOSES.get(tag, ())
-        while self.open and (self.open[-1][0] in INLINE or self.open[-1][0] == "p" or self.open[-1][0] in ends):
-            if self.open[-1][0] in INLINE and not any(o[0] == "p" or o[0] in ends for o in self.open[-8:]):
-                return
-            self.open.pop()
+        """A block ends an open paragraph, an item or cell ends the one before it."""
+        ends = CLOSES.get(tag, frozenset()) | {"p"}
+        while (name := self.open[-1][0]) in ends or (name in INLINE and any(self.names[e] for e in ends)):
+            self.close_element(name)
 
     def handle_endtag(self, tag: str) -> None:
         if tag == "a":
-            self.links = max(0, self.links - 1)
+            self.in_link = False
         elif tag not in INLINE:
             self.current = None
-        if any(o[0] == tag for o in reversed(self.open)):
-            while self.open.pop()[0] != tag:
-                pass
+        if self.names[tag]:
+            self.close_element(tag)
 
     def handle_data(self, data: str) -> None:
-        _, unseen, aside, main = self.open[-1] if self.open else ("", False, False, False)
+        _, unseen, aside, main = self.open[-1]
         if unseen:
             return
         if self.current is None:
@@ -117,7 +132,7 @@ class Blocks(HTMLParser):
             self.current = Block(aside=aside, main=main)
             self.blocks.append(self.current)
         self.current.pieces.append(data)
-        if self.links:
+        if self.in_link:
             self.current.linked.append(data)
 
 

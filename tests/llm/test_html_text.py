@@ -30,6 +30,9 @@ def test_the_tree_fits_its_table():
     ("<article><ul><li>one<li>two</ul><table><tr><td>a<td>b</table></article>", "one two a b"),
     ("<body><p>" + "word " * 60 + "</p><ul><li><a>x</a><li><a>y</a></ul></body>", ("word " * 60).strip()),
     ("<article>a < b && c</article>", "a < b && c"),
+    ("<article>" + "<p><b>x" * 3 + "</article><nav>no</nav>", "x x x"),
+    ("<article><div class=ad>no</div>in <span class='ad'>no</span>line</article></div></nav> after", "in line"),
+    ("<article><ul><li>a<ul><li>b</ul><li>c</ul></article>", "a b c"),
     ("<!-- <article>no</article> --><article>yes</article>", "yes"),
 ])
 def test_pages(page, expected):
@@ -45,3 +48,8 @@ def test_operator(spark):
     found = sorted(((r["page_id"], r["text"], r["n_chars"]) for r in got.collect()), key=repr)
     assert found == sorted([(1, "Ä b", 3), (1, "Ä b", 3), (None, "", 0), (2, ("x " * 200_000).strip(), 399_999)], key=repr)
     assert html_text.main_text(df.limit(0)).collect() == []
+
+
+def test_unclosed_and_unmatched_tags_cost_no_more_than_others():
+    text("<article>" + "<b>" * 50_000 + "<p>x" * 50_000 + "</i>" * 50_000)
+    text("<div>" * 50_000 + "</section>" * 50_000)
