@@ -141,3 +141,45 @@ def test_no_python_in_any_registered_query(spark):
             continue
         text = plan(query(spark, SF))
         assert "Python" not in text and "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text, name
+
+
+def test_imputation_does_not_shuffle_the_wide_rows(spark, tmp_path):
+    spark.range(9000).select(
+        F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id") % 40).alias("g"), F.col("id").alias("x"),
+        F.when(F.col("id") % 7 > 0, F.col("id") * 2.0).alias("y"),
+    ).write.parquet(str(tmp_path / "rows"))
+    filled = f.impute_regression(spark.read.parquet(str(tmp_path / "rows")), "g", "x", ["y"])
+    text = final_plan(filled)
+    assert "BroadcastHashJoin" in text and "Exchange hashpartitioning" not in text
+    assert filled.where("abs(y - x * 2) > 1e-6").isEmpty() and filled.count() == 9000
+
+
+def test_national_rows_join_on_any_form_of_period(spark):
+    spine = spark.createDataFrame([("r", "2018-Q1"), ("r", "2018-01"), ("s", "2018")], "DGUID string, REF_DATE string")
+    national = spark.createDataFrame([("2018-Q1", 1.0), ("2018-01", 2.0), ("2018", 3.0)], "REF_DATE string, v double")
+    out = build_panel(spine, [Feature(national, ["v"], by="national", duplicates="raise")])
+    assert sorted(r["v"] for r in out.collect()) == [1.0, 2.0, 3.0]
+    assert "broadcast" not in out._jdf.queryExecution().logical().toString().lower()
+
+
+def test_archives_are_not_read_again_by_the_panel(spark, tmp_path):
+    import json
+    import zipfile
+
+    from panelwright.jobs import scan_tables
+    from panelwright.plans.regional_panel import load_all, regional_panel
+    from panelwright.sources.schemas import PRODUCTS, RATE_VALUES, statistics_columns
+
+    for table, (product, _) in PRODUCTS.items():
+        (tmp_path / "s" / product).mkdir(parents=True)
+        with zipfile.ZipFile(tmp_path / "s" / product / "a.zip", "w") as archive:
+            archive.writestr("t.csv", ",".join(f'"{c}"' for c in statistics_columns(table)) + "\n")
+    (tmp_path / "codes.json").write_text(json.dumps({"object": {"uom": [], "scalar": []}}))
+    (tmp_path / "w").mkdir()
+    (tmp_path / "w" / "Ontario_weather.csv").write_text("Date/Time\n")
+    (tmp_path / "rates.csv").write_text("date," + ",".join(RATE_VALUES) + "\n")
+    tables = scan_tables(spark, f"{tmp_path}/s", f"{tmp_path}/codes.json", f"{tmp_path}/w", f"{tmp_path}/rates.csv")
+    text = plan(regional_panel(load_all(tables)))
+    assert "MapInPandas" not in text and "binaryFile" not in text
+    # the spine and the fuel pivot are plain scans of what was written once
+    assert text.count("New housing price indexes") == 0 and text.count("Type of fuel") == 0
