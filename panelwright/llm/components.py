@@ -67,9 +67,10 @@ def components(edges: DataFrame) -> DataFrame:
                 links.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
             )
         both = links.unionAll(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("m"))
+        # the minima are written before they are joined, so that Spark can split the edges of a hot node
+        least = landed(both.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("m")), "least")
         large = both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         large = landed(large.filter("u <> v"), "links")
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
+        low = landed(large.groupBy("u").agg(F.min("v").alias("m")), "least")
         small = large.join(low, "u").select(F.explode(F.array("u", "v")).alias("u"), F.col("m").alias("v"))
         links = landed(small.filter("u <> v").distinct(), "links")

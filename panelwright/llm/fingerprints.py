@@ -186,7 +186,10 @@ def edited_text(text: str, following: str) -> str:
     return text[: len(text) - quarter] + following[:quarter]
 
 
-_RESULT = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
+_RESULT = (
+    "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, "
+    "near_next double"
+)
 _NAMES = [field.split()[0] for field in _RESULT.split(", ")]
 
 

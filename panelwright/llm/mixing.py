@@ -88,7 +88,9 @@ def shuffled(sized: DataFrame, sources: DataFrame, documents: int, seed: str) ->
         Window.partitionBy("sid", "bucket").orderBy("digest", "doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
     )
     return (
-        keyed.withColumns({"inner": F.coalesce(F.sum("size").over(inside), F.lit(0)), "row": F.count(F.lit(1)).over(inside)})
+        keyed.withColumns(
+            {"inner": F.coalesce(F.sum("size").over(inside), F.lit(0)), "row": F.count(F.lit(1)).over(inside)}
+        )
         .join(starts, ["sid", "bucket"])
         .withColumn("start", F.col("offset") + F.col("inner"))
         .select("doc_id", "size", "source", "sid", "bucket", "row", "source_size", "target", "start")
@@ -155,8 +157,9 @@ def mix(docs: DataFrame, text: str = "text", source: str = "source", key: str =
     words; :func:`schedule` tells which blocks are read and how often, and a
     join of blocks with the documents that lie in them tells the words taken of
     each.  Slots and blocks grow with the words, though they come from the few
-    rows of the sources, so their joins are told not to broadcast them.  A source's taken words are its target, rounded.  The result depends
-    on the rows alone, not on their partitions.
+    rows of the sources, so their joins are told not to broadcast them.  A
+    source's taken words are its target, rounded.  The result depends on the rows
+    alone, not on their partitions.
 
     Null texts and texts without words have size 0 and take nothing; a null
     source is a source of its own; rows with a null or repeated id are mixed as
