@@ -61,16 +61,20 @@ def _window_gradient(weights: Weights, state: np.ndarray, inputs: np.ndarray, ta
         trace.append((before, *gates))
         states.append(state)
     flat = np.concatenate(states)
-    log_p = log_softmax(weights, flat)
+    d_logits = flat @ weights["output"]
+    d_logits += weights["bias"]
+    d_logits -= d_logits.max(axis=1, keepdims=True)
+    np.exp(d_logits, out=d_logits)
+    share = 1 / d_logits.sum(axis=1, keepdims=True)
     wanted = targets.ravel()
     at = np.arange(len(wanted))
-    loss = -log_p[at, wanted].mean()
-    d_logits = np.exp(log_p)
-    d_logits[at, wanted] -= 1
-    d_logits /= len(wanted)
-    gradient = {name: np.zeros_like(w) for name, w in weights.items()}
-    gradient["output"], gradient["bias"] = flat.T @ d_logits, d_logits.sum(axis=0)
+    loss = -np.log(np.maximum(d_logits[at, wanted] * share[:, 0], 1e-30)).mean()
+    d_logits *= share / len(wanted)
+    d_logits[at, wanted] -= 1 / len(wanted)
+    d_output, d_bias = flat.T @ d_logits, d_logits.sum(axis=0)
     d_states = (d_logits @ weights["output"].T).reshape(steps, streams, h)
+    befores, mixed = np.empty((steps, streams, h), flat.dtype), np.empty((steps, streams, h), flat.dtype)
+    d_given = np.empty((steps, streams, 3 * h), flat.dtype)
     d_next = np.zeros_like(state)
     for t in reversed(range(steps)):
         before, update, reset, candidate = trace[t]
@@ -79,15 +83,67 @@ def _window_gradient(weights: Weights, state: np.ndarray, inputs: np.ndarray, ta
         d_update = d_state * (candidate - before) * update * (1 - update)
         d_mixed = d_candidate @ weights["candidate"].T
         d_reset = d_mixed * before * reset * (1 - reset)
-        d_gates = np.concatenate([d_update, d_reset], axis=1)
-        gradient["candidate"] += (reset * before).T @ d_candidate
-        gradient["gates"] += before.T @ d_gates
-        np.add.at(gradient["input"], inputs[t], np.concatenate([d_gates, d_candidate], axis=1))
-        d_next = d_state * (1 - update) + d_mixed * reset + d_gates @ weights["gates"].T
+        given = d_given[t]
+        given[:, :h], given[:, h : 2 * h], given[:, 2 * h :] = d_update, d_reset, d_candidate
+        befores[t], mixed[t] = before, reset * before
+        d_next = d_state * (1 - update) + d_mixed * reset + given[:, : 2 * h] @ weights["gates"].T
         d_next *= alive[t][:, None]
+    d_given = d_given.reshape(-1, 3 * h)
+    # summed by class: rows in the order of their classes, cut where the class changes
+    order = np.argsort(inputs, axis=None, kind="stable")
+    ordered = inputs.ravel()[order]
+    opens = np.flatnonzero(np.r_[True, ordered[1:] != ordered[:-1]])
+    d_input = np.zeros_like(weights["input"])
+    d_input[ordered[opens]] = np.add.reduceat(d_given[order], opens, axis=0)
+    gradient = {
+        "input": d_input,
+        "gates": befores.reshape(-1, h).T @ d_given[:, : 2 * h],
+        "candidate": mixed.reshape(-1, h).T @ d_given[:, 2 * h :],
+        "output": d_output,
+        "bias": d_bias,
+    }
     return loss, gradient, state
 
 
+class Trainer:
+    """Adam on a copy of weights, fed with sequences of documents by truncated backpropagation through time."""
+
+    def __init__(self, weights: Weights):
+        self.weights = {n: w.copy() for n, w in weights.items()}
+        self.first, self.second = ({n: np.zeros_like(w) for n, w in weights.items()} for _ in range(2))
+        self.done = 0
+
+    def update(self, gradient: Weights, pace: float) -> None:
+        norm = np.sqrt(sum(float((g**2).sum()) for g in gradient.values()))
+        self.done += 1
+        for name, g in gradient.items():
+            g = g * min(1.0, 1.0 / max(norm, 1e-9))
+            self.first[name] += 0.1 * (g - self.first[name])
+            self.second[name] += 0.01 * (g * g - self.second[name])
+            a, b = self.first[name] / (1 - 0.9**self.done), self.second[name] / (1 - 0.99**self.done)
+            self.weights[name] -= pace * a / (np.sqrt(b) + 1e-8)
+
+    def run(self, sequence: np.ndarray, streams: int, begin: float, end: float) -> None:
+        """One pass over documents laid end to end (class numbers, each document ending in class 0), at a rate from ``begin`` to ``end``.
+
+        The sequence is cut into parallel streams, whose state goes on from window
+        to window and is emptied between documents.  Every token is a target; the
+        last stream is filled up from the start of the sequence.
+        """
+        total = len(sequence)
+        streams = max(1, min(streams, total))
+        length = -(-total // streams)
+        line = np.resize(sequence, streams * length)
+        previous = np.r_[np.zeros(1, line.dtype), line[:-1]].reshape(streams, length).T
+        line = line.reshape(streams, length).T
+        state = np.zeros((streams, self.weights["gates"].shape[0]), np.float32)
+        for first in range(0, length, WINDOW):
+            rows = slice(first, first + WINDOW)
+            alive = (previous[rows] != 0).astype(np.float32)
+            _, gradient, state = _window_gradient(self.weights, state, previous[rows], line[rows], alive)
+            self.update(gradient, begin + (end - begin) * first / length)
+
+
 def train(documents: Sequence[np.ndarray], classes: int, hidden: int = 32, streams: int = 64, epochs: int = 3,
           rate: float = 0.01, seed: int = 1) -> Weights:
     """Weights fitted by truncated backpropagation through time and Adam.
@@ -96,36 +152,27 @@ def train(documents: Sequence[np.ndarray], classes: int, hidden: int = 32, strea
     parallel streams.  The state goes on from window to window and is emptied
     between documents.
     """
-    weights = initial(classes, hidden, seed)
+    trainer = Trainer(initial(classes, hidden, seed))
     rng = np.random.default_rng(seed)
-    first = {n: np.zeros_like(w) for n, w in weights.items()}
-    second = {n: np.zeros_like(w) for n, w in weights.items()}
     total = sum(map(len, documents))
     if not total:
-        return weights
+        return trainer.weights
     streams = max(1, min(streams, total // (4 * WINDOW)))
-    length = total // streams
-    windows = max(1, length // WINDOW)
-    done, planned = 0, epochs * windows
-    for _ in range(epochs):
-        order = rng.permutation(len(documents))
-        line = np.concatenate([documents[i] for i in order]).astype(np.int64)[: streams * length].reshape(streams, length).T
-        previous = np.concatenate([np.zeros((1, streams), np.int64), line[:-1]])
-        state = np.zeros((streams, hidden), np.float32)
-        for w in range(windows):
-            rows = slice(w * WINDOW, min((w + 1) * WINDOW, length))
-            alive = (previous[rows] != 0).astype(np.float32)
-            _, gradient, state = _window_gradient(weights, state, previous[rows], line[rows], alive)
-            norm = np.sqrt(sum(float((g**2).sum()) for g in gradient.values()))
-            done += 1
-            pace = rate * (1 - done / (planned + 1))
-            for name, g in gradient.items():
-                g = g * min(1.0, 1.0 / max(norm, 1e-9))
-                first[name] += 0.1 * (g - first[name])
-                second[name] += 0.01 * (g * g - second[name])
-                a, b = first[name] / (1 - 0.9**done), second[name] / (1 - 0.99**done)
-                weights[name] -= pace * a / (np.sqrt(b) + 1e-8)
-    return weights
+    for epoch in range(epochs):
+        sequence = np.concatenate([documents[i] for i in rng.permutation(len(documents))])
+        trainer.run(sequence, streams, rate * (1 - epoch / epochs), rate * (1 - (epoch + 1) / epochs))
+    return trainer.weights
+
+
+def packed(weights: Weights) -> np.ndarray:
+    """All weights as one vector."""
+    return np.concatenate([w.ravel() for w in weights.values()])
+
+
+def unpacked(vector: np.ndarray, like: Weights) -> Weights:
+    """The weights of a vector of :func:`packed`, in the shapes of ``like``."""
+    ends = np.cumsum([w.size for w in like.values()])
+    return {n: v.reshape(w.shape) for (n, w), v in zip(like.items(), np.split(vector, ends[:-1]))}
 
 
 def score(weights: Weights, tokens: np.ndarray, lengths: np.ndarray) -> np.ndarray:

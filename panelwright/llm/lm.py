@@ -19,8 +19,16 @@ from panelwright.session import landed
 #: Classes: the end of a document, the most frequent words one by one, and the other words by their spelling.
 FREQUENT, SPELLINGS = 63, 64
 CLASSES = 1 + FREQUENT + SPELLINGS
-#: Whole training documents that the recurrent weights are fitted on at most, those with the smallest hashes of their ids.
-TRAINING_DOCUMENTS = 2_000
+#: Rounds that deal out the training documents, after each of which the tasks' weights are averaged.
+ROUNDS = 4
+#: Passes over the training documents: one, or up to three as long as they hold fewer tokens than these in all.
+LEAST_TOKENS, PASSES = 2_000_000, 3
+#: Learning rate at the first round, falling to none; parallel streams of a task, and their least windows, for small tables.
+RATE, STREAMS, LEAST_WINDOWS = 0.01, 128, 16
+#: Tokens of documents that a task lays end to end at a time.
+SEQUENCE = 1 << 20
+#: Rows that a task's weights are cut into, so that they are averaged side by side.
+PIECES = 16
 #: Size of the recurrent state.
 HIDDEN = 32
 #: Distinct words of a row of a block's word table.
@@ -151,30 +159,91 @@ def class_of(frequent: list[int]) -> Column:
     return column.otherwise(F.col("spelling") + 1 + FREQUENT).cast("int")
 
 
-def class_sequences(docs: DataFrame, frequent: list[int], documents: int) -> list[np.ndarray]:
-    """The class numbers of at most ``documents`` whole training documents."""
-    chosen = docs.filter("learn AND doc_id IS NOT NULL").select("doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(documents)
+def class_sequences(docs: DataFrame, frequent: list[int]) -> DataFrame:
+    """round, n_tokens, classes of all training documents: their class numbers end to end, compressed, in the shared folder.
+
+    A row holds the documents of a slice of texts that are of one round; each is whole.
+    """
     known = np.array(sorted(frequent), np.int64)
     number = {h: i + 1 for i, h in enumerate(frequent)}
-    numbers = np.array([number[h] for h in known.tolist()], np.int64)
+    numbers = np.array([number[h] for h in known.tolist()], np.uint8)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        dealt = 0
         for batch in batches:
-            for first, data, cuts in hashing.slices(batch.column("text")):
+            for _, data, cuts in hashing.slices(batch.column("text")):
                 hashes, spelling, lengths = tokens(data, cuts)
-                classes = spelling.astype(np.int64) + 1 + FREQUENT
+                classes = spelling + np.uint8(1 + FREQUENT)
                 if len(known):
                     at = np.minimum(np.searchsorted(known, hashes.view(np.int64)), len(known) - 1)
                     hit = known[at] == hashes.view(np.int64)
                     classes[hit] = numbers[at[hit]]
                 classes[hashes == _END] = 0
-                cut = np.split(classes.astype(np.uint8), np.cumsum(lengths)[:-1])
-                ids = batch.column("doc_id").slice(first, len(cut))
-                yield pa.RecordBatch.from_arrays([ids, pa.array([c.tobytes() for c in cut], pa.binary())], ["doc_id", "classes"])
+                turn = np.repeat((dealt + np.arange(len(lengths))) % ROUNDS, lengths)
+                dealt += len(lengths)
+                found = [(r, classes[turn == r]) for r in range(ROUNDS)]
+                rows = [(r, len(c), pa.compress(c.tobytes(), codec="zstd", asbytes=True)) for r, c in found if len(c)]
+                columns = [pa.array(x, t) for x, t in zip(zip(*rows), (pa.int32(), pa.int64(), pa.binary()))]
+                yield pa.RecordBatch.from_arrays(columns, ["round", "n_tokens", "classes"])
+
+    return landed(docs.filter("learn").select("text").mapInArrow(run, "round int, n_tokens long, classes binary"), "classes")
+
+
+def trained_round(sequences: DataFrame, weights: gru.Weights, rate: float) -> gru.Weights:
+    """The weights after every task has gone over all of its rows from the given ones, averaged by the tasks' tokens."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        trainer, total = gru.Trainer(weights), 0
+        held: list[np.ndarray] = []
+        ready: list[np.ndarray] = []
+
+        def learn(rows: list[np.ndarray]) -> int:
+            sequence = np.concatenate(rows)
+            trainer.run(sequence, min(STREAMS, len(sequence) // (LEAST_WINDOWS * gru.WINDOW)), rate, rate)
+            return len(sequence)
 
-    picked = docs.join(F.broadcast(chosen), "doc_id", "left_semi").filter("learn").select("doc_id", "text")
-    rows = picked.mapInArrow(run, "doc_id long, classes binary").orderBy("doc_id", "classes").limit(documents).collect()
-    return [np.frombuffer(bytes(r["classes"]), np.uint8) for r in rows]
+        for batch in batches:
+            for n, part in zip(batch.column("n_tokens").to_pylist(), batch.column("classes")):
+                held.append(np.frombuffer(pa.decompress(part.as_buffer(), n, codec="zstd", asbytes=True), np.uint8))
+                if sum(map(len, held)) >= SEQUENCE:
+                    # the one before is learned now, so that a short rest is never learned alone
+                    total += learn(ready) if ready else 0
+                    held, ready = [], held
+        if ready or held:
+            total += learn(ready + held)
+            cut = np.array_split(gru.packed(trainer.weights), PIECES)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.full(PIECES, TaskContext.get().partitionId(), np.int64)), pa.array(np.full(PIECES, total)),
+                 pa.array(range(PIECES), pa.int32()), pa.array([c.tobytes() for c in cut], pa.binary())],
+                ["task", "n_tokens", "piece", "vector"],
+            )
+
+    def average(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values("task")
+        vectors = np.stack([np.frombuffer(v, np.float32) for v in rows["vector"]])
+        mean = np.average(vectors.astype(float), axis=0, weights=rows["n_tokens"]).astype(np.float32)
+        return pd.DataFrame({"piece": [rows["piece"].iloc[0]], "vector": [mean.tobytes()]})
+
+    done = sequences.mapInArrow(run, "task long, n_tokens long, piece int, vector binary")
+    pieces = done.groupBy("piece").applyInPandas(average, "piece int, vector binary").collect()
+    if not pieces:
+        return weights
+    ordered = [np.frombuffer(bytes(r["vector"]), np.float32) for r in sorted(pieces, key=lambda r: r["piece"])]
+    return gru.unpacked(np.concatenate(ordered), weights)
+
+
+def trained(sequences: DataFrame, total: int, hidden: int) -> gru.Weights:
+    """Recurrent weights fitted on all rows of :func:`class_sequences`, which hold ``total`` tokens.
+
+    Each round takes its share of the documents; the weights alone come to the driver.
+    """
+    weights = gru.initial(CLASSES, hidden, 1)
+    if not total:
+        return weights
+    planned = ROUNDS * min(PASSES, -(-LEAST_TOKENS // total))
+    for r in range(planned):
+        weights = trained_round(sequences.filter(F.col("round") == r % ROUNDS), weights, RATE * (1 - r / planned))
+    return weights
 
 
 def score_block(documents: pd.DataFrame, words: pd.DataFrame, counts: Counts, weights: gru.Weights) -> pd.DataFrame:
@@ -207,15 +276,16 @@ def score_block(documents: pd.DataFrame, words: pd.DataFrame, counts: Counts, we
     })
 
 
-def log_likelihoods(docs: DataFrame, documents: int = TRAINING_DOCUMENTS, hidden: int = HIDDEN) -> DataFrame:
+def log_likelihoods(docs: DataFrame, hidden: int = HIDDEN) -> DataFrame:
     """doc_id, learn, n_tokens, n_known, train_tokens, base_score, score of every row of ``docs`` (doc_id, text, learn).
 
     Counts are those of all tokens of the rows with ``learn``.  The model factors
     a token's probability into that of its class after all tokens before it, by
     a gated recurrent network whose state runs through the whole document, and
     that of the word within its class, by the counts of the corpus with absolute
-    discounting; words never counted share what the discount frees.  Only the
-    recurrent weights are fitted on a bounded sample of whole documents.
+    discounting; words never counted share what the discount frees.  The recurrent
+    weights are fitted on the same rows in rounds: tasks learn side by side, and
+    their weights are averaged, so scores depend a little on how rows are dealt to tasks.
 
     Documents meet the counts of their words block by block: a block is an Arrow
     batch of documents with its table of distinct words, and what is shuffled
@@ -228,7 +298,7 @@ def log_likelihoods(docs: DataFrame, documents: int = TRAINING_DOCUMENTS, hidden
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.coalesce("learn", F.lit(False)).alias("learn"))
     blocks = coded(rows)
     counted, counts = word_counts(blocks)
-    weights = gru.train(class_sequences(rows, counts.frequent, documents), CLASSES, hidden)
+    weights = trained(class_sequences(rows, counts.frequent), counts.tokens, hidden)
     words = counted.select("block", "code", "c", class_of(counts.frequent).alias("k"))
     texts = blocks.filter("codes IS NOT NULL").select("block", "doc_id", "learn", "n_tokens", "codes")
 

@@ -5,6 +5,7 @@ import random
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from panelwright.llm import gru, lm
@@ -79,6 +80,28 @@ def test_counts_and_probabilities(spark, documents):
     assert better / len(got) > 0.8
 
 
+def test_the_network_learns_from_every_training_document(documents):
+    rows = [(i, "b a " * 8 if i % 40 else "x", "en", "s") for i in range(2400)]
+    docs = documents(rows, ["doc_id % 10 <> 3 AS learn"]).repartition(3)
+    sequences = lm.class_sequences(docs, [7]).collect()
+    assert sum(r["n_tokens"] for r in sequences) == sum(len(t.split()) + 1 for i, t, *_ in rows if i % 10 != 3)
+    ends = sum(pa.decompress(r["classes"], r["n_tokens"], codec="zstd", asbytes=True).count(0) for r in sequences)
+    assert ends == 2160 and {r["round"] for r in sequences} == set(range(lm.ROUNDS))
+
+
+def test_a_round_averages_tasks_by_their_tokens(spark):
+    def row(n, c):
+        return 0, n, pa.compress(bytes([c] * (n - 1) + [0]), codec="zstd", asbytes=True)
+
+    schema = "round int, n_tokens long, classes binary"
+    rows = [row(900, 5), row(300, 9)]
+    start = gru.initial(lm.CLASSES, 4, 0)
+    alone = [gru.packed(lm.trained_round(spark.createDataFrame([r], schema).coalesce(1), start, 0.01)) for r in rows]
+    both = spark.createDataFrame(spark.sparkContext.parallelize(rows, 2), schema)
+    assert gru.packed(lm.trained_round(both, start, 0.01)) == pytest.approx(0.75 * alone[0] + 0.25 * alone[1], abs=1e-5)
+    assert not np.allclose(alone[0], gru.packed(start), atol=1e-3)
+
+
 def test_probabilities_of_a_class_sum_to_one():
     tokens, words = np.zeros(lm.CLASSES), np.zeros(lm.CLASSES)
     tokens[100], words[100] = 10, 4
