@@ -16,18 +16,40 @@ from panelwright.llm import hashing
 from panelwright.llm.tables import read
 from panelwright.session import landed
 
-#: Words of a piece: a line is cut into this many pieces of FINE words, then into pieces of COARSE words.
-FINE_PIECES, FINE, COARSE = 16, 2, 8
+#: First words of a line that are cut into fine pieces, and how far around it a word must be the least to open a piece there and after.
+FINE_WORDS, FINE, COARSE = 32, 1, 4
+#: Words of a piece at most, there and after.
+FINE_MOST, COARSE_MOST = 8, 32
 #: Hash functions of the sketch, its cells per function, and their growth when peeling fails.
-FUNCTIONS, CELLS, GROWTH = 3, 4, 4
+FUNCTIONS, CELLS, GROWTH = 3, 8, 4
+
+
+def least_around(hashes: np.ndarray, lines: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Which words have the least hash among FINE and among COARSE words before and after on their line, the first of equal ones."""
+    least, found = np.ones(len(hashes), bool), {}
+    for d in range(1, COARSE + 1):
+        elsewhere = (lines[d:] != lines[:-d]) | (owner[d:] != owner[:-d])
+        less = hashes[d:] < hashes[:-d]
+        least[d:] &= less | elsewhere
+        least[:-d] &= ~less | elsewhere
+        found[d] = least.copy()
+    return found[FINE], found[COARSE]
+
+
+def _since(opening: np.ndarray) -> np.ndarray:
+    """How many rows each is behind the last one that opens; the first does."""
+    at = np.flatnonzero(opening)
+    return np.arange(len(opening)) - np.repeat(at, np.diff(np.r_[at, len(opening)]))
 
 
 def paragraph_digests(data: np.ndarray, cuts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(digest, text) of the paragraph pieces of a slice of texts.
 
-    A paragraph is a line.  It is cut from its start into pieces of a few words,
-    so that an edit changes the pieces from there to the end of the line only;
-    the first pieces are finer, for short texts.  Repetitions of a piece in a
+    A paragraph is a line.  It is cut into pieces of a few words, where the hash
+    of a word is the least of those around it (about every third word, after the
+    first words of a line every ninth).  So an edit changes the pieces next to it
+    and, where words were added or removed, at the end of the finer ones; longer runs without a border
+    are cut at a fixed length.  Repetitions of a piece in a
     text are numbered, so the digests of a text are distinct.  Any change of the
     white space between words is not seen, but for line breaks.
     """
@@ -38,11 +60,12 @@ def paragraph_digests(data: np.ndarray, cuts: np.ndarray) -> tuple[np.ndarray, n
     lines = np.searchsorted(np.flatnonzero((data == 0x0A) | (data == 0x0D)), starts)
     first = np.ones(len(hashes), bool)
     first[1:] = (lines[1:] != lines[:-1]) | (owner[1:] != owner[:-1])
-    begins = np.flatnonzero(first)
-    place = np.arange(len(hashes)) - np.repeat(begins, np.diff(np.r_[begins, len(hashes)]))
-    fine = FINE_PIECES * FINE
-    inside = np.where(place < fine, place % FINE, (place - fine) % COARSE)
+    place = _since(first)
+    fine = place < FINE_WORDS
+    opening = first | np.where(fine, *least_around(hashes, lines, owner))
+    inside = _since(opening) % np.where(fine, FINE_MOST, COARSE_MOST)
     opens = np.flatnonzero(inside == 0)
+    inside = _since(inside == 0)
     rotated = hashing.mix64(hashes + inside.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
     digest, owner = hashing.mix64(np.add.reduceat(rotated, opens)), owner[opens]
     order = np.lexsort((digest, owner))

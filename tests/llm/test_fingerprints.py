@@ -57,6 +57,19 @@ def test_edited_text():
     assert fp.edited_text("abc", "XY") == "abc" and fp.edited_text("", "XY") == ""
 
 
+def test_pieces_realign_after_an_insertion():
+    rng = random.Random(4)
+    for n, least in ((12, 0.4), (40, 0.65), (120, 0.75), (400, 0.85)):
+        found = []
+        for _ in range(40):
+            words = [f"w{rng.randrange(2000)}" for _ in range(n)]
+            at = rng.randrange(n // 4)
+            found += [likeness(" ".join(words), " ".join(words[:at] + edit + words[at + 1 :])) for edit in (["new", words[at]], [])]
+        assert sum(found) / len(found) > least, (n, sum(found) / len(found))
+    long = "over and over " * 400
+    assert likeness(long, "x " + long) > 0.8 and len(keys("same " * 3200)) < 3200 // 16
+
+
 def test_a_single_row_follows_itself_and_no_rows_give_none(spark):
     one = fp.fingerprints(spark.createDataFrame([(1, "abcdefgh")], "doc_id long, text string")).collect()
     assert [(r["doc_id"], r["near_next"]) for r in one] == [(1, 1.0)]
