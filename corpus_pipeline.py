@@ -7,6 +7,7 @@ writes each stage's result into the shared folder and reads it back.
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 
 from panelwright.llm import bpe, dedup, language, mixing, toxicity
@@ -15,17 +16,25 @@ from panelwright.session import landed, ship
 
 
 def clean_of_toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Without the documents that are predicted toxic by a model of the labels that are not held out."""
+    """Without the documents that are predicted toxic by a model of the labels that are not held out.
+
+    Where these labels tell no class from the other, nothing is dropped.
+    """
     ship(spark)
-    scored = toxicity.scored(docs, read(spark, sf_dir, "labels"), docs.columns)
-    return scored.filter("predicted = 0").select(docs.columns)
+    model = toxicity.learned(docs, read(spark, sf_dir, "labels"))
+    if not model.weights:
+        return docs
+    return toxicity.score(docs, model).filter("predicted = 0").select(docs.columns)
 
 
 def in_a_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Without the documents whose language cannot be told: null texts and those without a letter."""
     ship(spark)
-    learned = language.prototypes(docs.filter(crc_mod("doc_id", 4) != 2).select("text", "lang"))
-    return language.identify(docs, *learned).filter(f"lang_pred <> '{language.UNDETERMINED}'").select(docs.columns)
+    langs, vectors = language.prototypes(docs.filter(crc_mod("doc_id", 4) != 2).select("text", "lang"))
+    if not langs:
+        # one language for all texts with a letter
+        langs, vectors = ["any"], np.zeros((1, language.DIMENSIONS))
+    return language.identify(docs, langs, vectors).filter(f"lang_pred <> '{language.UNDETERMINED}'").select(docs.columns)
 
 
 def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

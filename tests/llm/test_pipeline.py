@@ -66,3 +66,12 @@ def test_empty_tables(spark, documents, tmp_path):
     spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
     assert corpus_pipeline.run(spark, str(tmp_path)).collect() == []
     assert dedup.one_of_each(documents([])).collect() == []
+
+
+@pytest.mark.parametrize("labels", [[], [(i, 1, 1) for i in range(40)], [(i, 1, i % 2) for i in range(40)]])
+def test_documents_stay_where_nothing_can_be_learned(spark, documents, tmp_path, labels):
+    rows = [(i, f"plain words {'ab cd ef gh'[i % 3:]} of number {i}", None, "a") for i in range(40)] + [(100, "12 34", None, "a"), (101, None, None, "a")]
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    kept = corpus_pipeline.clean_of_toxicity(spark, documents(rows), str(tmp_path))
+    assert kept.count() == 42
+    assert {r["doc_id"] for r in corpus_pipeline.in_a_language(spark, kept, str(tmp_path)).collect()} == set(range(40))
