@@ -39,6 +39,9 @@ CLOSES = {
     "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"},
 }
 
+#: Elements that leave an open head open; any other, and text, ends it.
+IN_HEAD = frozenset("html head base basefont bgsound link meta noframes noscript script style template title".split())
+
 FEATURES = [
     "words", "link_density", "words_before", "link_density_before", "words_after", "link_density_after", "aside", "place",
 ]
@@ -74,6 +77,7 @@ class Blocks(HTMLParser):
         if tag == "a":
             self.in_link = True
         inline = tag in INLINE
+        self.end_head(tag)
         if not inline:
             self.current = None
             self.end_implied(tag)
@@ -114,6 +118,13 @@ class Blocks(HTMLParser):
         while (name := self.open[-1][0]) in ends or (name in INLINE and any(self.names[e] for e in ends)):
             self.close_element(name)
 
+    def end_head(self, tag: str) -> None:
+        """What cannot stand in a head ends one that was left open, but for what is in an element of it; a body ends it anyway."""
+        if not self.names["head"] or tag in IN_HEAD:
+            return
+        if self.open[-1][0] in ("head", "title") or (tag == "body" and not self.names["template"]):
+            self.close_element("head")
+
     def handle_endtag(self, tag: str) -> None:
         if tag == "a":
             self.in_link = False
@@ -123,6 +134,8 @@ class Blocks(HTMLParser):
             self.close_element(tag)
 
     def handle_data(self, data: str) -> None:
+        if self.open[-1][0] == "head" and not data.isspace():
+            self.close_element("head")
         _, unseen, aside, main = self.open[-1]
         if unseen:
             return

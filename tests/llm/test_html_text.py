@@ -53,3 +53,14 @@ def test_operator(spark):
 def test_unclosed_and_unmatched_tags_cost_no_more_than_others():
     text("<article>" + "<b>" * 50_000 + "<p>x" * 50_000 + "</i>" * 50_000)
     text("<div>" * 50_000 + "</section>" * 50_000)
+
+
+@pytest.mark.parametrize("page,expected", [
+    ("<html><head><title>t</title><meta charset=x><body><article><p>kept</p></article></body></html>", "kept"),
+    ("<head><title>t</title><script>var a</script><article><p>kept</p></article>", "kept"),
+    ("<head><noscript><style>p{}</style></noscript><link href=x><main><p>kept</p></main></head><article>too</article>", "kept too"),
+    ("<head><title>t</title><noscript><img src=x><body><article><p>kept</p></article>", "kept"),
+    ("<head><template><p>no</p></template><title>no</title></head><body><article>kept</article>", "kept"),
+])
+def test_a_head_left_open_ends_where_the_page_begins(page, expected):
+    assert text(page) == expected
