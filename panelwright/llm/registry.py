@@ -7,7 +7,7 @@ from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
-from panelwright.llm import bpe, dedup, fingerprints, html_text, language, lm, mixing, search, toxicity, warc
+from panelwright.llm import bpe, dedup, fingerprints, html_text, language, line_rules, lm, mixing, search, toxicity, warc
 from panelwright.session import ship
 
 
@@ -33,6 +33,7 @@ _ENTRIES = {
     "op8_toxicity": (toxicity.op8, None),
     "op9_lm": (lm.op9, None),
     "op10_language": (language.op10, None),
+    "op11_line_rules": (line_rules.op11, line_rules.OP11_SQL),
 }
 
 QUERIES = {name: (shipped(query), sql) for name, (query, sql) in _ENTRIES.items()}
