@@ -7,7 +7,7 @@ from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
-from panelwright.llm import bpe, dedup, fingerprints, html_text, language, line_rules, lm, mixing, search, toxicity, variants, warc
+from panelwright.llm import audit, bpe, dedup, fingerprints, html_text, language, line_rules, lm, mixing, search, toxicity, variants, warc
 from panelwright.session import ship
 
 
@@ -35,6 +35,7 @@ _ENTRIES = {
     "op10_language": (language.op10, None),
     "op11_line_rules": (line_rules.op11, line_rules.OP11_SQL),
     "op12_variants": (variants.op12, variants.OP12_SQL),
+    "op13_filter_audit": (audit.op13, audit.OP13_SQL),
 }
 
 QUERIES = {name: (shipped(query), sql) for name, (query, sql) in _ENTRIES.items()}
