@@ -79,9 +79,9 @@ def test_extremes_keep_ties_and_stay_in_their_group(spark):
     )
     assert sorted(r["id"] for r in x.extremes(rows, "g", "v").collect()) == [1, 2, 4, 6]
     assert sorted(r["id"] for r in x.extremes(rows, "g", "v", "min").collect()) == [3, 5, 6]
-    # by value only: 5 is the extreme of groups a and c, so each row with 5 appears twice
-    crossed = sorted((r["id"], r["max_v"]) for r in x.extremes_by_value(rows, "g", "v").collect())
-    assert crossed == [(1, 5), (1, 5), (2, 5), (2, 5), (4, 9), (5, 5), (5, 5), (6, 5), (6, 5)]
+    # by value only: 5 is the extreme of groups a and c, so the row of group b that holds it is found, too, and each row once
+    crossed = sorted((r["id"], r["max_v"], r["max_groups"]) for r in x.extremes_by_value(rows, "g", "v").collect())
+    assert crossed == [(1, 5, 2), (2, 5, 2), (4, 9, 1), (5, 5, 2), (6, 5, 2)]
     with pytest.raises(ValueError):
         x.extremes(rows, "g", "v", "median")
 
