@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterator
 from itertools import permutations
 from math import factorial
@@ -20,6 +21,8 @@ from panelwright.session import landed
 FILTERS = "ABCDE"
 #: Limits of the filters: words of a text, and distinct words and capitals in a hundred.
 LEAST_WORDS, LEAST_DISTINCT, MOST_CAPITALS = 200, 50, 2
+#: Words of a shard of the matrix, unless a single text has more.
+SHARD_WORDS = 1 << 17
 
 _POINT = (np.arange(256) & 0xC0) != 0x80
 _CAPITAL = np.zeros(256, bool)
@@ -32,32 +35,41 @@ def sums(flags: np.ndarray, cuts: np.ndarray) -> np.ndarray:
     return np.diff(np.r_[0, np.cumsum(flags, dtype=np.int64)][cuts])
 
 
-def block_rows(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray, np.ndarray]:
-    """The block's distinct words, and a CSR matrix of its texts over them: row cuts, columns and counts."""
+def csr(texts: pa.Array) -> tuple[pa.Array, Iterator[tuple[slice, np.ndarray, np.ndarray, np.ndarray]]]:
+    """The distinct words of a block of texts, and its CSR matrix over them in shards: rows, row cuts, columns, counts."""
     words = pc.ascii_split_whitespace(texts)
     offsets = words.offsets.to_numpy() - words.offsets[0].as_py()
     coded = words.flatten()
     kept = pc.not_equal(coded, "")
-    lengths = sums(kept.to_numpy(zero_copy_only=False), offsets)
+    ends = np.r_[0, np.cumsum(kept.to_numpy(zero_copy_only=False))][offsets]
     coded = coded.filter(kept).dictionary_encode()
-    codes = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
-    rows = np.repeat(np.arange(len(texts)), lengths)
+    codes = coded.indices.to_numpy(zero_copy_only=False)
     width = max(len(coded.dictionary), 1)
-    cells = np.sort(rows * width + codes)
-    new = np.r_[True, cells[1:] != cells[:-1]] if len(cells) else np.zeros(0, bool)
-    first = np.flatnonzero(new)
-    counts = np.diff(np.r_[first, len(cells)]).astype(np.int32)
-    cells = cells[first]
-    return coded.dictionary, np.searchsorted(cells // width, np.arange(len(texts) + 1)), (cells % width).astype(np.int32), counts
+
+    def parts() -> Iterator[tuple[slice, np.ndarray, np.ndarray, np.ndarray]]:
+        first = 0
+        while first < len(texts):
+            last = max(first + 1, int(np.searchsorted(ends, ends[first] + SHARD_WORDS, "right")) - 1)
+            rows = np.repeat(np.arange(last - first), np.diff(ends[first : last + 1]))
+            cells = np.sort(rows * width + codes[ends[first] : ends[last]])
+            new = np.flatnonzero(np.r_[True, cells[1:] != cells[:-1]]) if len(cells) else np.zeros(0, np.int64)
+            counts = np.diff(np.r_[new, len(cells)]).astype(np.int32)
+            cells = cells[new]
+            cuts = np.searchsorted(cells, np.arange(last - first + 1) * width)
+            yield slice(first, last), cuts, (cells % width).astype(np.int32), counts
+            first = last
+
+    return coded.dictionary, parts()
 
 
 def shards(docs: DataFrame) -> DataFrame:
     """Blocks of documents as CSR matrices over their own words, with what the other filters need; landed.
 
-    ``docs`` has doc_id, text, part and digest.  A block is an Arrow batch.  Rows with
-    ``doc_ids`` hold a block: its ids and parts, cuts, columns and counts of
-    the matrix, and a flag byte per document (filters C and D).  Rows with
-    ``word`` are the block's dictionary: column ``code`` stands for the word.
+    ``docs`` has doc_id, text, part and digest.  A block is an Arrow batch.  Rows
+    with ``doc_ids`` hold a shard of a block: its ids, parts and digests, cuts,
+    columns and counts of the matrix, and a flag byte per document (filters C
+    and D).  Rows with ``word`` are the block's dictionary: column ``code``
+    stands for the word.
     """
     schema = (
         "block long, doc_ids array<long>, parts array<string>, digests array<binary>, flags binary, cuts binary, columns binary, "
@@ -77,11 +89,13 @@ def shards(docs: DataFrame) -> DataFrame:
             for _, data, cuts in hashing.slices(texts):
                 capitals = 100 * sums(_CAPITAL[data], cuts) > MOST_CAPITALS * sums(_POINT[data], cuts)
                 flags.append(capitals * 4 + (sums(_SYMBOL[data], cuts) > 0) * 8)
-            words, cuts, columns, counts = block_rows(texts)
-            binary = [np.concatenate(flags).astype(np.uint8).tobytes(), cuts.tobytes(), columns.tobytes(), counts.tobytes()]
-            lists = [batch.column(c).to_pylist() for c in ("doc_id", "part", "digest")]
-            row = [[block], *[[x] for x in lists], *[[b] for b in binary], [None], [None]]
-            yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(row, types)], fields)
+            flags = np.concatenate(flags).astype(np.uint8)
+            words, parts = csr(texts)
+            for at, cuts, columns, counts in parts:
+                lists = [batch.column(c)[at.start : at.stop].to_pylist() for c in ("doc_id", "part", "digest")]
+                binary = [x.tobytes() for x in (flags[at], cuts, columns, counts)]
+                row = [[block], *[[x] for x in lists], *[[b] for b in binary], [None], [None]]
+                yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(row, types)], fields)
             for first in range(0, len(words), 16_384):
                 part = words[first : first + 16_384]
                 n = len(part)
@@ -102,9 +116,13 @@ def dictionary(blocks: DataFrame) -> DataFrame:
 def matrix(blocks: DataFrame, words: DataFrame) -> DataFrame:
     """The document-term matrix: the blocks' CSR shards with the dictionary's ids as columns, ascending in each row; landed.
 
-    block, doc_ids, parts, digests, flags, cuts, columns (longs) and counts.
-    Only a block's own dictionary meets its shard, so a task holds one block.
+    block, doc_ids, parts, digests, flags, cuts (longs), columns (ints, or longs
+    where the dictionary needs them) and counts (ints).  Only a block's own
+    dictionary meets its shards, so a task holds one block, and works on one
+    shard at a time.
     """
+    words = landed(words, "dictionary")
+    width = np.int32 if words.count() < 2**31 else np.int64
     entries = blocks.filter("word IS NOT NULL").select(F.col("block").alias("of"), "code", "word")
     named = entries.join(words.hint("merge"), "word").select("of", "code", "id")
     whole = blocks.filter("doc_ids IS NOT NULL").drop("code", "word")
@@ -112,15 +130,18 @@ def matrix(blocks: DataFrame, words: DataFrame) -> DataFrame:
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         codes = right.column("code").to_numpy()
-        ids = np.zeros(len(codes), np.int64)
+        ids = np.zeros(len(codes), width)
         ids[codes] = right.column("id").to_numpy()
-        out = left.to_pydict()
-        for i, (cuts, columns, counts) in enumerate(zip(out["cuts"], out["columns"], out["counts"])):
-            starts, columns, counts = np.frombuffer(cuts, np.int64), np.frombuffer(columns, np.int32), np.frombuffer(counts, np.int32)
+        out: dict[str, list[bytes]] = {"columns": [], "counts": []}
+        for i in range(left.num_rows):
+            cuts, columns, counts = (np.frombuffer(left.column(c)[i].as_buffer(), t)
+                                     for c, t in (("cuts", np.int64), ("columns", np.int32), ("counts", np.int32)))
             terms = ids[columns]
-            rank = np.lexsort((terms, np.repeat(np.arange(len(starts) - 1), np.diff(starts))))
-            out["columns"][i], out["counts"][i] = terms[rank].tobytes(), counts[rank].tobytes()
-        return pa.table({c: pa.array(out[c], left.schema.field(c).type) for c in order}, left.schema)
+            rank = np.lexsort((terms, np.repeat(np.arange(len(cuts) - 1, dtype=np.int32), np.diff(cuts))))
+            out["columns"].append(terms[rank].tobytes())
+            out["counts"].append(counts[rank].tobytes())
+        found = [pa.array(out[c], left.schema.field(c).type) if c in out else left.column(c) for c in order]
+        return pa.table(found, left.schema)
 
     return landed(whole.groupBy("block").cogroup(named.groupBy("of")).applyInArrow(run, whole.schema), "matrix")
 
@@ -203,10 +224,8 @@ def audit(failed: DataFrame, labels: DataFrame) -> DataFrame:
         .agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("good"), F.lit(0)).alias("good"),
              F.coalesce(F.sum("toxic"), F.lit(0)).alias("toxic"))
     )
-    plan = F.explode(F.array(*[
-        F.struct(F.lit(o).alias("filter_order"), F.lit(s).alias("step"), F.lit(b).alias("before"), F.lit(i).alias("bit"))
-        for o, s, b, i in steps()
-    ]))
+    turns = json.dumps([dict(zip(("filter_order", "step", "before", "bit"), turn)) for turn in steps()])
+    plan = F.explode(F.from_json(F.lit(turns), "array<struct<filter_order string, step int, before int, bit int>>"))
     opened = counted.repartition("part").select("part", "mask", "n", "good", "toxic", plan.alias("at")).select("*", "at.*")
     mask, before, bit = F.col("mask"), F.col("before"), F.col("bit")
     fails, gone = mask.bitwiseAND(bit) != 0, mask.bitwiseAND(before) != 0
