@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from panelwright.functions.dates import calendar_year
 from panelwright.operators.extremes import distinct_count
 from panelwright.operators.reshape import keep_in
+from panelwright.operators.sketches import sketch_table, sketched_counts
 
 # The provinces on the map sheet.
 MAP_PROVINCES = [
@@ -50,3 +51,25 @@ def distinct_on_map(
     """Distinct index values per year and unit of the listed regions."""
     kept = keep_in(panel, "GEO", regions)
     return distinct_by_unit(kept, measures=measures, approximate=approximate)
+
+
+#: The finest groups whose values are sketched; every sheet merges them.
+SKETCHED = ["year", "REF_DATE", "uom_houseindex", "GEO"]
+
+
+def stored_sketches(panel: DataFrame, measures: Sequence[str] = ("total_house_land",)) -> DataFrame:
+    """Sketches of the index values per month, unit and region, to be written and kept.
+
+    A new month adds rows to the table; months that are there are not read again.
+    """
+    return sketch_table(_dated(panel), SKETCHED, measures)
+
+
+def sheet_of_sketches(
+    sketches: DataFrame, groups: Sequence[str] = ("year", "uom_houseindex", "GEO"), year: int | None = None,
+    regions: Sequence[str] | None = None, measures: Sequence[str] = ("total_house_land",),
+) -> DataFrame:
+    """A sheet of distinct counts from stored sketches, for one year or all and for some regions or all."""
+    kept = sketches if year is None else sketches.where(F.col("year") == year)
+    kept = kept if regions is None else keep_in(kept, "GEO", regions)
+    return sketched_counts(kept, groups, measures)

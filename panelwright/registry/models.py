@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from panelwright.functions.dates import calendar_year, month_number, year_of
 from panelwright.operators import features as f
+from panelwright.operators import gram
 from panelwright.operators import regression as g
 from panelwright.plans import forecast
 from panelwright.registry.support import SPINE, r, read, spine, tidy
@@ -279,6 +280,36 @@ def lag_forecast_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tidy(forecast.look_back_forecast(_spine(spark, sf_dir), regions=None, target="price", cut=CUT).errors, 2)
 
 
+_ROLLING = ["x", "orders"]
+
+
+def ridge_rolling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Errors of each year's forecast from all years before it, every cut solved from one table of moments."""
+    x = ((calendar_year("REF_DATE") - 1995) * 12 + F.substring("REF_DATE", 6, 2).cast("int") - 1) / 10.0
+    rows = _model_panel(spark, sf_dir).withColumns({"x": x, "year": calendar_year("REF_DATE")})
+    sums = gram.moments(rows, _ROLLING, "price", ["DGUID", "year"])
+    models = landed(gram.rolling_ridge(sums, "year", _ALPHA), "models")
+    scored = gram.rolling_forecast(rows, models, sums, "year").where("prediction IS NOT NULL")
+    errors = g.regression_errors(scored, "price", "prediction", ["year"]).select(
+        F.col("year").alias("cut"), F.col("n").alias("n_valid"), "mae"
+    )
+    return tidy(errors.join(models.select("cut", F.col("n").alias("n_train")), "cut"), 2)
+
+
+_RIDGE_ROLLING = f"""WITH t AS (
+  SELECT year(o_orderdate) AS yr, ((year(o_orderdate) - 1995) * 12 + month(o_orderdate) - 1) / 10.0::DOUBLE AS u,
+         count(*)::DOUBLE AS v, avg(o_totalprice) AS y
+  FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY c_nationkey, year(o_orderdate), month(o_orderdate)),
+c AS (SELECT DISTINCT yr AS cut FROM t WHERE yr > (SELECT min(yr) FROM t)),
+m AS (SELECT cut, count(*) AS n_train, avg(u) AS mu, avg(v) AS mv, avg(y) AS my FROM c JOIN t ON yr < cut GROUP BY cut),
+s AS (SELECT cut, n_train, mu, mv, my, sum((u - mu) * (u - mu)) + {_ALPHA} AS uu, sum((v - mv) * (v - mv)) + {_ALPHA} AS vv,
+  sum((u - mu) * (v - mv)) AS uv, sum((u - mu) * (y - my)) AS uy, sum((v - mv) * (y - my)) AS vy
+  FROM m JOIN t ON yr < cut GROUP BY ALL),
+w AS (SELECT *, (uy * vv - vy * uv) / (uu * vv - uv * uv) AS a, (vy * uu - uy * uv) / (uu * vv - uv * uv) AS b FROM s)
+SELECT cut::INTEGER AS cut, n_train, count(*) AS n_valid, {r('avg(abs(y - my - a * (u - mu) - b * (v - mv)))', 2)} AS mae
+FROM w JOIN t ON yr = cut GROUP BY cut, n_train"""
+
+
 QUERIES = {
     "one_hot": (one_hot, _ONE_HOT),
     "one_hot_vector": (one_hot_vector, _ONE_HOT_VECTOR),
@@ -307,6 +338,7 @@ FROM p WHERE NOT is_train ORDER BY 1, 2""",
     "ridge_square": (ridge_square, _RIDGE_SQUARE),
     "lag_line": (lag_line, _LAG_LINE),
     "lag_line_errors": (lag_line_errors, _LAG_LINE_ERRORS),
+    "ridge_rolling": (ridge_rolling, _RIDGE_ROLLING),
     "ridge_poly": (ridge_poly, None),
     "lag_forecast": (lag_forecast, None),
     "lag_forecast_errors": (lag_forecast_errors, None),

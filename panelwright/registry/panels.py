@@ -2,19 +2,22 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelwright.functions.labels import province_of
 from panelwright.functions.numbers import net_flow as net
 from panelwright.operators.panel import Feature, build_panel
+from panelwright.operators.refresh import Refresh, refresh_panel
 from panelwright.registry.support import SPINE, r, read, tidy
 from panelwright.sources.files import keys_and_numbers, read_panel
 from panelwright.sources.sinks import write_panel
 from panelwright.session import landed, scratch_path
 
 
-def order_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
+def order_facts(spark: SparkSession, sf_dir: str, which: str = "true") -> DataFrame:
     """Sums of the orders per nation and month: the only pass over the orders that a panel makes.
 
     Spine, annual prices and flows all come from this table of nations x
@@ -22,7 +25,7 @@ def order_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     use nor lost with an executor.  Months are grouped as dates, which is
     cheaper than as texts.
     """
-    orders = read(spark, sf_dir, "orders").select("o_custkey", "o_orderdate", "o_totalprice", "o_orderstatus")
+    orders = read(spark, sf_dir, "orders").where(which).select("o_custkey", "o_orderdate", "o_totalprice", "o_orderstatus")
     customers = read(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     counts = [
         F.count(F.when(F.col("o_orderstatus") == status, F.lit(1))).alias(f"n_{status.lower()}") for status in "FOP"
@@ -197,12 +200,49 @@ SELECT s."DGUID", s."REF_DATE", in_migrants + arrivals - out_migrants AS immigra
 FROM spine s LEFT JOIN moves m ON s."DGUID" = m.dguid AND s."REF_DATE" = m.ym"""
 
 
+#: Orders that come after the panel was written: pending ones of one year, and the last months.
+_LATE = "(o_orderstatus = 'P' AND o_orderdate >= '1996-01-01' AND o_orderdate < '1997-01-01') OR o_orderdate >= '2001-05-01'"
+
+
+def refreshed_panel(spark: SparkSession, sf_dir: str, path: str) -> Refresh:
+    """A panel written from the orders that are there in time, then refreshed when the late ones have come."""
+
+    def sources(facts: DataFrame) -> dict[str, DataFrame]:
+        return {"housing": _spine(spark, sf_dir, facts), "annual": _annual_total(facts)}
+
+    def build(tables: Mapping[str, DataFrame]) -> DataFrame:
+        annual = Feature(tables["annual"], ["annual_price"], grain="year", annual=["annual_price"], duplicates="unique")
+        return tidy(build_panel(tables["housing"], [annual]))
+
+    refresh_panel(path, sources(order_facts(spark, sf_dir, f"NOT ({_LATE})")), build)
+    return refresh_panel(path, sources(order_facts(spark, sf_dir)), build)
+
+
+def panel_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The refreshed panel, each row with what the refresh did to it."""
+    path = scratch_path(spark, "panel")
+    changes = refreshed_panel(spark, sf_dir, path).changes
+    return read_panel(spark, path).drop("panel_year").join(changes, ["DGUID", "REF_DATE"], "left").withColumn(
+        "change", F.coalesce("change", F.lit("none"))
+    )
+
+
+_PANEL_REFRESH = f"""WITH whole AS ({_PANEL_MIN}),
+seen AS (
+  SELECT c_nationkey AS dguid, strftime(o_orderdate, '%Y-%m') AS ym, bool_or(NOT ({_LATE})) AS early, bool_or({_LATE}) AS late
+  FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY 1, 2)
+SELECT w.*, CASE WHEN NOT s.early THEN 'new'
+  WHEN bool_or(s.late) OVER (PARTITION BY s.dguid, substr(s.ym, 1, 4)) THEN 'changed' ELSE 'none' END AS change
+FROM whole w JOIN seen s ON w."DGUID" = s.dguid AND w."REF_DATE" = s.ym"""
+
+
 QUERIES = {
     "panel_min": (panel_min, _PANEL_MIN),
     "panel_full": (panel_full, _PANEL_FULL),
     "panel_by_name": (panel_by_name, _PANEL_BY_NAME),
     "panel_count": (panel_count, f"SELECT count(*) AS n_rows FROM ({_PANEL_MIN})"),
     "panel_roundtrip": (panel_roundtrip, _PANEL_MIN),
+    "panel_refresh": (panel_refresh, _PANEL_REFRESH),
     "panel_numbers": (panel_numbers, f'SELECT "DGUID", "REF_DATE", price, annual_price FROM ({_PANEL_MIN})'),
     "net_flow": (net_flow, _NET_FLOW),
 }

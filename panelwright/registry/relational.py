@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelwright.functions.dates import month_number, month_of, year_of
@@ -241,7 +241,7 @@ def sorted_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tidy(spine(spark, sf_dir).orderBy("REF_DATE", "GEO"))
 
 
-def _index_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _index_panel(spark: SparkSession, sf_dir: str, *more: Column) -> DataFrame:
     """Orders as panel rows: nation, year, unit (segment) and prices."""
     customers = read(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
     nations = read(spark, sf_dir, "nation").select("n_nationkey", "n_name")
@@ -252,7 +252,7 @@ def _index_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
         .select(
             F.col("n_name").alias("GEO"), F.year("o_orderdate").alias("year"), F.col("c_mktsegment").alias("uom_houseindex"),
             F.col("o_totalprice").alias("total_house_land"), F.floor("o_totalprice").alias("house_only"),
-            F.floor(F.col("o_totalprice") / 1000).alias("land_only"),
+            F.floor(F.col("o_totalprice") / 1000).alias("land_only"), *more,
         )
     )
 
@@ -286,6 +286,19 @@ def bi_distinct_filtered(spark: SparkSession, sf_dir: str) -> DataFrame:
     return workbook.distinct_on_map(_index_panel(spark, sf_dir), MAP)
 
 
+def bi_distinct_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Exact counts per unit and region, and whether the counts out of stored monthly sketches are within 5 per cent."""
+    panel = landed(_index_panel(spark, sf_dir, F.date_format("o_orderdate", "yyyy-MM").alias("REF_DATE")), "panel")
+    sketches = landed(workbook.stored_sketches(panel), "sketches")
+    groups = ["uom_houseindex", "GEO"]
+    exact = x.distinct_count(panel, groups, ["total_house_land"])
+    near = workbook.sheet_of_sketches(sketches, groups).withColumnRenamed("distinct_total_house_land", "estimate")
+    off = F.abs(F.col("estimate") - F.col("distinct_total_house_land"))
+    return exact.join(near, groups).select(
+        *groups, "distinct_total_house_land", (20 * off <= F.col("distinct_total_house_land")).alias("within_5_percent")
+    )
+
+
 _DISTINCT = 'SELECT "year", uom_houseindex, "GEO", count(DISTINCT o_totalprice) AS distinct_total_house_land FROM panel'
 
 
@@ -355,6 +368,11 @@ QUERIES = {
         bi_distinct_parts,
         f"""WITH {_INDEX_PANEL} SELECT "year", uom_houseindex, "GEO", count(DISTINCT house_only) AS distinct_house_only,
   count(DISTINCT land_only) AS distinct_land_only FROM panel GROUP BY 1, 2, 3""",
+    ),
+    "bi_distinct_sketch": (
+        bi_distinct_sketch,
+        f"""WITH {_INDEX_PANEL} SELECT uom_houseindex, "GEO", count(DISTINCT o_totalprice) AS distinct_total_house_land,
+  true AS within_5_percent FROM panel GROUP BY 1, 2""",
     ),
     "bi_distinct_filtered": (
         bi_distinct_filtered,

@@ -8,13 +8,16 @@ from pyspark.sql import DataFrame
 from panelwright.functions.dates import year_of
 
 
-def write_panel(panel: DataFrame, path: str, period: str = "REF_DATE") -> None:
+def write_panel(panel: DataFrame, path: str, period: str = "REF_DATE", only_its_years: bool = False) -> None:
     """Write a panel as Parquet, one folder per year, so that a time cut prunes files.
 
-    Rebalancing keeps the files of a year few and splits a year that is too big for one task.
+    Rebalancing keeps the files of a year few and splits a year that is too big
+    for one task.  ``only_its_years`` replaces the years that the panel has
+    rows of and leaves the files of other years alone.
     """
     by_year = panel.withColumn("panel_year", year_of(period)).hint("rebalance", "panel_year")
-    by_year.write.mode("overwrite").partitionBy("panel_year").parquet(path)
+    mode = "dynamic" if only_its_years else "static"
+    by_year.write.mode("overwrite").option("partitionOverwriteMode", mode).partitionBy("panel_year").parquet(path)
 
 
 def write_panel_csv(panel: DataFrame, path: str, files: int | None = None) -> None:
