@@ -11,11 +11,11 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from panelwright.llm import hashing
-from panelwright.llm.tables import read, running
+from panelwright.llm.tables import read
 from panelwright.session import landed
 
 FILTERS = "ABCDE"
@@ -107,13 +107,50 @@ def shards(docs: DataFrame) -> DataFrame:
     return landed(docs.select("doc_id", "text", "part", "digest").mapInArrow(run, schema), "shards")
 
 
-def dictionary(blocks: DataFrame) -> DataFrame:
-    """word and id of every distinct word of all blocks; ids count from 0 in the order of the words."""
-    words = landed(blocks.filter("word IS NOT NULL").groupBy("word").agg(F.count(F.lit(1)).alias("blocks")), "words")
-    return running(words, [F.col("word")], {}).select("word", F.col("place").alias("id"))
+def numbered(blocks: DataFrame) -> DataFrame:
+    """part, place, block, code, word: the entries of all blocks' dictionaries, with their words numbered; landed.
+
+    Entries meet by word, once for each block that has it.  ``place`` counts the
+    words of a task (``part``) in their order; ``word`` stands in the first entry of each.
+    """
+    schema = "part int, place long, block long, code int, word string"
+    fields = ["part", "place", "block", "code", "word"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, last, place = TaskContext.get().partitionId(), None, -1
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            words = batch.column("word")
+            new = np.ones(len(words), bool)
+            new[0] = words[0].as_py() != last
+            new[1:] = pc.not_equal(words[1:], words[:-1]).to_numpy(zero_copy_only=False)
+            places = place + np.cumsum(new)
+            last, place = words[-1].as_py(), int(places[-1])
+            first = pc.if_else(pa.array(new), words, pa.scalar(None, words.type))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.full(len(words), part, np.int32)), pa.array(places), batch.column("block"), batch.column("code"), first],
+                fields,
+            )
+
+    entries = blocks.filter("word IS NOT NULL").select("block", "code", "word")
+    return landed(entries.repartition("word").sortWithinPartitions("word").mapInArrow(run, schema), "entries")
+
+
+def dictionary(entries: DataFrame) -> DataFrame:
+    """block, code, id and word of every entry: ``id`` numbers the distinct words of all documents from 0.
+
+    ``word`` stands in one entry of each word.  The parts' counts, one row for
+    each task that numbered words, are added up.
+    """
+    counts = entries.groupBy("part").agg((F.max("place") + 1).alias("words"))
+    before = F.sum("words").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1))
+    # as many rows as the shuffle has partitions
+    offsets = F.broadcast(counts.select("part", F.coalesce(before, F.lit(0)).alias("offset")))
+    return entries.join(offsets, "part").select("block", "code", (F.col("offset") + F.col("place")).alias("id"), "word")
 
 
-def matrix(blocks: DataFrame, words: DataFrame) -> DataFrame:
+def matrix(blocks: DataFrame, entries: DataFrame) -> DataFrame:
     """The document-term matrix: the blocks' CSR shards with the dictionary's ids as columns, ascending in each row; landed.
 
     block, doc_ids, parts, digests, flags, cuts (longs), columns (ints, or longs
@@ -121,10 +158,8 @@ def matrix(blocks: DataFrame, words: DataFrame) -> DataFrame:
     dictionary meets its shards, so a task holds one block, and works on one
     shard at a time.
     """
-    words = landed(words, "dictionary")
-    width = np.int32 if words.count() < 2**31 else np.int64
-    entries = blocks.filter("word IS NOT NULL").select(F.col("block").alias("of"), "code", "word")
-    named = entries.join(words.hint("merge"), "word").select("of", "code", "id")
+    width = np.int32 if entries.where("word IS NOT NULL").count() < 2**31 else np.int64
+    named = dictionary(entries).select(F.col("block").alias("of"), "code", "id")
     whole = blocks.filter("doc_ids IS NOT NULL").drop("code", "word")
     order = whole.columns
 
@@ -187,8 +222,9 @@ def failures(docs: DataFrame, text: str = "text", key: str = "doc_id", part: str
         F.unhex(F.sha2(whole, 256)).alias("digest"),
     )
     blocks = shards(ready)
-    rows = landed(flagged(matrix(blocks, dictionary(blocks))), "flagged")
-    first = rows.groupBy("digest").agg(F.min("doc_id").alias("first"))
+    rows = landed(flagged(matrix(blocks, numbered(blocks))), "flagged")
+    # written, so that a text with many copies is a hot key of a plain join, which Spark splits
+    first = landed(rows.groupBy("digest").agg(F.min("doc_id").alias("first")), "first")
     copy = F.coalesce(F.col("doc_id") > F.col("first"), F.lit(False)).cast("int") * 16
     return rows.join(first.hint("merge"), "digest").select(
         "doc_id", "part", "n_words", "n_distinct", (F.col("mask") + copy).alias("mask")
