@@ -47,14 +47,8 @@ def one_hot(df: DataFrame, column: str, prefix: str, levels: Sequence[str]) -> D
     })
 
 
-def impute_regression(df: DataFrame, group: str, x: str, columns: Sequence[str]) -> DataFrame:
-    """NULLs of each column replaced by a line fitted on x per group, over the rows that have a value.
-
-    A group with values at one x only gets their mean, a group without any
-    gets 0.  All lines come from one aggregation with one row per group, written
-    to the shared folder: its size is known then, and below the threshold Spark
-    broadcasts it, so that the wide rows are not shuffled.
-    """
+def fitted_lines(df: DataFrame, group: str, x: str, columns: Sequence[str]) -> DataFrame:
+    """One row per group with slope and means of each column over x, over the rows that have a value; landed."""
     at = f"cast({quoted(x)} AS double)"
     stats = []
     for i, c in enumerate(columns):
@@ -64,7 +58,12 @@ def impute_regression(df: DataFrame, group: str, x: str, columns: Sequence[str])
             F.expr(f"avg({y}) AS _mean{i}"),
             F.expr(f"avg(CASE WHEN {y} IS NOT NULL THEN {at} END) AS _middle{i}"),
         ]
-    lines = landed(df.groupBy(F.col(quoted(group)).alias("_group")).agg(*stats), "lines")
+    return landed(df.groupBy(F.col(quoted(group)).alias("_group")).agg(*stats), "lines")
+
+
+def filled_by_lines(df: DataFrame, lines: DataFrame, group: str, x: str, columns: Sequence[str]) -> DataFrame:
+    """NULLs of each column replaced by the value of the group's line, its mean, or 0; the lines are :func:`fitted_lines`."""
+    at = f"cast({quoted(x)} AS double)"
     joined = df.join(lines, F.col(quoted(group)).eqNullSafe(F.col("_group")), "left")
     # a NULL slope (values at one x only) leaves the mean
     filled = {
@@ -74,6 +73,17 @@ def impute_regression(df: DataFrame, group: str, x: str, columns: Sequence[str])
     return joined.withColumns(filled).select(*[quoted(c) for c in df.columns])
 
 
+def impute_regression(df: DataFrame, group: str, x: str, columns: Sequence[str]) -> DataFrame:
+    """NULLs of each column replaced by a line fitted on x per group, over the rows that have a value.
+
+    A group with values at one x only gets their mean, a group without any
+    gets 0.  All lines come from one aggregation with one row per group, written
+    to the shared folder: its size is known then, and below the threshold Spark
+    broadcasts it, so that the wide rows are not shuffled.
+    """
+    return filled_by_lines(df, fitted_lines(df, group, x, columns), group, x, columns)
+
+
 def min_max(df: DataFrame, columns: Sequence[str], fit_on: DataFrame | None = None) -> DataFrame:
     """Columns scaled to [0, 1]; a constant column becomes 0.
 

@@ -14,6 +14,7 @@ from panelwright.operators.features import impute_regression, lags, levels_of, m
 from panelwright.operators.regression import polynomial_ridge, predict, regression_errors
 from panelwright.operators.panel import one_row_per_key
 from panelwright.operators.reshape import keep_in, keep_not_null, quoted
+from panelwright.operators.stages import LevelEncoder, LineImputer, MonthNumber, RangeScaler, fitted_in_turn
 from panelwright.session import landed
 
 # Ids of the modelled provinces.
@@ -96,6 +97,37 @@ def ridge_forecast(
     return _fitted(rows, features, target, period, cut, alpha, degree, k)
 
 
+def fitted_pipeline(
+    train: DataFrame,
+    columns: Sequence[str],
+    target: str = TARGET,
+    region: str = "DGUID",
+    label: str = "GEO",
+    period: str = "REF_DATE",
+    k: int | None = BEST_FEATURES,
+    degree: int = DEGREE,
+    alpha: float = ALPHA,
+) -> PipelineModel:
+    """Preparation and regression as one model, fitted on the training rows only, that scores rows of a panel as they are.
+
+    Lines, levels and ranges are those of the training rows; a row to be scored
+    needs the ``columns``, region, label and period, but no target.  Save it with
+    :func:`panelwright.sources.sinks.save_model`.
+    """
+    known = keep_not_null(train, target)
+    month = "REF_DATE_INT"
+    prepared, rows = fitted_in_turn([
+        MonthNumber(period=period, name=month),
+        LevelEncoder(column=label, prefix="Province"),
+        LineImputer(group=region, x=month, columns=list(columns)),
+    ], known)
+    features = [*columns, month, *[c for c in rows.columns if c.startswith("Province_") and c not in known.columns]]
+    # ranges and regression read the filled rows several times
+    scaled, rows = fitted_in_turn([RangeScaler(columns=features)], landed(rows, "filled"))
+    model = polynomial_ridge(rows, features, target, alpha, degree, k)
+    return PipelineModel([*prepared.stages, *scaled.stages, *model.stages])
+
+
 def look_back_forecast(
     panel: DataFrame,
     regions: Sequence[str] | None = MODELLED_REGIONS,

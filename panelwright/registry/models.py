@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.ml import PipelineModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,9 +11,11 @@ from panelwright.functions.dates import calendar_year, month_number, year_of
 from panelwright.operators import features as f
 from panelwright.operators import gram
 from panelwright.operators import regression as g
+from panelwright.operators import stages as s
 from panelwright.plans import forecast
 from panelwright.registry.support import SPINE, r, read, spine, tidy
-from panelwright.session import landed
+from panelwright.session import landed, scratch_path
+from panelwright.sources import sinks
 
 CUT = "2000-01"
 
@@ -280,6 +283,42 @@ def lag_forecast_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tidy(forecast.look_back_forecast(_spine(spark, sf_dir), regions=None, target="price", cut=CUT).errors, 2)
 
 
+def model_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines, ranges and ridge fitted before the cut, saved, loaded, and applied to the months from it on, gaps and all."""
+    rows = _model_panel(spark, sf_dir)
+    train, unseen = f.time_split(rows, "REF_DATE", CUT)
+    stages = [
+        s.MonthNumber(period="REF_DATE", name="month_number"),
+        s.LineImputer(group="DGUID", x="month_number", columns=["balance"]),
+    ]
+    prepared, filled = s.fitted_in_turn(stages, train)
+    scaled, ready = s.fitted_in_turn([s.RangeScaler(columns=["balance", "orders"])], landed(filled, "filled"))
+    ridge = g.polynomial_ridge(ready, ["balance", "orders"], "price", _ALPHA)
+    path = scratch_path(spark, "model")
+    sinks.save_model(PipelineModel([*prepared.stages, *scaled.stages, *ridge.stages]), path)
+    scored = g.predict(s.load_pipeline(spark, path), unseen.drop("price"))
+    return tidy(scored.select("DGUID", "REF_DATE", "balance", "orders", "prediction"), 2)
+
+
+_MODEL_ROUNDTRIP = f"""WITH raw AS (
+  SELECT c_nationkey AS k, strftime(o_orderdate, '%Y-%m') AS ym, strftime(o_orderdate, '%Y%m')::INTEGER AS x,
+         avg(o_totalprice) AS y, count(*)::DOUBLE AS v, CASE WHEN month(any_value(o_orderdate)) <> 2 THEN avg(c_acctbal) END AS balance
+  FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY 1, 2, 3),
+lines AS (
+  SELECT k AS lk, avg(x) FILTER (WHERE balance IS NOT NULL) AS mx, avg(balance) AS mb,
+         regr_sxy(balance, x) / nullif(regr_sxx(balance, x), 0) AS slope FROM raw WHERE ym < '{CUT}' GROUP BY k),
+filled AS (
+  SELECT raw.* EXCLUDE (balance), coalesce(balance, mb + slope * (x - mx), mb, 0) AS balance FROM raw LEFT JOIN lines ON k = lk),
+ranges AS (
+  SELECT min(balance) AS bl, max(balance) - min(balance) AS bw, min(v) AS vl, max(v) - min(v) AS vw FROM filled WHERE ym < '{CUT}'),
+t AS (
+  SELECT k, ym, y, (balance - bl) / CASE WHEN bw = 0 THEN 1 ELSE bw END AS b, (v - vl) / CASE WHEN vw = 0 THEN 1 ELSE vw END AS v
+  FROM filled, ranges),
+{_plane('b', 'v', 'y', _ALPHA, 't', f"ym < '{CUT}'").replace('AS b FROM m, s', 'AS beta FROM m, s')}
+SELECT k AS "DGUID", ym AS "REF_DATE", {r('t.b', 2)} AS balance, {r('v', 2)} AS orders,
+  {r('my + a * (t.b - mu) + beta * (v - mv)', 2)} AS prediction FROM t, w WHERE ym >= '{CUT}'"""
+
+
 _ROLLING = ["x", "orders"]
 
 
@@ -338,6 +377,7 @@ FROM p WHERE NOT is_train ORDER BY 1, 2""",
     "ridge_square": (ridge_square, _RIDGE_SQUARE),
     "lag_line": (lag_line, _LAG_LINE),
     "lag_line_errors": (lag_line_errors, _LAG_LINE_ERRORS),
+    "model_roundtrip": (model_roundtrip, _MODEL_ROUNDTRIP),
     "ridge_rolling": (ridge_rolling, _RIDGE_ROLLING),
     "ridge_poly": (ridge_poly, None),
     "lag_forecast": (lag_forecast, None),

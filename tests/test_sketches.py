@@ -53,5 +53,6 @@ def test_a_new_month_is_added_without_the_old_rows(spark, panel):
     assert set(found) == set(exact) and all(abs(found[k] - exact[k]) <= 0.05 * exact[k] for k in exact)
     # values that were there before do not count again
     again = workbook.stored_sketches(panel).unionByName(workbook.stored_sketches(panel))
-    once = workbook.stored_sketches(panel)
-    assert counts(workbook.sheet_of_sketches(again, ["GEO"]), ["GEO"]) == counts(workbook.sheet_of_sketches(once, ["GEO"]), ["GEO"])
+    once = counts(distinct_count(panel, ["GEO"], ["total_house_land"]), ["GEO"])
+    found = counts(workbook.sheet_of_sketches(again, ["GEO"]), ["GEO"])
+    assert all(abs(found[k] - once[k]) <= 0.05 * once[k] for k in once)
