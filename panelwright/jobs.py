@@ -5,10 +5,12 @@
     clean     IN OUT             clean raw listings (CSV without header)
     report    KIND IN            beds, baths, localities, provinces, highest, lowest or correlation of cleaned listings
     pages     IN OUT             listing rows out of stored pages (Parquet with url and html)
-    workbook  KIND PANEL         unit, year or map: distinct index values
-    forecast  KIND PANEL OUT     ridge or look-back: predictions, and the model in OUT/model
+    workbook  KIND PANEL         unit, year or map: distinct index values [--measures NAME ...] [--approximate]
+    forecast  KIND PANEL OUT     ridge, look-back or trees: predictions, and the model in OUT/model; ridge also leaves
+                                 OUT/pipeline, which holds the preparation and scores rows of a panel as they are
+    score     MODEL PANEL OUT    predictions of a pipeline for a panel's rows, with or without target
 
-The last two read a panel by region, written as Parquet or, with ``--form csv``, as CSV.
+The last three read a panel by region, written as Parquet or, with ``--form csv``, as CSV.
 """
 
 from __future__ import annotations
@@ -20,6 +22,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelwright.functions.numbers import round_half_up
+from panelwright.operators.regression import predict
+from panelwright.operators.stages import load_pipeline
 from panelwright.plans import forecast, listings, pages, workbook
 from panelwright.plans.datasets import REGION_KEYS
 from panelwright.plans.regional_panel import load_all, regional_panel
@@ -79,6 +83,11 @@ def fit(spark: SparkSession, a: argparse.Namespace) -> DataFrame:
     if a.kind == "ridge":
         numbers = files.numeric_columns(rows.drop("house_only", "land_only", "total_house_land", "panel_year"))
         result = forecast.ridge_forecast(rows, numbers)
+        modelled = rows.where(F.col("DGUID").isin(forecast.MODELLED_REGIONS))
+        whole = forecast.fitted_pipeline(modelled.where(F.col("REF_DATE") < forecast.CUT), numbers)
+        sinks.save_model(whole, f"{a.out}/pipeline")
+    elif a.kind == "trees":
+        result = forecast.look_back_trees(rows)
     else:
         result = forecast.look_back_forecast(rows)
     name = "predicted_total_house_index"
@@ -91,6 +100,13 @@ def fit(spark: SparkSession, a: argparse.Namespace) -> DataFrame:
     return errors
 
 
+def score(spark: SparkSession, a: argparse.Namespace) -> DataFrame:
+    scored = predict(load_pipeline(spark, a.model), files.read_panel(spark, a.panel, a.form))
+    found = scored.select("DGUID", "REF_DATE", F.col("prediction").alias("predicted_total_house_index"))
+    sinks.write_predictions(found, a.out)
+    return found
+
+
 def _parser() -> argparse.ArgumentParser:
     parser = argparse.ArgumentParser(description=__doc__, formatter_class=argparse.RawDescriptionHelpFormatter)
     jobs = parser.add_subparsers(dest="job", required=True)
@@ -111,12 +127,18 @@ def _parser() -> argparse.ArgumentParser:
     p = jobs.add_parser("workbook")
     p.add_argument("kind", choices=list(SHEETS))
     p.add_argument("panel")
+    p.add_argument("--measures", nargs="+", default=["total_house_land"], choices=["total_house_land", "house_only", "land_only"])
+    p.add_argument("--approximate", action="store_true", help="count by sketches, within a few per cent")
     p.add_argument("--form", choices=["parquet", "csv"], default="parquet")
     p = jobs.add_parser("forecast")
-    p.add_argument("kind", choices=["ridge", "look-back"])
+    p.add_argument("kind", choices=["ridge", "look-back", "trees"])
     p.add_argument("panel")
     p.add_argument("out")
     p.add_argument("--form", choices=["parquet", "csv"], default="parquet")
+    p = jobs.add_parser("score")
+    for name in ("model", "panel", "out"):
+        p.add_argument(name)
+    p.add_argument("--form", choices=["parquet", "csv"], default="parquet")
     return parser
 
 
@@ -128,10 +150,12 @@ def main(arguments: Sequence[str] | None = None, spark: SparkSession | None = No
         return panel(spark, a)
     if a.job == "forecast":
         return fit(spark, a)
+    if a.job == "score":
+        return score(spark, a)
     if a.job == "report":
         out = REPORTS[a.kind](files.clean_listings_file(spark, a.source))
     elif a.job == "workbook":
-        out = SHEETS[a.kind](panel_by_region(spark, a))
+        out = SHEETS[a.kind](panel_by_region(spark, a), measures=a.measures, approximate=a.approximate)
     else:
         if a.job == "combine":
             rows = listings.combine_listings(spark, a.source)

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
-from pyspark.ml import Pipeline
-from pyspark.ml.feature import OneHotEncoder, StringIndexer
+import pyarrow as pa
+from pyspark.ml.feature import OneHotEncoder
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, IntegerType, StructField, StructType
 
 from panelwright.operators.reshape import quoted
 from panelwright.session import landed
@@ -30,13 +31,48 @@ def levels_of(df: DataFrame, column: str) -> list[str]:
     return [r["level"] for r in rows]
 
 
+def level_ranks(df: DataFrame, column: str) -> DataFrame:
+    """level and rank: the distinct values of a column numbered from 0 in their order, however many; landed.
+
+    Levels are sorted in ranges; the ranges' sizes, one row each, are added up
+    for the number at which a range begins.
+    """
+    levels = df.select(F.col(quoted(column)).alias("level")).dropna().distinct()
+    ranged = landed(levels.repartitionByRange("level").withColumn("_range", F.spark_partition_id()), "levels")
+    before = F.sum("_levels").over(Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1))
+    sizes = ranged.groupBy("_range").agg(F.count(F.lit(1)).alias("_levels"))
+    # one row for each partition of the shuffle
+    starts = F.broadcast(sizes.select("_range", F.coalesce(before, F.lit(0)).alias("_start")))
+    inside = F.row_number().over(Window.partitionBy("_range").orderBy("level"))
+    return landed(ranged.join(starts, "_range").select("level", (F.col("_start") + inside - 1).alias("rank")), "ranks")
+
+
 def one_hot_vector(df: DataFrame, column: str, name: str) -> DataFrame:
-    """A sparse 0/1 vector over all levels of a column, however many, in the order of the levels; NULL has no 1."""
-    index = StringIndexer(inputCol=column, outputCol="_index", stringOrderType="alphabetAsc", handleInvalid="keep")
-    encoder = OneHotEncoder(inputCol="_index", outputCol="_vector", dropLast=True)
-    # the extra index of NULL comes last, and the last one has no position
-    coded = Pipeline(stages=[index, encoder]).fit(df).transform(df)
-    return coded.withColumnRenamed("_vector", name).drop("_index")
+    """A sparse 0/1 vector over all levels of a column, however many, in the order of the levels; NULL has no 1.
+
+    Levels stay in tables: only their number comes to the driver.
+    """
+    ranks = level_ranks(df, column)
+    levels = ranks.count()
+    found = df.join(ranks, F.col(quoted(column)) == F.col("level"), "left").drop("level")
+    # NULL takes the index after the last level, which has no position of its own
+    sizes = {"ml_attr": {"type": "nominal", "num_vals": levels + 1}}
+    coded = found.withColumn("_index", F.coalesce("rank", F.lit(levels)).cast("double").alias("_index", metadata=sizes)).drop("rank")
+    return OneHotEncoder(inputCol="_index", outputCol=name, dropLast=True).fit(coded).transform(coded).drop("_index")
+
+
+def sparse_parts(df: DataFrame, vector: str) -> DataFrame:
+    """The table with the size and the indices of a sparse vector column in its place, which never becomes an array of its size."""
+    kept = [f for f in df.schema.fields if f.name != vector]
+    schema = StructType([*kept, StructField("size", IntegerType()), StructField("indices", ArrayType(IntegerType()))])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            parts = batch.column(vector)
+            columns = [batch.column(f.name) for f in kept]
+            yield pa.RecordBatch.from_arrays([*columns, parts.field("size"), parts.field("indices")], schema.names)
+
+    return df.select(*[quoted(f.name) for f in kept], quoted(vector)).mapInArrow(run, schema)
 
 
 def one_hot(df: DataFrame, column: str, prefix: str, levels: Sequence[str]) -> DataFrame:

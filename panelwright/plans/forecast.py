@@ -5,7 +5,9 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.ml import PipelineModel
+from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -155,6 +157,31 @@ def look_back_forecast(
     return _fitted(samples, features, target, period, cut, alpha, 1, None)
 
 
+def look_back_trees(
+    panel: DataFrame,
+    regions: Sequence[str] | None = MODELLED_REGIONS,
+    target: str = TARGET,
+    region: str = "DGUID",
+    period: str = "REF_DATE",
+    cut: str = CUT,
+    n: int = LOOK_BACK,
+    trees: int = 20,
+    depth: int = 4,
+    bucket: Column | None = None,
+    seed: int = 1,
+) -> Forecast:
+    """Boosted regression trees over the previous ``n`` values, for series that do not follow a line."""
+    kept = keep_in(panel, region, regions) if regions is not None else panel
+    rows = keep_not_null(kept, target).select(region, period, target)
+    samples = landed(lags(rows, region, period, target, n, bucket), "model")
+    train, _ = time_split(samples, period, cut)
+    features = [f"{target}_lag{i}" for i in range(1, n + 1)]
+    boosted = GBTRegressor(featuresCol="_inputs", labelCol=target, maxIter=trees, maxDepth=depth, seed=seed)
+    model = Pipeline(stages=[VectorAssembler(inputCols=features, outputCol="_inputs"), boosted]).fit(train)
+    scored = predict(model, samples).withColumn("is_train", F.col(quoted(period)) < F.lit(cut))
+    return Forecast(model, samples, scored, regression_errors(scored, target, "prediction", by=["is_train"]))
+
+
 def with_predictions(panel: DataFrame, predictions: DataFrame, name: str, keys: Sequence[str] = ("REF_DATE", "DGUID")) -> DataFrame:
     """Panel rows that have a prediction, with it as a column.
 

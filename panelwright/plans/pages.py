@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from panelwright.functions import markup as m
@@ -91,3 +91,45 @@ def out_links(
 def frontier(links: DataFrame) -> DataFrame:
     """The distinct pages that the links lead to (a fragment names no page of its own)."""
     return links.select(F.regexp_extract("link", r"^([^#]*)", 1).alias("link")).distinct()
+
+
+#: Bits of the bitmap of stored pages: 8 MB, whatever the number of pages.
+BITMAP_BITS = 1 << 26
+
+
+def _slot(url: Column, bits: int) -> Column:
+    return F.pmod(F.xxhash64(url), F.lit(bits)) + 1
+
+
+def bitmap_of(urls: DataFrame, url: str = "url", bits: int = BITMAP_BITS) -> DataFrame:
+    """block and bitmap: the hashes of all addresses as set bits, in rows of 4 KB; at most ``bits`` in all."""
+    slot = _slot(F.col(url), bits)
+    known = urls.where(F.col(url).isNotNull())
+    return known.groupBy(F.bitmap_bucket_number(slot).alias("block")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position(slot)).alias("bitmap")
+    )
+
+
+def new_links(frontier: DataFrame, stored: DataFrame, link: str = "link", url: str = "url", bits: int = BITMAP_BITS) -> DataFrame:
+    """The links of a frontier that lead to no stored page.
+
+    A link whose bit is not set in the bitmap of the stored addresses is new;
+    that takes no shuffle, the bitmap being of bounded size.  The rest, nearly
+    all of them stored, go through an exact anti-join.  ``bits`` should be about
+    ten times the stored pages; fewer only send more links to the anti-join.
+    NULL links are left out.
+    """
+    bitmap = F.broadcast(bitmap_of(stored, url, bits))
+    slot = _slot(F.col(link), bits)
+    probed = frontier.where(F.col(link).isNotNull()).withColumns(
+        {"_block": F.bitmap_bucket_number(slot), "_bit": F.bitmap_bit_position(slot)}
+    )
+    octet = F.conv(F.hex(F.substring(F.col("bitmap"), (F.col("_bit") / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    seen = F.expr("shiftright(_octet, cast(_bit % 8 as int)) & 1") == 1
+    looked_up = (
+        probed.join(bitmap, F.col("_block") == F.col("block"), "left").withColumn("_octet", octet)
+        .withColumn("_seen", F.coalesce(seen, F.lit(False))).select(*frontier.columns, "_seen")
+    )
+    addresses = stored.select(F.col(url).alias("_url"))
+    maybe = looked_up.where("_seen").drop("_seen").join(addresses, F.col(link) == F.col("_url"), "left_anti")
+    return looked_up.where("NOT _seen").drop("_seen").unionByName(maybe)

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.ml import PipelineModel
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -41,9 +40,9 @@ def one_hot(spark: SparkSession, sf_dir: str) -> DataFrame:
 def one_hot_vector(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The position of each part's name among all names, as the sparse vector has it."""
     parts = read(spark, sf_dir, "part").select("p_partkey", "p_name")
-    coded = f.one_hot_vector(parts, "p_name", "hot").withColumn("ones", vector_to_array("hot"))
+    coded = f.sparse_parts(f.one_hot_vector(parts, "p_name", "hot"), "hot")
     return coded.select(
-        "p_partkey", "p_name", F.size("ones").alias("levels"), (F.array_position("ones", 1.0) - 1).alias("position")
+        "p_partkey", "p_name", F.col("size").alias("levels"), F.get("indices", F.lit(0)).cast("long").alias("position")
     )
 
 
@@ -272,6 +271,36 @@ def ridge_poly(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tidy(forecast.with_predictions(panel, fit.predictions, "predicted_price"), 2)
 
 
+def ridge_best(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same path with the best 2 of 3 features and degree 1, small enough for a closed form."""
+    panel = _model_panel(spark, sf_dir)
+    fit = forecast.ridge_forecast(
+        panel, ["orders", "balance"], regions=None, target="price", cut=CUT, k=2, degree=1, alpha=_ALPHA, levels=[]
+    )
+    found = forecast.with_predictions(panel, fit.predictions, "predicted_price")
+    return tidy(found.select("DGUID", "REF_DATE", "predicted_price"), 2)
+
+
+_RIDGE_BEST = f"""WITH raw AS (
+  SELECT c_nationkey AS k, strftime(o_orderdate, '%Y-%m') AS ym, strftime(o_orderdate, '%Y%m')::INTEGER AS x,
+         avg(o_totalprice) AS y, count(*)::DOUBLE AS n, CASE WHEN month(any_value(o_orderdate)) <> 2 THEN avg(c_acctbal) END AS balance
+  FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY 1, 2, 3),
+lines AS (
+  SELECT k AS lk, avg(x) FILTER (WHERE balance IS NOT NULL) AS mx, avg(balance) AS mb,
+         regr_sxy(balance, x) / nullif(regr_sxx(balance, x), 0) AS slope FROM raw GROUP BY k),
+filled AS (
+  SELECT raw.* EXCLUDE (balance), coalesce(balance, mb + slope * (x - mx), mb, 0) AS balance FROM raw LEFT JOIN lines ON k = lk),
+scaled AS (
+  SELECT k, ym, y, {', '.join(f"({c} - min({c}) OVER ()) / (max({c}) OVER () - min({c}) OVER ())::DOUBLE AS f{i}" for i, c in enumerate(['n', 'balance', 'x']))}
+  FROM filled),
+worst AS (
+  SELECT arg_min(i, r2) AS i FROM ({' UNION ALL '.join(
+    f"SELECT {i} AS i, pow(corr(f{i}, y), 2) AS r2 FROM scaled WHERE ym < '{CUT}'" for i in range(3))})),
+t AS (SELECT k, ym, y, CASE WHEN i = 0 THEN f1 ELSE f0 END AS p, CASE WHEN i = 2 THEN f1 ELSE f2 END AS q FROM scaled, worst),
+{_plane('p', 'q', 'y', _ALPHA, 't', f"ym < '{CUT}'")}
+SELECT k AS "DGUID", ym AS "REF_DATE", {r('my + a * (p - mu) + b * (q - mv)', 2)} AS predicted_price FROM t, w"""
+
+
 def lag_forecast(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Regression on the six previous values; the predictions joined to the panel."""
     panel = _spine(spark, sf_dir)
@@ -380,6 +409,7 @@ FROM p WHERE NOT is_train ORDER BY 1, 2""",
     "model_roundtrip": (model_roundtrip, _MODEL_ROUNDTRIP),
     "ridge_rolling": (ridge_rolling, _RIDGE_ROLLING),
     "ridge_poly": (ridge_poly, None),
+    "ridge_best": (ridge_best, _RIDGE_BEST),
     "lag_forecast": (lag_forecast, None),
     "lag_forecast_errors": (lag_forecast_errors, None),
 }

@@ -58,6 +58,12 @@ def page_frontier(spark: SparkSession, sf_dir: str) -> DataFrame:
 _FRONTIER = """SELECT DISTINCT regexp_extract(url, '^([a-z]+://[^/?#]*)', 1) || href AS link
 FROM (SELECT url, unnest(regexp_extract_all(html, '<a\\s[^>]*href="([^"]*)"', 1)) AS href FROM pages)"""
 
+def frontier_new(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pages that links lead to and that are not stored."""
+    pages = read(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return p.new_links(p.frontier(p.out_links(pages, [p.ANY_LINK])), pages.select("url"))
+
+
 # detail pages of the derived listings; labels of missing values are left out, their order varies
 _DETAIL_PAGES = f"""
 SELECT id, '<html><h1 class="x"> <div><span>' || id || '</span><span>' || coalesce(locality, '') || '</span> <span>' ||
@@ -87,5 +93,6 @@ QUERIES = {
     "page_fields": (page_fields, _PAGE_FIELDS),
     "page_outlinks": (page_outlinks, _OUTLINKS),
     "page_frontier": (page_frontier, _FRONTIER),
+    "frontier_new": (frontier_new, f"{_FRONTIER} EXCEPT SELECT url FROM pages"),
     "listing_page_fields": (listing_page_fields, _LISTING_PAGE_FIELDS),
 }

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
@@ -9,11 +10,11 @@ from pyspark.sql import functions as F
 
 from panelwright.functions.labels import province_of
 from panelwright.functions.numbers import net_flow as net
-from panelwright.operators.panel import Feature, build_panel
+from panelwright.operators.panel import Feature, build_panel, co_located
 from panelwright.operators.refresh import Refresh, refresh_panel
 from panelwright.registry.support import SPINE, r, read, tidy
 from panelwright.sources.files import keys_and_numbers, read_panel
-from panelwright.sources.sinks import write_panel
+from panelwright.sources.sinks import write_observed_panel, write_panel
 from panelwright.session import landed, scratch_path
 
 
@@ -105,7 +106,7 @@ def _flows(facts: DataFrame) -> tuple[DataFrame, DataFrame]:
     return moves, named.select(*keys, F.nullif("n_o", F.lit(0)).alias("arrivals"))
 
 
-def panel_full(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _full_parts(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, list[Feature]]:
     orders, lines = order_facts(spark, sf_dir), line_facts(spark, sf_dir)
     month = F.trunc("day", "month").alias("start")
 
@@ -125,13 +126,31 @@ def panel_full(spark: SparkSession, sf_dir: str) -> DataFrame:
         Feature(arrivals, ["arrivals"]),
         Feature(national, ["rate"], by="national", duplicates="unique"),
     ]
-    panel = build_panel(_spine(spark, sf_dir, orders), features)
+    return _spine(spark, sf_dir, orders), features
+
+
+def _full(panel: DataFrame) -> DataFrame:
     flow = net("in_migrants", "arrivals", "out_migrants").alias("immigrants")
     return tidy(panel.select(
         "GEO", "DGUID", "REF_DATE", "price", "annual_price", "uom_quantity", "quantity", "tax_index", flow, "rate"
     ))
 
 
+def panel_full(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _full(build_panel(*_full_parts(spark, sf_dir)))
+
+
+def panel_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same panel over tables in buckets of region and year."""
+    return _full(co_located(*_full_parts(spark, sf_dir), buckets=8, name=f"panel_{uuid.uuid4().hex}"))
+
+
+def panel_observed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The figures that were counted while the panel was written, as one row."""
+    seen = write_observed_panel(panel_min(spark, sf_dir), scratch_path(spark, "panel"), "annual_price")
+    return spark.createDataFrame([seen], "n_rows long, n_without_target long, first_period string, last_period string")
+
+
 _FLOWS = """moves AS (
   SELECT c_nationkey AS dguid, strftime(o_orderdate, '%Y-%m') AS ym,
          nullif(count(*) FILTER (WHERE o_orderstatus = 'F'), 0) AS in_migrants,
@@ -239,6 +258,12 @@ FROM whole w JOIN seen s ON w."DGUID" = s.dguid AND w."REF_DATE" = s.ym"""
 QUERIES = {
     "panel_min": (panel_min, _PANEL_MIN),
     "panel_full": (panel_full, _PANEL_FULL),
+    "panel_bucketed": (panel_bucketed, _PANEL_FULL),
+    "panel_observed": (
+        panel_observed,
+        f"""SELECT count(*) AS n_rows, count(*) FILTER (annual_price IS NULL) AS n_without_target,
+  min("REF_DATE") AS first_period, max("REF_DATE") AS last_period FROM ({_PANEL_MIN})""",
+    ),
     "panel_by_name": (panel_by_name, _PANEL_BY_NAME),
     "panel_count": (panel_count, f"SELECT count(*) AS n_rows FROM ({_PANEL_MIN})"),
     "panel_roundtrip": (panel_roundtrip, _PANEL_MIN),

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, NumericType, StringType, StructField, StructType
 
 from panelwright.functions.dates import is_month
 from panelwright.functions.labels import region_of_file
+from panelwright.session import landed
 from panelwright.sources.schemas import CLEAN_LISTING, CODE_SETS, LISTING, PANEL, RATE_VALUES, RATES, WEATHER, WEATHER_VALUES
 
 
@@ -33,6 +36,34 @@ def weather_files(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+def weather_lines(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """The rows of :func:`weather_files`, and what is wrong with lines: GEO, file, line, reason, kept.
+
+    Lines are parsed once, into one landed table that both results read.
+    ``reason`` is ``no month`` (headers, preambles, garbage), ``fields`` (too few
+    or too many) or ``no number`` (a value that is none); a line with a month
+    is kept whatever is wrong with it, its bad values as NULL.
+    """
+    schema = StructType([*WEATHER.fields, StructField("_corrupt", StringType())])
+    lines = spark.read.text(path).where(F.trim("value") != "").select(
+        F.col("value").alias("line"), F.url_decode(F.replace(F.col("_metadata.file_name"), F.lit("+"), F.lit("%2B"))).alias("file"),
+        F.from_csv("value", schema.simpleString()[7:-1].replace(":", " "), {"columnNameOfCorruptRecord": "_corrupt"}).alias("row"),
+    )
+    wrong = [F.col("row")[c].isNotNull() & (F.col("row")[c] != "") & F.col("row")[c].try_cast("double").isNull() for c in WEATHER_VALUES]
+    kept = F.coalesce(is_month(F.col("row")["REF_DATE"]), F.lit(False))
+    reason = (
+        F.when(~kept, "no month").when(F.col("row")["_corrupt"].isNotNull(), "fields")
+        .when(reduce(lambda a, b: a | b, wrong), "no number")
+    )
+    parsed = landed(
+        lines.select(region_of_file(F.col("file")).alias("GEO"), "file", "line", "row", kept.alias("kept"), reason.alias("reason")), "weather"
+    )
+    rows = parsed.where("kept").select(*[F.col("row")[c].alias(c) for c in WEATHER.names], "GEO").withColumns(
+        {name: F.col(name).try_cast("double") for name in WEATHER_VALUES}
+    )
+    return rows, parsed.where("reason IS NOT NULL").select("GEO", "file", "line", "reason", "kept")
+
+
 def daily_rates(spark: SparkSession, path: str) -> DataFrame:
     """Daily rate series; lines that do not start with a date are left out."""
     rows = spark.read.schema(RATES).option("mode", "PERMISSIVE").csv(path)

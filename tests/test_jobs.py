@@ -113,11 +113,16 @@ def test_workbook_and_forecast_jobs(spark, landing, panel_path):
     assert main(["workbook", "map", panel_path], spark).count() == 12
     assert main(["workbook", "unit", panel_path], spark).count() == 12
     assert main(["workbook", "year", panel_path], spark).count() == 12
-    for kind in ("ridge", "look-back"):
+    both = main(["workbook", "year", panel_path, "--approximate", "--measures", "house_only", "land_only"], spark)
+    assert both.columns[-2:] == ["distinct_house_only", "distinct_land_only"] and both.count() == 12
+    for kind in ("ridge", "look-back", "trees"):
         errors = {r["is_train"]: r for r in main(["forecast", kind, panel_path, f"{landing}/{kind}"], spark).collect()}
-        assert errors[True]["r2"] > 0.9 and errors[False]["n"] == 36
+        assert errors[True]["r2"] > (0.5 if kind == "trees" else 0.9) and errors[False]["n"] == 36
         rows = spark.read.option("header", True).csv(f"{landing}/{kind}/predictions")
         assert rows.count() == (144 if kind == "ridge" else 144 - 3 * 6) and "predicted_total_house_index" in rows.columns
+    scored = main(["score", f"{landing}/ridge/pipeline", panel_path, f"{landing}/scored"], spark)
+    assert scored.count() == spark.read.parquet(panel_path).count() and scored.where("predicted_total_house_index IS NULL").count() == 0
+    assert spark.read.option("header", True).csv(f"{landing}/scored").count() == scored.count()
 
 
 def test_listing_jobs(spark, tmp_path):

@@ -113,3 +113,18 @@ def test_links(spark):
 def test_links_of_plain_text(spark, text):
     df = spark.createDataFrame([(1, "https://a.b/", text)], "page_id int, url string, html string")
     assert pages.out_links(df).count() == 0
+
+
+def test_new_links_lose_nothing_and_keep_no_stored_page(spark):
+    stored = spark.createDataFrame([(f"https://example.com/{i}",) for i in range(0, 3000, 3)] + [(None,)], "url string")
+    frontier = spark.createDataFrame([(f"https://example.com/{i}", i) for i in range(3000)] + [(None, -1)], "link string, n int")
+    expected = sorted(i for i in range(3000) if i % 3)
+    # from a bitmap that tells nearly all links apart to one that tells none
+    for bits in (1 << 26, 1 << 12, 8, 1):
+        assert sorted(r["n"] for r in pages.new_links(frontier, stored, bits=bits).collect()) == expected
+    assert pages.new_links(frontier, stored.limit(0)).count() == 3000
+    found = pages.new_links(frontier, stored)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "bitmap_construct_agg" in plan
+    sizes = [len(r["bitmap"]) for r in pages.bitmap_of(stored, bits=1 << 16).collect()]
+    assert len(sizes) <= 2 and set(sizes) == {4096}

@@ -122,3 +122,22 @@ def test_look_back_forecast(spark):
     errors = {r["is_train"]: r for r in fit.errors.collect()}
     assert errors[False]["mae"] < 3
     fit.rows.unpersist()
+
+
+def test_trees_follow_a_step_where_a_line_fails(spark, tmp_path):
+    # the next value is low after a high one and high after two low ones
+    rows = []
+    for i in range(3):
+        series = [1.0, 1.0]
+        while len(series) < 60:
+            series.append(9.0 if series[-1] < 5 and series[-2] < 5 else 1.0)
+        rows += [(f"P{i}", f"id{i}", f"{2014 + m // 12}-{m % 12 + 1:02d}", v) for m, v in enumerate(series)]
+    panel = spark.createDataFrame(rows, "GEO string, DGUID string, REF_DATE string, total_house_land double")
+    # two previous values make it a line again, one does not
+    trees = forecast.look_back_trees(panel, regions=None, n=3, trees=5)
+    off = {r["is_train"]: r["mae"] for r in trees.errors.collect()}
+    line = {r["is_train"]: r["mae"] for r in forecast.look_back_forecast(panel, regions=None, n=1, levels=["P0"]).errors.collect()}
+    assert off[False] < 0.1 < 1 < line[False]
+    sinks.save_model(trees.model, str(tmp_path / "trees"))
+    again = g.predict(sinks.load_model(str(tmp_path / "trees")), trees.rows)
+    assert again.join(trees.predictions.withColumnRenamed("prediction", "p"), ["DGUID", "REF_DATE"]).where("prediction <> p").count() == 0

@@ -9,9 +9,11 @@ from pyspark.sql import functions as F
 
 from panelwright.operators import extremes as x
 from panelwright.operators import features as f
-from panelwright.operators.panel import Feature, build_panel
+from panelwright.operators.panel import Feature, build_panel, co_located
 from panelwright.operators.reshape import pivot_mean
 from panelwright.registry import all_queries
+from panelwright.session import settings
+from panelwright.sources.sinks import write_observed_panel
 
 SF = "/root/testdata/sf0.001"
 
@@ -183,3 +185,39 @@ def test_archives_are_not_read_again_by_the_panel(spark, tmp_path):
     assert "MapInPandas" not in text and "binaryFile" not in text
     # the spine and the fuel pivot are plain scans of what was written once
     assert text.count("New housing price indexes") == 0 and text.count("Type of fuel") == 0
+
+
+def test_co_located_tables_are_joined_where_they_lie(spark):
+    months = [(g, f"{y}-{m:02d}") for g in "abc" for y in (2016, 2017) for m in range(1, 13)]
+    spine = spark.createDataFrame([(*k, float(i)) for i, k in enumerate(months)], "DGUID string, REF_DATE string, price double")
+    monthly = spark.createDataFrame([(*k, i) for i, k in enumerate(months[::2])], "DGUID string, REF_DATE string, n int")
+    annual = spark.createDataFrame([(g, "2017", 12.0 * i) for i, g in enumerate("abd")], "DGUID string, REF_DATE string, income double")
+    national = spark.createDataFrame([("2016-05", 0.5)], "REF_DATE string, rate double")
+    features = [
+        Feature(monthly, ["n"]), Feature(annual, ["income"], grain="year", annual=["income"], tags={"uom_income": "Dollars"}),
+        Feature(national, ["rate"], by="national", duplicates="unique"),
+    ]
+    got = co_located(spine, features, 4, "panel_co_located")
+    plain = build_panel(spine, features)
+    assert got.columns == plain.columns
+    assert sorted(map(tuple, got.collect()), key=repr) == sorted(map(tuple, plain.collect()), key=repr)
+    with settings(spark, spark__sql__requireAllClusterKeysForCoPartition="false", spark__sql__autoBroadcastJoinThreshold="-1"):
+        table = lambda part: spark.table(f"panel_co_located_{part}")
+        regional = [Feature(table("feature_0"), ["n"]), Feature(table("feature_1"), ["income"], grain="year")]
+        text = plan(build_panel(table("spine"), regional, year="_panel_year"))
+        assert text.count("SortMergeJoin") == 2 and "Exchange" not in text and "Bucketed: true" in text
+        assert "Exchange" in plan(build_panel(spine, regional[:1]))
+
+
+def test_the_observed_panel_is_read_once(spark, tmp_path):
+    reads = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            reads.add(batch.num_rows)
+            yield batch
+
+    rows = spark.createDataFrame([(f"{y}-0{m}", None if m == 2 else 1.0) for y in (2016, 2017) for m in (1, 2, 3)], "REF_DATE string, v double")
+    seen = write_observed_panel(rows.mapInArrow(count, rows.schema), f"{tmp_path}/panel", "v")
+    assert seen == {"n_rows": 6, "n_without_target": 2, "first_period": "2016-01", "last_period": "2017-03"}
+    assert reads.value == 6 and spark.read.parquet(f"{tmp_path}/panel").count() == 6

@@ -88,6 +88,24 @@ def test_weather_directory(spark, tmp_path):
     assert datasets.weather(rows, by="province").count() == 3  # a repeated row counts once
 
 
+def test_weather_lines_and_what_is_wrong_with_them(spark, tmp_path):
+    good, bad = _weather_line("1985-01", "-3.5"), _weather_line("1985-02", "warm", True)
+    short = "1985-03,1985,03,1.0,E"
+    (tmp_path / "New Brunswick_weather.csv").write_text(f'\ufeff"Station","X"\n\n{good}\n{good}\n{bad}\n{short}\n1985-13,{"," * 23}\n')
+    (tmp_path / "Yukon_weather.csv").write_text("")
+    rows, wrong = files.weather_lines(spark, str(tmp_path))
+    scanned = files.weather_files(spark, str(tmp_path))
+    assert rows.columns == scanned.columns
+    assert sorted(map(str, rows.collect())) == sorted(map(str, scanned.collect())) and rows.count() == 4
+    found = sorted((r["file"], r["line"].lstrip("\ufeff"), r["reason"], r["kept"]) for r in wrong.collect())
+    name = "New Brunswick_weather.csv"
+    assert found == sorted([
+        (name, '"Station","X"', "no month", False), (name, bad, "no number", True), (name, short, "fields", True),
+        (name, f"1985-13,{',' * 23}", "no month", False),
+    ])
+    assert {r["GEO"] for r in wrong.collect()} == {"New Brunswick"}
+
+
 def test_daily_rates(spark, tmp_path):
     lines = ["date," + ",".join(schemas.RATE_VALUES)]
     lines += ["2018-01-03," + ",".join(["1.0"] * 12), "2018-01-10," + ",".join(["3.0"] * 11 + [""]), "2018-02-01," + ",".join(["5"] * 12)]
