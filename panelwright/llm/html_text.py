@@ -73,6 +73,16 @@ class Blocks(HTMLParser):
         self.in_link = False
         self.current: Block | None = None
 
+    def parse_marked_section(self, i: int, report: int = 1) -> int:
+        """``<![`` begins no section in HTML: like any unknown declaration it is a comment up to the next ``>``."""
+        return self.parse_bogus_comment(i)
+
+    def close(self) -> None:
+        # a comment or declaration that is not closed goes to the end of the page
+        if self.cdata_elem is None and self.rawdata.startswith("<!"):
+            self.rawdata = ""
+        super().close()
+
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         if tag == "a":
             self.in_link = True
@@ -276,7 +286,9 @@ def main_text(pages: DataFrame, html: str = "html") -> DataFrame:
     references are decoded, white space inside a block becomes one space, and
     blocks are joined by one space.
 
-    Null and empty pages, and pages without main text, give an empty text.
+    Null and empty pages, and pages without main text, give an empty text;
+    markup of any form is read, comments and declarations without end go to the
+    end of the page.
     Rows are handled one by one, so repeated rows stay and no rows give none; an
     input column named ``text`` or ``n_chars`` is replaced.
     """

@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import random
+
 import pytest
 
 from panelwright.llm import html_text
@@ -64,3 +66,23 @@ def test_unclosed_and_unmatched_tags_cost_no_more_than_others():
 ])
 def test_a_head_left_open_ends_where_the_page_begins(page, expected):
     assert text(page) == expected
+
+
+def test_malformed_markup_is_read(spark):
+    pages = [
+        "<article>a b</article><![foo[ x ]]> c", "<![ x> <p>hello", "<p>x</p><!-- unfinished", "<p>x</p><!unfinished", "<p>x</p><![CDATA[ y",
+        "<![if IE]><p>x</p><![endif]>", "<script><!-- s</script><p>x</p>", "<p>x</p><", "<p>x</p></", "<p>x</p><a href='", "<p>x &#xZZ; &#99999999999; y", "<",
+        "<!", "<!-", "<!DOCTYPE", "<?php", "]]>", "\x00<p\x00>",
+    ]
+    rows = spark.createDataFrame(list(enumerate(pages)), "page_id long, html string")
+    got = {r["page_id"]: r["text"] for r in html_text.main_text(rows).collect()}
+    assert len(got) == len(pages)
+    assert (got[1], got[2], got[3], got[4], got[5], got[6]) == ("hello", "x", "x", "x", "x", "x")
+    assert got[0].startswith("a b")
+
+
+def test_no_bytes_stop_the_parser():
+    rng = random.Random(1)
+    parts = ["<!", "<![", "]]>", "<!--", "-->", "<", ">", "/", "a", "p", " ", "'", '"', "=", "&", "#", ";", "script", "x1", "[", "]", "?", "\n", "é"]
+    for _ in range(3000):
+        html_text.page_blocks("".join(rng.choices(parts, k=rng.randint(1, 25))))
