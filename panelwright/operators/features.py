@@ -32,19 +32,19 @@ def levels_of(df: DataFrame, column: str) -> list[str]:
 
 
 def level_ranks(df: DataFrame, column: str) -> DataFrame:
-    """level and rank: the distinct values of a column numbered from 0 in their order, however many; landed.
+    """_level and _rank: the distinct values of a column numbered from 0 in their order, however many; landed.
 
     Levels are sorted in ranges; the ranges' sizes, one row each, are added up
     for the number at which a range begins.
     """
-    levels = df.select(F.col(quoted(column)).alias("level")).dropna().distinct()
-    ranged = landed(levels.repartitionByRange("level").withColumn("_range", F.spark_partition_id()), "levels")
+    levels = df.select(F.col(quoted(column)).alias("_level")).dropna().distinct()
+    ranged = landed(levels.repartitionByRange("_level").withColumn("_range", F.spark_partition_id()), "levels")
     before = F.sum("_levels").over(Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1))
     sizes = ranged.groupBy("_range").agg(F.count(F.lit(1)).alias("_levels"))
     # one row for each partition of the shuffle
     starts = F.broadcast(sizes.select("_range", F.coalesce(before, F.lit(0)).alias("_start")))
-    inside = F.row_number().over(Window.partitionBy("_range").orderBy("level"))
-    return landed(ranged.join(starts, "_range").select("level", (F.col("_start") + inside - 1).alias("rank")), "ranks")
+    inside = F.row_number().over(Window.partitionBy("_range").orderBy("_level"))
+    return landed(ranged.join(starts, "_range").select("_level", (F.col("_start") + inside - 1).alias("_rank")), "ranks")
 
 
 def one_hot_vector(df: DataFrame, column: str, name: str) -> DataFrame:
@@ -54,10 +54,10 @@ def one_hot_vector(df: DataFrame, column: str, name: str) -> DataFrame:
     """
     ranks = level_ranks(df, column)
     levels = ranks.count()
-    found = df.join(ranks, F.col(quoted(column)) == F.col("level"), "left").drop("level")
+    found = df.join(ranks, F.col(quoted(column)) == F.col("_level"), "left").drop("_level")
     # NULL takes the index after the last level, which has no position of its own
     sizes = {"ml_attr": {"type": "nominal", "num_vals": levels + 1}}
-    coded = found.withColumn("_index", F.coalesce("rank", F.lit(levels)).cast("double").alias("_index", metadata=sizes)).drop("rank")
+    coded = found.withColumn("_index", F.coalesce("_rank", F.lit(levels)).cast("double").alias("_index", metadata=sizes)).drop("_rank")
     return OneHotEncoder(inputCol="_index", outputCol=name, dropLast=True).fit(coded).transform(coded).drop("_index")
 
 
