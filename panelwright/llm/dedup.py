@@ -161,7 +161,7 @@ def set_table(docs: DataFrame, asked: DataFrame, rule: Rule) -> DataFrame:
     """The full sets of the documents asked for, made of their texts."""
     # as many ids as duplicates, so no side to broadcast at scale
     texts = docs.select("doc_id", "text").join(asked.hint("merge"), "doc_id", "left_semi")
-    return landed(shingle_sets(texts, rule).dropDuplicates(["doc_id"]), "sets")
+    return landed(shingle_sets(texts, rule), "sets")
 
 
 def verified(pairs: DataFrame, docs: DataFrame, rule: Rule) -> DataFrame:
@@ -319,6 +319,30 @@ def near_duplicates(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
     has a null component and is kept.  No rows give none; other columns are not read.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    ids = docs.filter("doc_id IS NOT NULL").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"))
+    if ids.filter("n > 1").isEmpty():
+        return _by_unique_ids(docs, rule)
+    # each row is a document of its own first; then the components of the rows of one id are joined
+    rows = landed(docs.withColumn("row", F.monotonically_increasing_id()), "rows")
+    by_row = rows.select(F.when(F.col("doc_id").isNotNull(), F.col("row")).alias("doc_id"), "text")
+    found = landed(_by_unique_ids(by_row, rule), "by_row")
+    named = landed(
+        rows.filter("doc_id IS NOT NULL").select("doc_id", "row")
+        .join(found.select(F.col("doc_id").alias("row"), "n_shingles", F.col("component_id").alias("inner")), "row"),
+        "named",
+    )
+    least = landed(named.groupBy("inner").agg(F.min("doc_id").alias("v")), "least")
+    groups = components(named.join(least, "inner").select(F.col("doc_id").alias("u"), "v"))
+    top = F.coalesce("component", "doc_id")
+    return (
+        named.join(groups.withColumnRenamed("node", "doc_id"), "doc_id", "left")
+        .select("doc_id", "n_shingles", top.alias("component_id"), (F.col("doc_id") == top).alias("kept"))
+        .unionByName(found.filter("doc_id IS NULL"))
+    )
+
+
+def _by_unique_ids(docs: DataFrame, rule: Rule) -> DataFrame:
+    """:func:`near_duplicates` of rows that repeat no id, nulls aside."""
     signed = landed(signatures(docs, rule), "signatures")
     known = signed.filter("doc_id IS NOT NULL AND n_shingles > 0")
     # written, so that the joins with them are of two plain tables, in which Spark splits a hot key
@@ -335,11 +359,10 @@ def near_duplicates(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
         .select("doc_id", F.coalesce("head", "doc_id").alias("head")),
         "members",
     )
-    repeated = known.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").isEmpty()
     heads = known.join(members.filter("doc_id = head").select("doc_id"), "doc_id", "left_semi").select(
         "doc_id", "n_shingles", "sketch", "buckets"
     )
-    heads = landed(heads if repeated else heads.dropDuplicates(["doc_id"]), "heads")
+    heads = landed(heads, "heads")
     every = heads.select("doc_id", F.explode("buckets").alias("bucket"))
     least = [F.min(F.struct(F.xxhash64("doc_id", F.lit(k)), "doc_id"))["doc_id"] for k in range(HUBS)]
     shared = every.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.array_distinct(F.array(*least)).alias("hubs"))

@@ -73,6 +73,20 @@ def test_repeated_ids_and_one_of_each(spark):
     assert left == sorted([(5, a), (5, b), (8, c), (None, a), (None, a)], key=repr)
 
 
+def test_a_repeated_id_has_the_links_of_all_its_texts(spark):
+    rng = random.Random(8)
+    a, b, c = (" ".join(f"w{rng.randrange(10**6)}" for _ in range(80)) for _ in range(3))
+    rows = [(1, a), (1, b), (2, a + " more"), (3, b + " more"), (4, c), (5, c + " x"), (5, ""), (5, None), (6, ""), (None, c)]
+    for order in (rows, rows[::-1]):
+        df = spark.createDataFrame(order, "doc_id long, text string").repartition(3)
+        got = dedup.near_duplicates(df).collect()
+        assert sorted((r["doc_id"], r["component_id"], r["kept"]) for r in got if r["doc_id"] is not None) == [
+            (1, 1, True), (1, 1, True), (2, 1, False), (3, 1, False), (4, 4, True), (5, 4, False), (5, 4, False), (5, 4, False), (6, 6, True)
+        ]
+        assert [(r["component_id"], r["kept"]) for r in got if r["doc_id"] is None] == [(None, True)]
+        assert sorted(r["n_shingles"] for r in got) == [0, 0, 0, 76, 76, 76, 76, 77, 77, 77]
+
+
 def test_no_documents(spark):
     assert dedup.near_duplicates(spark.createDataFrame([], "doc_id long, text string")).collect() == []
 
