@@ -8,6 +8,8 @@ import numpy as np
 
 #: Steps of a window: gradients stop at its start, the state does not.
 WINDOW = 32
+#: Logits below this in size need no shift before they are exponentiated in single precision.
+LARGEST_LOGIT = 80.0
 
 Weights = dict[str, np.ndarray]
 
@@ -25,18 +27,48 @@ def initial(classes: int, hidden: int, seed: int) -> Weights:
     }
 
 
-def _sigmoid(x: np.ndarray) -> np.ndarray:
-    return 0.5 * (np.tanh(0.5 * x) + 1)
+def _sigmoid(x: np.ndarray) -> None:
+    """The logistic function, in place."""
+    x *= 0.5
+    np.tanh(x, out=x)
+    x += 1
+    x *= 0.5
 
 
 def step(weights: Weights, state: np.ndarray, inputs: np.ndarray) -> tuple[np.ndarray, ...]:
     """The next state, and the gates that made it, for a batch of states and class numbers."""
     h = state.shape[1]
     given = weights["input"][inputs]
-    gates = _sigmoid(given[:, : 2 * h] + state @ weights["gates"])
+    gates = state @ weights["gates"]
+    gates += given[:, : 2 * h]
+    _sigmoid(gates)
     update, reset = gates[:, :h], gates[:, h:]
-    candidate = np.tanh(given[:, 2 * h :] + (reset * state) @ weights["candidate"])
-    return state + update * (candidate - state), update, reset, candidate
+    candidate = (reset * state) @ weights["candidate"]
+    candidate += given[:, 2 * h :]
+    np.tanh(candidate, out=candidate)
+    after = candidate - state
+    after *= update
+    after += state
+    return after, update, reset, candidate
+
+
+def _unshifted(weights: Weights) -> bool:
+    """Whether no state can give a logit whose exponential leaves the range of the numbers: states are within -1 and 1."""
+    bound = np.abs(weights["output"]).sum(axis=0) + np.abs(weights["bias"])
+    return float(bound.max(initial=0)) < LARGEST_LOGIT
+
+
+def _widened(weights: Weights) -> np.ndarray:
+    """The softmax's weights with the bias as one more row, for states with a column of ones."""
+    return np.vstack([weights["output"], weights["bias"]])
+
+
+def _logits(states: np.ndarray, output: np.ndarray, unshifted: bool) -> np.ndarray:
+    """Logits of widened states, up to a term per row that makes their exponentials safe."""
+    logits = states @ output
+    if not unshifted:
+        logits -= logits.max(axis=1, keepdims=True)
+    return logits
 
 
 def log_softmax(weights: Weights, states: np.ndarray) -> np.ndarray:
@@ -54,40 +86,56 @@ def _window_gradient(weights: Weights, state: np.ndarray, inputs: np.ndarray, ta
     """
     steps, streams = inputs.shape
     h = state.shape[1]
-    trace, states = [], []
+    kind = state.dtype
+    given = weights["input"][inputs]
+    gates = np.empty((steps, streams, 2 * h), kind)
+    befores, mixed, candidates = (np.empty((steps, streams, h), kind) for _ in range(3))
+    states = np.ones((steps, streams, h + 1), kind)
     for t in range(steps):
-        before = state * alive[t][:, None]
-        state, *gates = step(weights, before, inputs[t])
-        trace.append((before, *gates))
-        states.append(state)
-    flat = np.concatenate(states)
-    d_logits = flat @ weights["output"]
-    d_logits += weights["bias"]
-    d_logits -= d_logits.max(axis=1, keepdims=True)
-    np.exp(d_logits, out=d_logits)
-    share = 1 / d_logits.sum(axis=1, keepdims=True)
-    wanted = targets.ravel()
-    at = np.arange(len(wanted))
-    loss = -np.log(np.maximum(d_logits[at, wanted] * share[:, 0], 1e-30)).mean()
-    d_logits *= share / len(wanted)
-    d_logits[at, wanted] -= 1 / len(wanted)
-    d_output, d_bias = flat.T @ d_logits, d_logits.sum(axis=0)
-    d_states = (d_logits @ weights["output"].T).reshape(steps, streams, h)
-    befores, mixed = np.empty((steps, streams, h), flat.dtype), np.empty((steps, streams, h), flat.dtype)
-    d_given = np.empty((steps, streams, 3 * h), flat.dtype)
+        before, gate, candidate = np.multiply(state, alive[t][:, None], out=befores[t]), gates[t], candidates[t]
+        np.matmul(before, weights["gates"], out=gate)
+        gate += given[t, :, : 2 * h]
+        _sigmoid(gate)
+        np.matmul(np.multiply(gate[:, h:], before, out=mixed[t]), weights["candidate"], out=candidate)
+        candidate += given[t, :, 2 * h :]
+        np.tanh(candidate, out=candidate)
+        state = candidate - before
+        state *= gate[:, :h]
+        state += before
+        states[t, :, :h] = state
+    flat = states.reshape(-1, h + 1)
+    output = _widened(weights)
+    wide = _logits(flat, output, _unshifted(weights))
+    np.exp(wide, out=wide)
+    total = wide @ np.ones(wide.shape[1], kind)
+    wanted, at = targets.ravel(), np.arange(len(flat))
+    loss = -np.log(np.maximum(wide[at, wanted] / total, 1e-30)).mean()
+    # the factor 1 / total of every row is put on the narrow sides of the products
+    wide[at, wanted] -= total
+    share = (1 / (total * len(wanted)))[:, None]
+    d_output = (flat * share).T @ wide
+    d_states = ((wide @ weights["output"].T) * share).reshape(steps, streams, h)
+    d_given = given
     d_next = np.zeros_like(state)
+    back_gates, back_candidate = weights["gates"].T.copy(), weights["candidate"].T.copy()
+    # slopes of the gates and of the candidate, for all steps at once
+    slopes, rises = gates * (1 - gates), 1 - candidates * candidates
     for t in reversed(range(steps)):
-        before, update, reset, candidate = trace[t]
-        d_state = d_states[t] + d_next
-        d_candidate = d_state * update * (1 - candidate**2)
-        d_update = d_state * (candidate - before) * update * (1 - update)
-        d_mixed = d_candidate @ weights["candidate"].T
-        d_reset = d_mixed * before * reset * (1 - reset)
-        given = d_given[t]
-        given[:, :h], given[:, h : 2 * h], given[:, 2 * h :] = d_update, d_reset, d_candidate
-        befores[t], mixed[t] = before, reset * before
-        d_next = d_state * (1 - update) + d_mixed * reset + given[:, : 2 * h] @ weights["gates"].T
-        d_next *= alive[t][:, None]
+        before, update, reset, out = befores[t], gates[t, :, :h], gates[t, :, h:], d_given[t]
+        d_state = np.add(d_states[t], d_next, out=d_next)
+        moved = d_state * update
+        d_candidate = np.multiply(moved, rises[t], out=out[:, 2 * h :])
+        d_mixed = d_candidate @ back_candidate
+        through = d_mixed * before
+        np.multiply(through, slopes[t, :, h:], out=out[:, h : 2 * h])
+        np.subtract(candidates[t], before, out=through)
+        through *= d_state
+        np.multiply(through, slopes[t, :, :h], out=out[:, :h])
+        d_state -= moved
+        d_mixed *= reset
+        d_state += d_mixed
+        d_state += out[:, : 2 * h] @ back_gates
+        d_state *= alive[t][:, None]
     d_given = d_given.reshape(-1, 3 * h)
     # summed by class: rows in the order of their classes, cut where the class changes
     order = np.argsort(inputs, axis=None, kind="stable")
@@ -99,8 +147,8 @@ def _window_gradient(weights: Weights, state: np.ndarray, inputs: np.ndarray, ta
         "input": d_input,
         "gates": befores.reshape(-1, h).T @ d_given[:, : 2 * h],
         "candidate": mixed.reshape(-1, h).T @ d_given[:, 2 * h :],
-        "output": d_output,
-        "bias": d_bias,
+        "output": d_output[:h],
+        "bias": d_output[h],
     }
     return loss, gradient, state
 
@@ -188,6 +236,8 @@ def score(weights: Weights, tokens: np.ndarray, lengths: np.ndarray) -> np.ndarr
     previous = np.zeros(len(lengths), np.int64)
     longest = int(lengths.max(initial=0))
     ordered = lengths[order]
+    output, unshifted, h = _widened(weights), _unshifted(weights), state.shape[1]
+    ones = np.ones(output.shape[1], output.dtype)
     for begin in range(0, longest, WINDOW):
         active = int(np.searchsorted(-ordered, -begin, "left"))
         live, here = order[:active], np.minimum(ordered[:active] - begin, WINDOW)
@@ -203,10 +253,13 @@ def score(weights: Weights, tokens: np.ndarray, lengths: np.ndarray) -> np.ndarr
             wanted.append(inputs)
             owner.append(live[:n])
         state, previous = current, inputs
-        flat, wanted, owner = np.concatenate(states), np.concatenate(wanted), np.concatenate(owner)
-        for first in range(0, len(flat), 1 << 15):
-            part = slice(first, first + (1 << 15))
-            log_p = log_softmax(weights, flat[part])
-            found = log_p[np.arange(len(log_p)), wanted[part]]
+        wanted, owner = np.concatenate(wanted), np.concatenate(owner)
+        flat = np.ones((len(wanted), h + 1), state.dtype)
+        np.concatenate(states, out=flat[:, :h])
+        for first in range(0, len(flat), 1 << 12):
+            part = slice(first, first + (1 << 12))
+            wide = _logits(flat[part], output, unshifted)
+            found = wide[np.arange(len(wide)), wanted[part]]
+            found -= np.log(np.exp(wide, out=wide) @ ones)
             total += np.bincount(owner[part], weights=found, minlength=len(total))
     return total

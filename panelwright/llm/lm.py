@@ -14,21 +14,17 @@ from pyspark.sql import functions as F
 
 from panelwright.llm import gru, hashing
 from panelwright.llm.tables import crc_mod, read
-from panelwright.session import landed
+from panelwright.session import landed, scratch_path
 
 #: Classes: the end of a document, the most frequent words one by one, and the other words by their spelling.
 FREQUENT, SPELLINGS = 63, 64
 CLASSES = 1 + FREQUENT + SPELLINGS
 #: Rounds that deal out the training documents, after each of which the tasks' weights are averaged.
 ROUNDS = 4
-#: Passes over the training documents: one, or up to three as long as they hold fewer tokens than these in all.
-LEAST_TOKENS, PASSES = 2_000_000, 3
 #: Learning rate at the first round, falling to none; parallel streams of a task, and their least windows, for small tables.
 RATE, STREAMS, LEAST_WINDOWS = 0.01, 128, 16
-#: Tokens of documents that a task lays end to end at a time.
-SEQUENCE = 1 << 20
-#: Rows that a task's weights are cut into, so that they are averaged side by side.
-PIECES = 16
+#: Tokens of documents that a task lays end to end at a time to learn, and that it scores together.
+SEQUENCE, TOGETHER = 1 << 20, 1 << 22
 #: Size of the recurrent state.
 HIDDEN = 32
 #: Distinct words of a row of a block's word table.
@@ -159,41 +155,77 @@ def class_of(frequent: list[int]) -> Column:
     return column.otherwise(F.col("spelling") + 1 + FREQUENT).cast("int")
 
 
-def class_sequences(docs: DataFrame, frequent: list[int]) -> DataFrame:
-    """round, n_tokens, classes of all training documents: their class numbers end to end, compressed, in the shared folder.
+def block_classes(documents: pd.DataFrame, words: pd.DataFrame, counts: Counts) -> pd.DataFrame:
+    """The documents of one block with their classes, given its words' c and classes.
 
-    A row holds the documents of a slice of texts that are of one round; each is whole.
+    doc_id, learn, n_tokens, n_known, base_score; ``within`` (the log10
+    probability of all words within their classes), ``classes`` (the class
+    numbers in order, compressed), and the training round the document is dealt to.
     """
-    known = np.array(sorted(frequent), np.int64)
-    number = {h: i + 1 for i, h in enumerate(frequent)}
-    numbers = np.array([number[h] for h in known.tolist()], np.uint8)
+    size = int(words["code"].max()) + 1
+    c, k = np.zeros(size), np.zeros(size, np.uint8)
+    c[words["code"].to_numpy()] = words["c"].to_numpy()
+    k[words["code"].to_numpy()] = words["k"].to_numpy()
+    base = np.log10((c + 0.1) / (counts.tokens + 0.1 * (counts.distinct + 1)))
+    # of the words of a class: the counted ones less a discount each, and all others as one with what is taken
+    held = np.maximum(counts.class_tokens[k], 1e-9)
+    known = np.maximum(c - counts.discount, 1e-9) / held
+    other = np.where(counts.class_tokens[k] > 0, np.maximum(counts.discount * counts.class_words[k], 0.5) / held, 1.0)
+    within = np.where(k <= FREQUENT, 0.0, np.log10(np.where(c > 0, known, np.minimum(other, 1.0))))
+    lengths = documents["n_tokens"].to_numpy()
+    codes = np.concatenate([
+        np.frombuffer(pa.decompress(packed, 4 * n, codec="zstd", asbytes=True), np.int32)
+        for packed, n in zip(documents["codes"], lengths.tolist())
+    ])
+    ends = np.cumsum(lengths)
+    owner = np.repeat(np.arange(len(documents)), lengths)
+    add = lambda values: np.bincount(owner, weights=values[codes], minlength=len(documents))
+    classes = k[codes]
+    learn = documents["learn"].to_numpy(bool)
+    return pd.DataFrame({
+        "doc_id": documents["doc_id"].astype("Int64"),
+        "learn": learn,
+        "n_tokens": lengths,
+        "n_known": add((c > 0).astype(float)).astype(np.int64),
+        "base_score": add(base),
+        "within": add(within),
+        "classes": [
+            pa.compress(classes[b - n : b].tobytes(), codec="zstd", asbytes=True) for n, b in zip(lengths.tolist(), ends.tolist())
+        ],
+        # training documents take turns
+        "round": np.maximum(np.cumsum(learn) - 1, 0) % ROUNDS,
+    })
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        dealt = 0
-        for batch in batches:
-            for _, data, cuts in hashing.slices(batch.column("text")):
-                hashes, spelling, lengths = tokens(data, cuts)
-                classes = spelling + np.uint8(1 + FREQUENT)
-                if len(known):
-                    at = np.minimum(np.searchsorted(known, hashes.view(np.int64)), len(known) - 1)
-                    hit = known[at] == hashes.view(np.int64)
-                    classes[hit] = numbers[at[hit]]
-                classes[hashes == _END] = 0
-                turn = np.repeat((dealt + np.arange(len(lengths))) % ROUNDS, lengths)
-                dealt += len(lengths)
-                found = [(r, classes[turn == r]) for r in range(ROUNDS)]
-                rows = [(r, len(c), pa.compress(c.tobytes(), codec="zstd", asbytes=True)) for r, c in found if len(c)]
-                columns = [pa.array(x, t) for x, t in zip(zip(*rows), (pa.int32(), pa.int64(), pa.binary()))]
-                yield pa.RecordBatch.from_arrays(columns, ["round", "n_tokens", "classes"])
-
-    return landed(docs.filter("learn").select("text").mapInArrow(run, "round int, n_tokens long, classes binary"), "classes")
-
-
-def trained_round(sequences: DataFrame, weights: gru.Weights, rate: float) -> gru.Weights:
-    """The weights after every task has gone over all of its rows from the given ones, averaged by the tasks' tokens."""
+
+def classed(blocks: DataFrame, counted: DataFrame, counts: Counts) -> DataFrame:
+    """:func:`block_classes` of all blocks, in the shared folder, a directory per round."""
+    words = counted.select("block", "code", "c", class_of(counts.frequent).alias("k"))
+    texts = blocks.filter("codes IS NOT NULL").select("block", "doc_id", "learn", "n_tokens", "codes")
+
+    def run(key: tuple, part: pd.DataFrame, table: pd.DataFrame) -> pd.DataFrame:
+        return block_classes(part, table, counts)
+
+    schema = (
+        "doc_id long, learn boolean, n_tokens long, n_known long, base_score double, within double, classes binary, round int"
+    )
+    rows = texts.groupBy("block").cogroup(words.groupBy("block")).applyInPandas(run, schema)
+    path = scratch_path(blocks.sparkSession, "classed")
+    rows.write.partitionBy("round").option("compression", "zstd").parquet(path)
+    return blocks.sparkSession.read.schema(schema).parquet(path)
+
+
+def _unpacked(classes: pa.BinaryScalar, n: int) -> np.ndarray:
+    return np.frombuffer(pa.decompress(classes.as_buffer(), n, codec="zstd", asbytes=True), np.uint8)
+
+
+def trained_round(documents: DataFrame, weights: gru.Weights, rate: float) -> gru.Weights:
+    """The weights after every task has gone over all of its documents from the given ones, averaged by the tasks' tokens.
+
+    ``documents`` has n_tokens and classes.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        trainer, total = gru.Trainer(weights), 0
+        trainer, total, size = gru.Trainer(weights), 0, 0
         held: list[np.ndarray] = []
         ready: list[np.ndarray] = []
 
@@ -203,80 +235,68 @@ def trained_round(sequences: DataFrame, weights: gru.Weights, rate: float) -> gr
             return len(sequence)
 
         for batch in batches:
-            for n, part in zip(batch.column("n_tokens").to_pylist(), batch.column("classes")):
-                held.append(np.frombuffer(pa.decompress(part.as_buffer(), n, codec="zstd", asbytes=True), np.uint8))
-                if sum(map(len, held)) >= SEQUENCE:
+            for n, classes in zip(batch.column("n_tokens").to_pylist(), batch.column("classes")):
+                held.append(_unpacked(classes, n))
+                size += n
+                if size >= SEQUENCE:
                     # the one before is learned now, so that a short rest is never learned alone
                     total += learn(ready) if ready else 0
-                    held, ready = [], held
+                    held, ready, size = [], held, 0
         if ready or held:
             total += learn(ready + held)
-            cut = np.array_split(gru.packed(trainer.weights), PIECES)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.full(PIECES, TaskContext.get().partitionId(), np.int64)), pa.array(np.full(PIECES, total)),
-                 pa.array(range(PIECES), pa.int32()), pa.array([c.tobytes() for c in cut], pa.binary())],
-                ["task", "n_tokens", "piece", "vector"],
-            )
-
-    def average(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values("task")
-        vectors = np.stack([np.frombuffer(v, np.float32) for v in rows["vector"]])
-        mean = np.average(vectors.astype(float), axis=0, weights=rows["n_tokens"]).astype(np.float32)
-        return pd.DataFrame({"piece": [rows["piece"].iloc[0]], "vector": [mean.tobytes()]})
-
-    done = sequences.mapInArrow(run, "task long, n_tokens long, piece int, vector binary")
-    pieces = done.groupBy("piece").applyInPandas(average, "piece int, vector binary").collect()
-    if not pieces:
+            vector = pa.array([gru.packed(trainer.weights)], pa.list_(pa.float32()))
+            yield pa.RecordBatch.from_arrays([pa.array([total], pa.int64()), vector], ["n_tokens", "vector"])
+
+    done = documents.select("n_tokens", "classes").mapInArrow(run, "n_tokens long, vector array<float>")
+    weighed = done.select("n_tokens", F.posexplode("vector").alias("at", "w"))
+    mean = F.sum(F.col("n_tokens") * F.col("w").cast("double")) / F.sum("n_tokens")
+    means = {r["at"]: r["mean"] for r in weighed.groupBy("at").agg(mean.alias("mean")).collect()}
+    if not means:
         return weights
-    ordered = [np.frombuffer(bytes(r["vector"]), np.float32) for r in sorted(pieces, key=lambda r: r["piece"])]
-    return gru.unpacked(np.concatenate(ordered), weights)
+    return gru.unpacked(np.array([means[i] for i in range(len(means))], np.float32), weights)
 
 
-def trained(sequences: DataFrame, total: int, hidden: int) -> gru.Weights:
-    """Recurrent weights fitted on all rows of :func:`class_sequences`, which hold ``total`` tokens.
+def trained(documents: DataFrame, counts: Counts, hidden: int, passes: int) -> gru.Weights:
+    """Recurrent weights fitted on all rows of :func:`classed` with ``learn``, gone over ``passes`` times.
 
-    Each round takes its share of the documents; the weights alone come to the driver.
+    Each round takes its share of the documents; the weights alone come to the
+    driver.  The first weights say how frequent the classes are.
     """
     weights = gru.initial(CLASSES, hidden, 1)
-    if not total:
+    if not counts.tokens:
         return weights
-    planned = ROUNDS * min(PASSES, -(-LEAST_TOKENS // total))
-    for r in range(planned):
-        weights = trained_round(sequences.filter(F.col("round") == r % ROUNDS), weights, RATE * (1 - r / planned))
+    shares = (counts.class_tokens + 1) / (counts.class_tokens + 1).sum()
+    weights["bias"] = np.log(shares).astype(np.float32)
+    for r in range(ROUNDS * passes):
+        own = documents.filter((F.col("round") == r % ROUNDS) & F.col("learn"))
+        weights = trained_round(own, weights, RATE * (1 - r / (ROUNDS * passes)))
     return weights
 
 
-def score_block(documents: pd.DataFrame, words: pd.DataFrame, counts: Counts, weights: gru.Weights) -> pd.DataFrame:
-    """doc_id, learn, n_tokens, n_known, base_score, score of the documents of one block, given its words' c and classes."""
-    size = int(words["code"].max()) + 1
-    c, k = np.zeros(size), np.zeros(size, np.int64)
-    c[words["code"].to_numpy()] = words["c"].to_numpy()
-    k[words["code"].to_numpy()] = words["k"].to_numpy()
-    base = np.log10((c + 0.1) / (counts.tokens + 0.1 * (counts.distinct + 1)))
-    # of the words of a class: the counted ones less a discount each, and all others as one with what is taken
-    held = np.maximum(counts.class_tokens[k], 1e-9)
-    known = np.maximum(c - counts.discount, 1e-9) / held
-    other = np.where(counts.class_tokens[k] > 0, np.maximum(counts.discount * counts.class_words[k], 0.5) / held, 1.0)
-    single = (k > 0) & (k <= FREQUENT) | (k == 0)
-    within = np.where(single, 0.0, np.log10(np.where(c > 0, known, np.minimum(other, 1.0))))
-    lengths = documents["n_tokens"].to_numpy()
-    codes = np.concatenate([
-        np.frombuffer(pa.decompress(packed, 4 * n, codec="zstd", asbytes=True), np.int32)
-        for packed, n in zip(documents["codes"], lengths.tolist())
-    ])
-    owner = np.repeat(np.arange(len(documents)), lengths)
-    add = lambda values: np.bincount(owner, weights=values[codes], minlength=len(documents))
-    return pd.DataFrame({
-        "doc_id": documents["doc_id"].astype("Int64"),
-        "learn": documents["learn"],
-        "n_tokens": lengths,
-        "n_known": add((c > 0).astype(float)).astype(np.int64),
-        "base_score": add(base),
-        "score": add(within) + gru.score(weights, k[codes], lengths) / np.log(10),
-    })
+def scored(documents: DataFrame, weights: gru.Weights) -> DataFrame:
+    """doc_id, learn, n_tokens, n_known, base_score and score of every row of :func:`classed`."""
+    kept = ["doc_id", "learn", "n_tokens", "n_known", "base_score"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lengths = batch.column("n_tokens").to_numpy()
+            ends = np.cumsum(lengths)
+            first = 0
+            while first < len(lengths):
+                before = ends[first] - lengths[first]
+                last = max(first + 1, int(np.searchsorted(ends, before + TOGETHER, "right")))
+                part = batch.slice(first, last - first)
+                own = lengths[first:last]
+                line = np.concatenate([_unpacked(c, n) for c, n in zip(part.column("classes"), own.tolist())])
+                score = part.column("within").to_numpy() + gru.score(weights, line, own) / np.log(10)
+                yield pa.RecordBatch.from_arrays([*(part.column(n) for n in kept), pa.array(score)], [*kept, "score"])
+                first = last
+
+    schema = "doc_id long, learn boolean, n_tokens long, n_known long, base_score double, score double"
+    return documents.select(*kept, "within", "classes").mapInArrow(run, schema)
 
 
-def log_likelihoods(docs: DataFrame, hidden: int = HIDDEN) -> DataFrame:
+def log_likelihoods(docs: DataFrame, hidden: int = HIDDEN, passes: int = 1) -> DataFrame:
     """doc_id, learn, n_tokens, n_known, train_tokens, base_score, score of every row of ``docs`` (doc_id, text, learn).
 
     Counts are those of all tokens of the rows with ``learn``.  The model factors
@@ -284,12 +304,13 @@ def log_likelihoods(docs: DataFrame, hidden: int = HIDDEN) -> DataFrame:
     a gated recurrent network whose state runs through the whole document, and
     that of the word within its class, by the counts of the corpus with absolute
     discounting; words never counted share what the discount frees.  The recurrent
-    weights are fitted on the same rows in rounds: tasks learn side by side, and
+    weights are fitted on the same rows in rounds, ``passes`` times over: tasks learn side by side, and
     their weights are averaged, so scores depend a little on how rows are dealt to tasks.
 
     Documents meet the counts of their words block by block: a block is an Arrow
     batch of documents with its table of distinct words, and what is shuffled
-    are these tables, not every token.
+    are these tables and the documents as codes into them.  They meet once: what
+    is written there holds all that training and scoring need.
 
     A null or empty text is one end token.  Rows without ``learn`` or with a null
     id are scored too; repeated rows count and are scored as often as they
@@ -298,16 +319,9 @@ def log_likelihoods(docs: DataFrame, hidden: int = HIDDEN) -> DataFrame:
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.coalesce("learn", F.lit(False)).alias("learn"))
     blocks = coded(rows)
     counted, counts = word_counts(blocks)
-    weights = trained(class_sequences(rows, counts.frequent), counts.tokens, hidden)
-    words = counted.select("block", "code", "c", class_of(counts.frequent).alias("k"))
-    texts = blocks.filter("codes IS NOT NULL").select("block", "doc_id", "learn", "n_tokens", "codes")
-
-    def run(key: tuple, part: pd.DataFrame, table: pd.DataFrame) -> pd.DataFrame:
-        return score_block(part, table, counts, weights)
-
-    schema = "doc_id long, learn boolean, n_tokens long, n_known long, base_score double, score double"
-    scored = texts.groupBy("block").cogroup(words.groupBy("block")).applyInPandas(run, schema)
-    return scored.withColumn("train_tokens", F.lit(counts.tokens).cast("long"))
+    documents = classed(blocks, counted, counts)
+    weights = trained(documents, counts, hidden, passes)
+    return scored(documents, weights).withColumn("train_tokens", F.lit(counts.tokens).cast("long"))
 
 
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -83,17 +83,18 @@ def test_counts_and_probabilities(spark, documents):
 def test_the_network_learns_from_every_training_document(documents):
     rows = [(i, "b a " * 8 if i % 40 else "x", "en", "s") for i in range(2400)]
     docs = documents(rows, ["doc_id % 10 <> 3 AS learn"]).repartition(3)
-    sequences = lm.class_sequences(docs, [7]).collect()
-    assert sum(r["n_tokens"] for r in sequences) == sum(len(t.split()) + 1 for i, t, *_ in rows if i % 10 != 3)
-    ends = sum(pa.decompress(r["classes"], r["n_tokens"], codec="zstd", asbytes=True).count(0) for r in sequences)
-    assert ends == 2160 and {r["round"] for r in sequences} == set(range(lm.ROUNDS))
+    blocks = lm.coded(docs.selectExpr("doc_id", "text", "learn"))
+    rows_of = lm.classed(blocks, *lm.word_counts(blocks)).filter("learn").collect()
+    assert sum(r["n_tokens"] for r in rows_of) == sum(len(t.split()) + 1 for i, t, *_ in rows if i % 10 != 3)
+    ends = sum(pa.decompress(r["classes"], r["n_tokens"], codec="zstd", asbytes=True).count(0) for r in rows_of)
+    assert ends == 2160 and {r["round"] for r in rows_of} == set(range(lm.ROUNDS))
 
 
 def test_a_round_averages_tasks_by_their_tokens(spark):
     def row(n, c):
-        return 0, n, pa.compress(bytes([c] * (n - 1) + [0]), codec="zstd", asbytes=True)
+        return n, pa.compress(bytes([c] * (n - 1) + [0]), codec="zstd", asbytes=True)
 
-    schema = "round int, n_tokens long, classes binary"
+    schema = "n_tokens long, classes binary"
     rows = [row(900, 5), row(300, 9)]
     start = gru.initial(lm.CLASSES, 4, 0)
     alone = [gru.packed(lm.trained_round(spark.createDataFrame([r], schema).coalesce(1), start, 0.01)) for r in rows]
@@ -102,6 +103,43 @@ def test_a_round_averages_tasks_by_their_tokens(spark):
     assert not np.allclose(alone[0], gru.packed(start), atol=1e-3)
 
 
+def test_the_score_of_whole_documents_word_by_word(documents):
+    rng = random.Random(5)
+    rows = [(i, " ".join(rng.choice(["ba", "be", "Bo", f"w{rng.randint(0, 90)}"]) for _ in range(rng.randint(0, 90))), "en", "s")
+            for i in range(120)]
+    docs = documents(rows, ["doc_id % 10 <> 0 AS learn"]).selectExpr("doc_id", "text", "learn").repartition(2)
+    blocks = lm.coded(docs)
+    counted, counts = lm.word_counts(blocks)
+    placed = lm.classed(blocks, counted, counts)
+    weights = lm.trained(placed, counts, 8, 1)
+    got = {r["doc_id"]: r["score"] for r in lm.scored(placed, weights).collect()}
+    # hash, spelling and counts of every word, one by one
+    words_of = lambda text: [*(w.encode() for w in text.lower().split()), None]
+    by_word, hashes, classes = Counter(), {}, {}
+    for i, text, *_ in rows:
+        data = np.frombuffer((text or "").encode(), np.uint8)
+        found, spelling, _ = lm.tokens(data, np.array([0, len(data)]))
+        for w, h, k in zip(words_of(text), found.view(np.int64).tolist(), spelling.tolist()):
+            hashes[w] = h
+            classes[w] = 0 if w is None else counts.frequent.index(h) + 1 if h in counts.frequent else 1 + lm.FREQUENT + k
+            by_word[w] += i % 10 != 0
+    members = {k: [w for w in by_word if classes[w] == k and by_word[w]] for k in set(classes.values())}
+    for i, text, *_ in rows:
+        state, before, total = np.zeros((1, 8), np.float32), 0, 0.0
+        for w in words_of(text):
+            k = classes[w]
+            state = gru.step(weights, state, np.array([before]))[0]
+            total += gru.log_softmax(weights, state)[0, k] / math.log(10)
+            before = k
+            if k > lm.FREQUENT:
+                size = sum(by_word[m] for m in members[k])
+                if by_word[w]:
+                    total += math.log10((by_word[w] - counts.discount) / size)
+                elif size:
+                    total += math.log10(min(max(counts.discount * len(members[k]), 0.5) / size, 1))
+        assert got[i] == pytest.approx(total, abs=1e-3, rel=1e-5)
+
+
 def test_probabilities_of_a_class_sum_to_one():
     tokens, words = np.zeros(lm.CLASSES), np.zeros(lm.CLASSES)
     tokens[100], words[100] = 10, 4
@@ -115,8 +153,9 @@ def test_probabilities_of_a_class_sum_to_one():
     for code in range(5):
         packed = pa.compress(np.array([code], np.int32).tobytes(), codec="zstd", asbytes=True)
         doc = pd.DataFrame({"doc_id": [1], "learn": [True], "n_tokens": [1], "codes": [packed]})
-        found = lm.score_block(doc, table, counts, weights)["score"][0]
-        total += 10**found
+        row = lm.block_classes(doc, table, counts).iloc[0]
+        assert pa.decompress(row["classes"], 1, codec="zstd", asbytes=True) == bytes([100])
+        total += 10 ** (row["within"] + gru.score(weights, np.array([100]), np.array([1]))[0] / np.log(10))
     of_class = np.exp(gru.score(weights, np.array([100]), np.array([1])))[0]
     assert total == pytest.approx(of_class, rel=1e-4)
 
