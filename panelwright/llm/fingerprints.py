@@ -241,7 +241,8 @@ def fingerprints(docs: DataFrame) -> DataFrame:
 
     Rows are sorted by ranges of the id, so a task sees each row's next one.
     Only the first and the last row of a task are put together with those of its
-    neighbours, in a second step over one row per task.
+    neighbours, in a second step over one row per task: each task's number is
+    joined to the next one's, and the texts by these numbers.
 
     Null texts are empty; a text without words is as alike to another as both
     have no words (1) or not (0).  A null id comes first.  Repeated rows stay
@@ -281,12 +282,14 @@ def fingerprints(docs: DataFrame) -> DataFrame:
 
     schema = f"{_RESULT}, part long, first_text string, last_id long, last_text string"
     done = landed(sorted_docs.mapInArrow(run, schema), "fingerprints")
+    ends = done.filter("part IS NOT NULL")
+    # the window orders one number per task; texts meet by a join
     by_part = Window.orderBy("part")
-    # one row per task
-    last_rows = done.filter("part IS NOT NULL").select(
-        F.col("last_id").alias("doc_id"),
-        F.col("last_text").alias("text"),
-        F.coalesce(F.lead("first_text").over(by_part), F.first("first_text").over(by_part)).alias("following"),
+    following = ends.select("part", F.coalesce(F.lead("part").over(by_part), F.first("part").over(by_part)).alias("next"))
+    heads = ends.select(F.col("part").alias("next"), F.col("first_text").alias("following"))
+    last_rows = (
+        ends.select("part", F.col("last_id").alias("doc_id"), F.col("last_text").alias("text"))
+        .join(following, "part").join(heads, "next").select("doc_id", "text", "following")
     )
 
     def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
