@@ -6,6 +6,7 @@ import gzip
 import hashlib
 import io
 from collections.abc import Iterator
+from typing import BinaryIO
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -13,10 +14,14 @@ from pyspark.sql import functions as F
 
 from panelwright.llm.tables import read
 from panelwright.session import landed, scratch_path
+from panelwright.sources.statistics import opened
 
-#: Bytes of the smallest payload that is worth a revisit record, and records of one file.
+#: Bytes of the smallest payload that is worth a revisit record.
 LEAST_PAYLOAD = 100
-RECORDS_PER_FILE = 20_000
+#: Bytes that a file's records have on average before they are compressed, and those of a record besides its payload.
+FILE_BYTES, HEAD_BYTES = 1 << 28, 600
+#: Records handed on at a time.
+BATCH = 10_000
 #: Bytes of a payload read at a time.
 CHUNK = 1 << 20
 
@@ -98,23 +103,28 @@ def write_archives(pages: DataFrame, path: str, least: int = LEAST_PAYLOAD, date
     revisits.  A null page_id is a response of its own, named ``null``; repeated
     rows give repeated records, responses all if they are those of the smallest
     id.  No rows give files without records.  Other columns are not read.
+
+    How many records a file takes follows from the mean size of the payloads.
     """
-    decided = decisions(page_headers(pages), least)
+    # written, so that payloads are hashed once for the decisions and the mean
+    headers = landed(page_headers(pages), "headers")
+    decided = decisions(headers, least)
+    mean = headers.agg(F.avg("bytes")).first()[0] or 0
     (
         records(pages, decided, date)
         .write.option("compression", "gzip")
         .option("lineSep", END)
-        .option("maxRecordsPerFile", RECORDS_PER_FILE)
+        .option("maxRecordsPerFile", max(1, int(FILE_BYTES / (mean + HEAD_BYTES))))
         .text(path)
     )
 
 
-def parse_archive(content: bytes) -> Iterator[tuple[dict[str, str], int, str]]:
+def parse_archive(content: bytes | BinaryIO) -> Iterator[tuple[dict[str, str], int, str]]:
     """(headers, bytes of the payload, SHA-256 of the payload) of every record of a gzipped archive, read as a stream.
 
-    Headers come with names in lower case.  A damaged record raises.
+    ``content`` is the archive or an open file of it.  Headers come with names in lower case.  A damaged record raises.
     """
-    with gzip.GzipFile(fileobj=io.BytesIO(content)) as stream:
+    with gzip.GzipFile(fileobj=io.BytesIO(content) if isinstance(content, bytes) else content) as stream:
         while version := stream.readline():
             if not version.startswith(b"WARC/"):
                 raise ValueError(f"not the start of a WARC record: {version[:40]!r}")
@@ -152,25 +162,33 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
     """record_id, record_type, target, refers_to_id, stated_digest, bytes and digest of every record below ``path``.
 
     ``bytes`` and ``digest`` are those of the payload that the record holds.  A
-    file is read by one task, so files are kept small when written.
+    file is read by one task, which opens it by its path and holds a chunk of it
+    and ``BATCH`` rows, whatever its size.
     """
 
+    def table(rows: list[tuple]) -> pa.RecordBatch:
+        columns = zip(*rows) if rows else [[] for _ in _RECORD]
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, _RECORD.values())], list(_RECORD))
+
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for content in batch.column("content"):
+            for place in batch.column("path").to_pylist():
                 rows = []
-                for headers, size, digest in parse_archive(content.as_py()):
-                    rows.append((
-                        headers["warc-record-id"].strip("<>"), headers["warc-type"], headers.get("warc-target-uri"),
-                        headers.get("warc-refers-to", "").strip("<>") or None,
-                        headers.get("warc-payload-digest", "").removeprefix("sha256:") or None, size, digest,
-                    ))
-                columns = zip(*rows) if rows else [[] for _ in _RECORD]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, t) for c, t in zip(columns, _RECORD.values())], list(_RECORD)
-                )
-
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.gz").load(path).select("content")
+                with opened(place) as archive:
+                    for headers, size, digest in parse_archive(archive):
+                        rows.append((
+                            headers["warc-record-id"].strip("<>"), headers["warc-type"], headers.get("warc-target-uri"),
+                            headers.get("warc-refers-to", "").strip("<>") or None,
+                            headers.get("warc-payload-digest", "").removeprefix("sha256:") or None, size, digest,
+                        ))
+                        if len(rows) == BATCH:
+                            yield table(rows)
+                            rows = []
+                yield table(rows)
+
+    # only the paths are selected, so no content is read here
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.gz").load(path).select("path")
     return files.mapInArrow(run, "record_id string, record_type string, target string, refers_to_id string, "
                                  "stated_digest string, bytes long, digest string")
 

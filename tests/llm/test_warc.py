@@ -6,7 +6,7 @@ import hashlib
 import pytest
 
 from panelwright.llm import warc
-from panelwright.session import scratch_path
+from panelwright.session import scratch_path, settings
 
 BIG = "<p>" + "ä" * 120 + "</p>"
 
@@ -57,3 +57,28 @@ def test_missing_original_and_damage(spark):
         list(warc.parse_archive(gzip.compress(whole[:-3])))
     with pytest.raises(ValueError):
         list(warc.parse_archive(gzip.compress(b"junk\r\n")))
+
+
+def test_files_are_cut_by_bytes_and_read_as_streams(spark, monkeypatch):
+    pages = spark.createDataFrame([(i, "u", f"{i:06d}" * 20_000) for i in range(40)], "page_id long, url string, html string").coalesce(1)
+    found = {}
+    for size in (warc.FILE_BYTES, 1_000_000):
+        monkeypatch.setattr(warc, "FILE_BYTES", size)
+        path = scratch_path(spark, "warc")
+        with settings(spark, spark__sql__shuffle__partitions="1"):
+            warc.write_archives(pages, path)
+        read = warc.read_archives(spark, path)
+        found[size] = sorted((r["record_id"], r["bytes"], r["digest"]) for r in read.collect())
+        files = spark.read.format("binaryFile").option("pathGlobFilter", "*.gz").load(path).select("path").count()
+        assert files == (1 if size > 1_000_000 else 5)
+        assert "content" not in read._jdf.queryExecution().executedPlan().toString().split("ReadSchema")[-1]
+    assert len(found[1_000_000]) == 40 and len({tuple(f) for f in found.values()}) == 1
+
+
+def test_more_records_than_a_batch(spark):
+    rows = [(i, "u", str(i)) for i in range(warc.BATCH + 5)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1)
+    path = scratch_path(spark, "warc")
+    with settings(spark, spark__sql__shuffle__partitions="1"):
+        warc.write_archives(pages, path)
+    assert warc.resolved(warc.read_archives(spark, path)).select("page_id").distinct().count() == len(rows)
