@@ -34,6 +34,11 @@ ASIDE_WORDS = frozenset(
 )
 #: Words before a class word that make it a statement about a layout (``has-sidebar``).
 LAYOUT_WORDS = frozenset("has with no without is not".split())
+#: First and last words of a class word that names a part of the article, whatever stands between them (``article-social-body``).
+ARTICLE_WORDS = frozenset("article body content entry main post story text".split())
+#: Beginnings and phrases of notices of rights.
+NOTICES = ("©", "(c) ", "copyright ")
+RESERVED = "all rights reserved"
 #: Elements that end an open element of the same row.
 CLOSES = {
     "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"},
@@ -43,7 +48,8 @@ CLOSES = {
 IN_HEAD = frozenset("html head base basefont bgsound link meta noframes noscript script style template title".split())
 
 FEATURES = [
-    "words", "link_density", "words_before", "link_density_before", "words_after", "link_density_after", "aside", "place",
+    "words", "link_density", "words_before", "link_density_before", "words_after", "link_density_after",
+    "element", "class_word", "place", "notice",
 ]
 
 
@@ -53,7 +59,9 @@ class Block:
 
     pieces: list[str] = field(default_factory=list)
     linked: list[str] = field(default_factory=list)
-    aside: bool = False
+    #: In an element that is never an article; under a class word of boilerplate; in the article.
+    element: bool = False
+    classed: bool = False
     main: bool = False
 
     @property
@@ -67,8 +75,8 @@ class Blocks(HTMLParser):
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
         self.blocks: list[Block] = []
-        #: Open elements, but for inline ones that change nothing: name, unseen, aside, main.
-        self.open: list[tuple[str, bool, bool, bool]] = [("", False, False, False)]
+        #: Open elements, but for inline ones that change nothing: name, unseen, element, classed, main.
+        self.open: list[tuple[str, bool, bool, bool, bool]] = [("", False, False, False, False)]
         self.names: Counter[str] = Counter()
         self.in_link = False
         self.current: Block | None = None
@@ -94,14 +102,18 @@ class Blocks(HTMLParser):
         if tag in VOID or (inline and not attrs):
             return
         before = self.open[-1][1:]
-        unseen, aside, main = before
+        unseen, element, classed, main = before
         is_main = tag in MAIN or any(n == "role" and v == "main" for n, v in attrs)
         unseen = unseen or tag in UNSEEN
-        aside = aside or (tag in ASIDE and not (tag == "header" and main))
-        # the class of a page or of its article is about the layout
-        if tag not in ("html", "body") and not (is_main and not main):
-            aside = aside or is_aside(attrs)
-        state = (unseen, aside, main or is_main)
+        element = element or (tag in ASIDE and not (tag == "header" and main)) or any(
+            n == "role" and v in ASIDE_ROLES for n, v in attrs
+        )
+        if is_main and not main:
+            # classes of the article and of what holds it are about the layout
+            classed = False
+        elif tag not in ("html", "body"):
+            classed = classed or has_aside_word(attrs)
+        state = (unseen, element, classed, main or is_main)
         if inline and state == before:
             return
         if state != before:
@@ -146,31 +158,36 @@ class Blocks(HTMLParser):
     def handle_data(self, data: str) -> None:
         if self.open[-1][0] == "head" and not data.isspace():
             self.close_element("head")
-        _, unseen, aside, main = self.open[-1]
+        _, unseen, element, classed, main = self.open[-1]
         if unseen:
             return
         if self.current is None:
             if data.isspace():
                 return
-            self.current = Block(aside=aside, main=main)
+            self.current = Block(element=element, classed=classed, main=main)
             self.blocks.append(self.current)
         self.current.pieces.append(data)
         if self.in_link:
             self.current.linked.append(data)
 
 
-def is_aside(attrs: list[tuple[str, str | None]]) -> bool:
+def has_aside_word(attrs: list[tuple[str, str | None]]) -> bool:
+    """Whether a class or an id names boilerplate, and neither a layout nor a part of the article."""
     for name, value in attrs:
-        if name == "role" and value in ASIDE_ROLES:
-            return True
         if name in ("class", "id") and value:
             for token in value.lower().split():
                 parts = token.replace("_", "-").split("-")
-                if parts[0] not in LAYOUT_WORDS and not ASIDE_WORDS.isdisjoint(parts):
+                inside = parts[0] in ARTICLE_WORDS and parts[-1] in ARTICLE_WORDS
+                if parts[0] not in LAYOUT_WORDS and not inside and not ASIDE_WORDS.isdisjoint(parts):
                     return True
     return False
 
 
+def is_notice(text: str) -> bool:
+    start = text[:200].lower()
+    return start.startswith(NOTICES) or RESERVED in start
+
+
 def page_blocks(html: str | None) -> tuple[list[str], np.ndarray]:
     """Texts and features of a page's blocks.  A null page has none."""
     parser = Blocks()
@@ -182,36 +199,62 @@ def page_blocks(html: str | None) -> tuple[list[str], np.ndarray]:
     words = np.array([len(text.split()) for text in texts], float)
     linked = np.array([len("".join(b.linked).split()) for b, _ in blocks], float)
     density = linked / np.maximum(words, 1)
-    has_main = any(b.main and not b.aside for b, _ in blocks)
+    has_main = any(b.main and not (b.element or b.classed) for b, _ in blocks)
     before, after = (lambda x: np.r_[0.0, x[:-1]] if len(x) else x), (lambda x: np.r_[x[1:], 0.0] if len(x) else x)
     columns = [
         words, density, before(words), before(density), after(words), after(density),
-        np.array([b.aside for b, _ in blocks], float),
+        np.array([b.element for b, _ in blocks], float),
+        np.array([b.classed for b, _ in blocks], float),
         np.array([(1 if b.main else -1) if has_main else 0 for b, _ in blocks], float),
+        np.array([is_notice(text) for text in texts], float),
     ]
     return texts, np.stack(columns, axis=1) if texts else np.empty((0, len(FEATURES)))
 
 
-#: The labelled table: blocks of invented pages of several layouts; ``+`` before a block marks main text.
-#: A line is a block: its label, its place (article, plain or aside), its words and its linked words.
+#: The labelled table: blocks of invented pages of several layouts, one page a line; ``+`` marks main text.
+#: A block is its label, its place, its words and its linked words.  Places: ``article``, ``outside`` of the page's article,
+#: ``plain`` (a page without one), each with ``.element`` (navigation, footer, ...), ``.class`` (a class word) or ``.notice``.
 LABELLED = """
-- aside 1 1 | - aside 1 1 | - aside 2 2 | - aside 9 0 | + article 8 0 | + article 41 0 | + article 120 2 | - aside 14 0
-- aside 3 3 | - aside 25 0 | + article 5 0 | + article 1 0 | + article 300 0 | + article 3 3 | + article 17 4 | - aside 60 2
-- outside 12 0 | + article 9 0 | + article 2 0 | + article 75 0 | - aside 80 1 | - aside 45 0 | - outside 30 0 | - outside 6 6
-- outside 2 2 | - outside 150 0 | + article 12 0 | + article 33 33 | + article 4 0 | - aside 5 0 | - outside 40 3 | - aside 2 1
-- plain 1 1 | - plain 2 2 | - plain 1 1 | + plain 7 0 | + plain 90 1 | + plain 64 0 | + plain 12 0 | + plain 55 0 | - plain 4 4
-- plain 3 3 | - plain 5 5 | + plain 9 0 | + plain 130 6 | + plain 22 0 | + plain 48 0 | - plain 2 1 | - plain 6 5 | - plain 1 1
-- aside 4 0 | + plain 35 0 | + plain 3 0 | + plain 18 2 | + plain 200 0 | - aside 110 0 | - aside 7 7 | - aside 19 0 | - plain 3 3
-- plain 2 2 | - plain 8 8 | + plain 15 0 | + plain 28 0 | - aside 22 4 | + plain 6 0 | + plain 70 1 | - plain 10 9 | - plain 2 2
-+ plain 11 0 | + plain 2 0 | + plain 1 0 | - aside 3 0 | + plain 400 0 | + plain 5 0 | - aside 1 0 | - aside 250 0
-+ article 2 0 | + article 1 0 | - outside 1 0 | - outside 500 0 | + article 6 0 | + article 650 20 | - aside 700 0
+- outside.element 1 1 | - outside.element 1 1 | - outside.class 9 0 | + article 8 0 | + article 41 0 | + article 120 2 | - outside.element 14 0
+- outside.element 3 3 | - outside.class 25 0 | + article 5 0 | + article 1 0 | + article 300 0 | + article 3 3 | + article 17 4 | - outside.class 60 2
+- outside 12 0 | + article 9 0 | + article 2 0 | + article 75 0 | - outside.class 80 1 | - outside 45 0 | - outside 30 0 | - outside 6 6
+- outside 2 2 | - outside 150 0 | + article 12 0 | + article 33 33 | + article 4 0 | - article.element 5 0 | - outside 40 3 | - outside.notice 8 1
++ article 2 0 | + article 1 0 | - outside 1 0 | - outside 500 0 | + article 6 0 | + article 650 20 | - outside.class 700 0 | - outside.notice 6 0
++ article 6 6 | + article 1 1 | + article 2 2 | + article 90 0 | + article 4 4 | + article 5 5 | - article.class 1 0 | + article 14 0
++ article 3 0 | + article.notice 9 0 | + article 11 0 | - article.class 60 0 | - article.class 6 6 | + article 22 22 | - article.element 3 2
++ article 7 0 | + article 3 3 | + article 1 1 | + article 8 8 | + article 12 12 | + article 2 2 | + article 30 15 | + article.notice 4 0 | + article.notice 40 3
++ article 40 0 | + article 1 1 | + article 2 2 | + article 1 1 | + article 9 9 | + article.notice 6 6 | + article 26 18 | + article 60 60 | + article 1 0
++ article 5 5 | + article 2 1 | + article 3 2 | + article 18 9 | + article 7 7 | + article 200 110 | + article 4 4 | + article.notice 11 1 | + article 2 2
+- outside 30 6 | - outside 45 9 | - outside 5 5 | - outside 60 30 | - outside 4 4 | - outside 50 0 | - outside 90 50 | - outside 40 40 | + article 30 0
+- outside 8 8 | - outside 40 12 | - outside 7 2 | - outside 80 0 | + article 50 0 | - outside 28 20 | - outside 33 0 | - outside 6 6 | - outside 35 10 | - outside.notice 30 3
+- plain 3 3 | - plain 6 0 | - plain 40 38 | - plain 30 28 | + plain 45 12 | + plain 8 0 | + plain 60 15 | + plain 50 0 | + plain 4 4 | + plain 37 9 | + plain 29 0
++ plain 12 0 | + plain 80 20 | + plain 3 3 | + plain 90 0 | + plain 34 4 | - plain 5 0 | - plain 27 27 | - plain 35 33 | - plain 8 8
+- article.class 2 2 | - article.class 30 0 | + article 8 8 | + article 70 0 | - article.class 7 7 | - article.class 16 0 | - article.class 250 4 | + article 6 5
+- article.element 6 6 | - article.element 40 0 | + article 2 2 | + article 35 0 | - article.element 2 0 | - article.element 120 3 | - article.element 5 5
+- article.element 18 0 | + article 4 0 | + article 3 3 | - article.class 3 0 | + article 90 0 | - article.class 45 1 | - article.element 70 0 | - article.element 1 1
+- plain.element 60 0 | - plain.element 4 0 | + plain 10 0 | + plain 75 0 | + plain 50 1 | - plain.element 33 0 | - plain.element 200 5 | - plain.element 16 0
+- plain.class 20 0 | - plain.class 65 2 | + plain 6 0 | + plain 110 0 | + plain 20 0 | - plain.class 48 0 | - plain.class 8 0 | - plain.notice 15 0 | - plain.notice 30 1
+- plain.element 2 2 | - plain.element 2 2 | + plain 9 0 | + plain 52 0 | + plain 4 0 | - plain.element 25 3 | - plain.class 31 0 | - plain.class 140 0
+- plain 1 1 | - plain 2 2 | - plain 1 1 | + plain 7 0 | + plain 90 1 | + plain 64 0 | + plain 12 0 | + plain 55 0 | - plain 4 4 | - plain.notice 7 0
+- plain 3 3 | - plain 5 5 | + plain 9 0 | + plain 130 6 | + plain 22 0 | + plain 48 0 | - plain 2 0 | - plain 6 6 | - plain 1 1 | - plain.notice 5 0
+- plain.class 4 0 | + plain 35 0 | + plain 3 0 | + plain 18 2 | + plain 200 0 | - plain.class 110 0 | - plain.element 7 7 | - plain 3 0 | - plain 3 3
+- plain 2 2 | - plain 8 8 | - plain 1 0 | - plain 2 2 | + plain 15 0 | + plain 28 0 | + plain 6 0 | + plain 70 1 | - plain 4 0 | - plain 10 9 | - plain 2 2
++ plain 11 0 | + plain 2 0 | + plain 1 0 | - plain.class 3 0 | + plain 400 0 | + plain 5 0 | - plain.class 1 0 | - plain.notice 12 0
++ plain 8 0 | + plain 44 0 | + plain 6 6 | + plain 61 2 | + plain 38 0 | + plain 9 9 | + plain 80 0 | - plain 3 0 | - plain 5 5 | - plain 7 7 | - plain 6 6
+- plain 1 1 | - plain 1 1 | - plain 1 0 | - plain 1 1 | + plain 10 0 | + plain 72 0 | + plain 5 5 | + plain 33 0 | - plain 4 0 | - plain 9 9 | - plain 8 8
+- plain 2 2 | + plain 6 0 | + plain 24 0 | + plain 31 8 | + plain 12 12 | + plain 40 0 | + plain 19 0 | - plain 2 0 | - plain 4 3 | - plain 12 11 | - plain.notice 20 2
++ plain 1 0
++ plain 30 0 | + plain 2 0 | + plain 3 0 | + plain 1 0
++ plain 60 0 | - plain 1 1 | - plain 1 1
++ plain 9 0 | + plain 55 0 | + plain 12 0 | - plain 1 1 | - plain 2 2 | - plain 6 0 | - plain 9 9
++ plain 40 0 | + plain 11 0 | - plain 3 3 | - plain 3 3
 """
 
 
-def labelled_table() -> tuple[np.ndarray, np.ndarray]:
-    """Features and labels of the labelled blocks; every line is a page."""
+def block_rows(table: str) -> tuple[np.ndarray, np.ndarray]:
+    """Features and labels of the blocks of a labelled table."""
     features, labels = [], []
-    for line in LABELLED.strip().splitlines():
+    for line in table.strip().splitlines():
         blocks = [block.split() for block in line.split("|")]
         words = [float(b[2]) for b in blocks]
         density = [float(b[3]) / float(b[2]) for b in blocks]
@@ -220,12 +263,18 @@ def labelled_table() -> tuple[np.ndarray, np.ndarray]:
                 words[i - 1] if i else 0, density[i - 1] if i else 0,
                 words[i + 1] if i + 1 < len(blocks) else 0, density[i + 1] if i + 1 < len(blocks) else 0,
             ]
-            inside = {"article": 1.0, "outside": -1.0}.get(place, 0.0)
-            features.append([words[i], density[i], *neighbours, float(place == "aside"), inside])
+            where, _, what = place.partition(".")
+            inside = {"article": 1.0, "outside": -1.0, "plain": 0.0}[where]
+            features.append([words[i], density[i], *neighbours, float(what == "element"), float(what == "class"), inside, float(what == "notice")])
             labels.append(label == "+")
     return np.array(features), np.array(labels)
 
 
+def labelled_table() -> tuple[np.ndarray, np.ndarray]:
+    """Features and labels of the labelled blocks."""
+    return block_rows(LABELLED)
+
+
 @dataclass
 class Tree:
     """A fitted decision tree as arrays: children and a threshold for each node, -1 as feature of a leaf."""
@@ -245,7 +294,7 @@ class Tree:
         return self.share[node] > 0.5
 
 
-def fit_tree(rows: np.ndarray, labels: np.ndarray, depth: int = 6, least: int = 2) -> Tree:
+def fit_tree(rows: np.ndarray, labels: np.ndarray, depth: int = 9, least: int = 2) -> Tree:
     """A classification tree by the Gini index; ties go to the first feature and the lowest threshold."""
     nodes: list[list[float]] = []
 
@@ -281,8 +330,9 @@ def main_text(pages: DataFrame, html: str = "html") -> DataFrame:
 
     Each page is cut into flat text blocks at the borders of block elements.  A
     block is described by its words, its link density, those of its neighbours,
-    whether it stands in an element that is never an article, and whether inside
-    or outside the page's article; the tree decides which blocks are main text.  Character
+    whether it stands in an element that is never an article, under a class word
+    of boilerplate, inside or outside the page's article, and whether it is a
+    notice of rights; the tree decides which blocks are main text.  Character
     references are decoded, white space inside a block becomes one space, and
     blocks are joined by one space.
 

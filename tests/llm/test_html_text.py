@@ -1,7 +1,9 @@
 from __future__ import annotations
 
+import itertools
 import random
 
+import numpy as np
 import pytest
 
 from panelwright.llm import html_text
@@ -19,6 +21,58 @@ def test_the_tree_fits_its_table():
     assert (TREE.predict(rows) == labels).all()
 
 
+#: Blocks of pages that the tree has not seen, in the form of its table.
+UNSEEN = """
+- plain 2 2 | - plain 3 3 | + plain 6 0 | + plain 77 2 | + plain 41 0 | - plain 3 0 | - plain 7 7 | - plain 9 8 | - plain.notice 8 0
+- outside.element 1 1 | + article 7 0 | + article 5 5 | + article 88 3 | - article.class 12 0 | - outside 40 0 | - outside.notice 9 0
+- plain 1 1 | - plain 4 0 | - plain 5 5 | + plain 10 0 | + plain 33 3 | + plain 8 8 | + plain 54 0 | + plain 25 0 | - plain 2 0 | - plain 4 4 | - plain 5 4
+- plain.class 15 0 | + plain 66 0 | + plain 14 0 | + plain 120 9 | - plain.element 12 2 | - plain 6 6 | - plain 2 2
++ plain 12 0 | + plain 49 0 | + plain 7 7 | + plain 95 4 | - plain 4 0 | - plain 8 8 | - plain 7 7 | - plain 9 9
+- plain 3 3 | - plain 2 0 | - plain 3 3 | - plain 1 1 | + plain 11 0 | + plain 58 0 | + plain 21 1 | - plain 5 5
+"""
+
+
+def test_words_and_neighbours_decide():
+    rows, labels = html_text.block_rows(UNSEEN)
+    right = (TREE.predict(rows) == labels).mean()
+    assert right > 0.95
+    used = {html_text.FEATURES[f] for f in TREE.feature if f >= 0}
+    assert {"words", "link_density", "words_after", "link_density_after"} <= used
+    rng = np.random.default_rng(4)
+    for group in (["words"], ["link_density"], ["words_after", "link_density_after"]):
+        wrong = rows.copy()
+        at = [html_text.FEATURES.index(name) for name in group]
+        losses = []
+        for _ in range(50):
+            wrong[:, at] = rows[rng.permutation(len(rows))][:, at]
+            losses.append(right - (TREE.predict(wrong) == labels).mean())
+        assert np.mean(losses) > 0.01, group
+
+
+def test_the_article_is_kept_and_what_is_around_it_goes_whatever_their_words():
+    grid = np.array(list(itertools.product([1, 8, 30, 500], [0, 0.5, 1], [0, 8, 500], [0, 1], [0, 2, 40, 500], [0, 0.3, 1])), float)
+    state = lambda *values: np.c_[grid, np.tile(values, (len(grid), 1))]
+    assert TREE.predict(state(0, 0, 1, 0)).all() and TREE.predict(state(0, 0, 1, 1)).all()
+    for around in [(0, 0, -1, 0), (0, 0, -1, 1), (1, 0, -1, 0), (0, 1, -1, 0), (1, 0, 1, 0), (0, 1, 1, 0), (1, 0, 0, 0), (0, 1, 0, 0)]:
+        assert not TREE.predict(state(*around)).any()
+
+
+LONG = "<p>" + "word " * 40 + "</p>"
+
+
+@pytest.mark.parametrize("page,expected", [
+    (f"{LONG}<p>Copyright 2020 Example. All rights reserved.</p>", ("word " * 40).strip()),
+    (f"{LONG}<div>You may also like</div><div><a href=x>Ten tips for a garden</a></div>", ("word " * 40).strip()),
+    ("<article><div class='article-social-body'><p>kept text</p></div></article>", "kept text"),
+    ("<div id='share'><article><p>kept text</p></article></div>", "kept text"),
+    ("<article><p>kept</p><div class='article-comments'><p>first!</p></div></article><div class='sidebar-content'>no</div>", "kept"),
+    ("<aside><article><p>teaser</p></article></aside><main><p>kept</p></main>", "kept"),
+    (f"{LONG}<p><a href=x>see the list</a></p>{LONG}", " ".join(["word"] * 40 + ["see the list"] + ["word"] * 40)),
+])
+def test_layouts(page, expected):
+    assert text(page) == expected
+
+
 @pytest.mark.parametrize("page,expected", [
     (None, ""), ("", ""), ("   ", ""), ("<html><body></body></html>", ""),
     ("<nav><a href='/'>Home</a></nav><article><h1>Title</h1><p>One  two\n three</p></article><footer>x</footer>", "Title One two three"),
