@@ -57,8 +57,9 @@ def test_run_and_registry(spark, folder):
     found = corpus_pipeline.run(spark, folder)
     again = corpus_pipeline.run(spark, folder)
     assert found.count() > 300 and found.exceptAll(again).isEmpty()
-    assert set(QUERIES) | {"pipeline"} <= set(queries()) and len(QUERIES) == 10
-    assert {"op2_mixing", "op4_top_k", "op6_near_duplicates", "op7_warc"} <= set(oracle_sql())
+    assert set(QUERIES) | {"pipeline"} <= set(queries()) and len(QUERIES) == 13
+    with_sql = {"op2_mixing", "op4_top_k", "op6_near_duplicates", "op7_warc", "op11_line_rules", "op12_variants", "op13_filter_audit"}
+    assert with_sql <= set(oracle_sql())
 
 
 def test_empty_tables(spark, documents, tmp_path):
