@@ -14,14 +14,12 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, IntegerType, StructField, StructType
+from pyspark.sql.types import DoubleType, IntegerType, LongType, StructField, StructType
 
 from panelwright.llm import hashing
 from panelwright.llm.tables import crc_mod, read
 from panelwright.session import landed
 
-#: Labelled documents that a model is trained on at most: those with the smallest hashes of their ids.
-TRAINING_DOCUMENTS = 50_000
 #: Log-likelihood ratio from which a word counts as a sign of a class, and the least documents of the class that hold it.
 EVIDENCE = 20.0
 LEAST_DOCUMENTS = 3
@@ -240,32 +238,36 @@ class Toxicity:
         return 1 / (1 + np.exp(-np.clip(self.intercept + self.slope * self.evidence(texts), -30, 30)))
 
 
-def fit_line(evidence: np.ndarray, labels: np.ndarray, prior: float) -> tuple[float, float]:
-    """Slope and intercept of a logistic regression on one number, by Newton steps, drawn towards (1, prior)."""
-    x = np.stack([evidence, np.ones_like(evidence)], axis=1)
+def fit_line(sums: DataFrame, prior: float) -> tuple[float, float]:
+    """Slope and intercept of a logistic regression on one number, by Newton steps, drawn towards (1, prior).
+
+    ``sums`` has evidence, label and count.  Every step is one aggregation, of which five numbers come to the driver.
+    """
+    x, label, times = F.col("evidence"), F.col("label"), F.col("count")
     start = np.array([1.0, prior])
     line = start.copy()
     for _ in range(50):
-        p = 1 / (1 + np.exp(-np.clip(x @ line, -30, 30)))
-        gradient = x.T @ (labels - p) - FAITH * (line - start)
-        step = np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + FAITH * np.eye(2), gradient)
+        logit = F.greatest(F.lit(-30.0), F.least(F.lit(30.0), x * float(line[0]) + float(line[1])))
+        p = 1 / (1 + F.exp(-logit))
+        missed, bend = (label - p) * times, p * (1 - p) * times
+        found = sums.agg(F.sum(missed * x), F.sum(missed), F.sum(bend * x * x), F.sum(bend * x), F.sum(bend)).first()
+        slope, level, xx, xy, yy = found
+        gradient = np.array([slope, level]) - FAITH * (line - start)
+        step = np.linalg.solve(np.array([[xx, xy], [xy, yy]]) + FAITH * np.eye(2), gradient)
         line += np.clip(step, -1, 1)
         if np.abs(step).max() < 1e-9:
             break
     return float(line[0]), float(line[1])
 
 
-def training_rows(docs: DataFrame, labels: DataFrame, label: str, documents: int) -> DataFrame:
-    """toxic, text of at most ``documents`` labelled rows, one of each family of near copies.
+def training_rows(docs: DataFrame, labels: DataFrame, label: str) -> DataFrame:
+    """label, text of all labelled rows, one of each family of near copies: that with the least id.
 
-    The ids are a bounded sample, so they are broadcast and no text is shuffled for the join.
+    Families are told on rows without their texts, so the texts are shuffled once, to the rows chosen.
     """
-    chosen = (
-        labels.select("doc_id", F.col(label).cast("int").alias("label"))
-        .filter("doc_id IS NOT NULL AND label IN (0, 1)")
-        .orderBy(F.xxhash64("doc_id"), "doc_id")
-        .limit(documents)
-    )
+    marked = labels.select("doc_id", F.col(label).cast("int").alias("label")).filter("doc_id IS NOT NULL AND label IN (0, 1)")
+    # an id may stand for several texts
+    texts = docs.filter("doc_id IS NOT NULL AND text IS NOT NULL").select("doc_id", F.xxhash64("text").alias("digest"), "text")
 
     def family(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """The least hash of a text's 3-word shingles: near copies mostly share it."""
@@ -277,16 +279,23 @@ def training_rows(docs: DataFrame, labels: DataFrame, label: str, documents: int
                 found = np.full(len(cuts) - 1, ~np.uint64(0), np.uint64)
                 np.minimum.at(found, owner, values)
                 least[first : first + len(found)] = found
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(least.view(np.int64))], ["label", "text", "family"])
+            yield pa.RecordBatch.from_arrays(
+                [*batch.select(["doc_id", "digest"]).columns, pa.array(least.view(np.int64))], ["doc_id", "digest", "family"]
+            )
 
-    rows = docs.join(F.broadcast(chosen), "doc_id").select("label", "text").filter("text IS NOT NULL")
-    return landed(
-        rows.mapInArrow(family, "label int, text string, family long").dropDuplicates(["family", "label"]), "training"
+    kinds = texts.schema
+    families = texts.mapInArrow(family, StructType([kinds["doc_id"], kinds["digest"], StructField("family", LongType())]))
+    chosen = (
+        families.join(marked, "doc_id")
+        .groupBy("family", "label").agg(F.min(F.struct("doc_id", "digest")).alias("least"))
+        .groupBy("least.doc_id", "least.digest").agg(F.collect_set("label").alias("labels"))
     )
+    rows = texts.join(chosen, ["doc_id", "digest"]).dropDuplicates(["doc_id", "digest"])
+    return landed(rows.select(F.explode("labels").alias("label"), "text"), "training")
 
 
-def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", documents: int = TRAINING_DOCUMENTS) -> Toxicity:
-    """The model of the labelled documents; ``labels`` must hold training rows only.
+def train(docs: DataFrame, labels: DataFrame, label: str = "toxic") -> Toxicity:
+    """The model of all labelled documents; ``labels`` must hold training rows only.
 
     Passes of Spark over the training rows count the letter trigrams and, in
     texts restored with them, the documents of each class that hold a feature; a
@@ -294,7 +303,7 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", documents: i
     Without rows of both classes nothing is learned and every score is the same:
     near 1 for toxic rows only, below 0.5 for clean ones or none.
     """
-    rows = training_rows(docs, labels, label, documents)
+    rows = training_rows(docs, labels, label)
 
     def trigrams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: dict[str, int] = {}
@@ -351,18 +360,9 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", documents: i
                 [pa.array(raw.evidence(batch.column("text"))), batch.column("label")], ["evidence", "label"]
             )
 
-    # one row per distinct sum and label, so no more than the bounded training rows
-    sums = (
-        rows.mapInArrow(evidence, "evidence double, label int")
-        .groupBy(F.round("evidence", 6).alias("evidence"), "label")
-        .count()
-        .orderBy("evidence", "label")
-        .collect()
-    )
-    times = np.array([r["count"] for r in sums])
-    slope, intercept = fit_line(
-        np.repeat([r["evidence"] for r in sums], times), np.repeat([r["label"] for r in sums], times).astype(float), prior
-    )
+    # one row per distinct sum and label
+    sums = rows.mapInArrow(evidence, "evidence double, label int").groupBy(F.round("evidence", 6).alias("evidence"), "label").count()
+    slope, intercept = fit_line(landed(sums, "sums"), prior)
     return Toxicity(model, raw.weights, slope, intercept)
 
 

@@ -106,3 +106,31 @@ def test_features_of_texts():
     names, owner, feature = toxicity.occurrences(pa.array(["Ab, ab. x", None, "c c c d", ""]), model, None)
     found = {(int(o), names[f]) for o, f in zip(owner, feature)}
     assert (0, "ab") in found and {o for o, _ in found} <= {0, 2} and len(found) == len(owner)
+
+
+def test_all_labelled_rows_are_learned_from(spark):
+    rows = 54_000
+    docs = spark.range(rows).selectExpr("id AS doc_id", "concat('river ', id, ' stone ', id * 7) AS text")
+    labels = docs.selectExpr("doc_id", "int(doc_id % 3 = 0) AS toxic")
+    model = toxicity.train(docs, labels)
+    assert model.letters.trigrams["^^r"] == model.letters.trigrams["ne$"] == rows
+
+
+def test_training_rows(documents, spark):
+    near = [(i, f"{'the same words of all of them ' * 3}", "en", "s") for i in (7, 3, 5)]
+    other = [(8, "one two three", "en", "s"), (8, "four five six", "en", "s"), (8, "four five six", "en", "s"), (9, None, "en", "s"),
+             (None, "a b c d", "en", "s"), (10, "seven eight nine", "en", "s")]
+    labels = spark.createDataFrame([(7, 1), (3, 0), (5, 0), (5, 1), (8, 1), (8, 1), (8, 0), (9, 1), (None, 1), (10, None)], "doc_id long, toxic int")
+    got = sorted(tuple(r) for r in toxicity.training_rows(documents(near + other), labels, "toxic").collect())
+    texts = ["four five six", "one two three", near[0][1]]
+    assert got == [(label, text) for label in (0, 1) for text in texts]
+
+
+def test_line(spark):
+    """The line is the one of Newton steps on rows held in memory."""
+    rng = random.Random(3)
+    rows = [(round(rng.gauss(2.0 * y - 1, 1.5), 1), y, rng.randint(1, 9)) for y in (0, 0, 0, 1) for _ in range(60)]
+    slope, intercept = toxicity.fit_line(spark.createDataFrame(rows, "evidence double, label int, count long"), -1.0)
+    p = lambda x: 1 / (1 + math.exp(-(intercept + slope * x)))
+    assert sum(n * (y - p(x)) * x for x, y, n in rows) == pytest.approx(toxicity.FAITH * (slope - 1), abs=1e-6)
+    assert sum(n * (y - p(x)) for x, y, n in rows) == pytest.approx(toxicity.FAITH * (intercept + 1), abs=1e-6)
