@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import math
 import random
+import tracemalloc
 from collections import Counter
 
 import numpy as np
@@ -43,6 +44,32 @@ def test_scores_are_those_of_single_steps():
     assert len(gru.score(weights, np.empty(0, int), np.empty(0, int))) == 0
 
 
+def test_scoring_holds_few_documents_at_a_time():
+    rng = np.random.default_rng(4)
+    weights = gru.initial(20, 8, 0)
+    docs = [np.r_[rng.integers(1, 20, n), 0] for n in rng.integers(0, 90, 6 * gru.BESIDE)]
+    line, lengths = np.concatenate(docs), np.array([len(d) for d in docs])
+    tracemalloc.start()
+    got = gru.score(weights, line, lengths)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    alone = np.concatenate([gru.score(weights, d, np.array([len(d)])) for d in docs[:: 97]])
+    assert got[::97] == pytest.approx(alone, abs=1e-3)
+    # a window of the states of all of them alone is more
+    assert peak < len(docs) * gru.WINDOW * 9 * 4
+
+
+def test_windows_share_their_arrays():
+    rng = np.random.default_rng(5)
+    weights = gru.initial(20, 8, 0)
+    room = gru._room(weights, 6, 5)
+    for _ in range(2):
+        inputs, targets = rng.integers(0, 20, (6, 5)).astype(np.uint8), rng.integers(0, 20, (6, 5)).astype(np.uint8)
+        given = (weights, rng.normal(size=(5, 8)).astype(np.float32), inputs, targets, (inputs != 0).astype(np.float32))
+        (loss, gradient, last), (again, same, after) = gru._window_gradient(*given), gru._window_gradient(*given, room)
+        assert loss == again and np.array_equal(last, after) and all(np.array_equal(gradient[n], same[n]) for n in weights)
+
+
 def test_training_learns_a_pattern():
     docs = [np.array([1, 2, 3] * 20 + [0]) for _ in range(40)]
     weights = gru.train(docs, 5, hidden=8, epochs=80)
