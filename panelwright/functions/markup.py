@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import lru_cache
 from html.entities import html5
 
@@ -22,6 +23,11 @@ def _named() -> str:
     return "\x01".join(f"{n}\x02{names[n]}" for n in dict.fromkeys([*_USUAL, *sorted(names)]))
 
 
+def _once(value: Column, body: Callable[[Column], Column]) -> Column:
+    """What ``body`` makes of a value that it names several times, with the value worked out once."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def _character(reference: Column) -> Column:
     """The character of one reference; an unknown one stays as it is."""
     named = F.str_to_map(F.lit(_named()), F.lit("\x01"), F.lit("\x02"))
@@ -35,18 +41,21 @@ def _character(reference: Column) -> Column:
     return F.coalesce(numeric, named[F.substring_index(body, ";", 1)], reference)
 
 
-def unescape(text: Column | str) -> Column:
-    """Text with its character references decoded, once: numeric ones and all named ones that end in a semicolon."""
-    t = _col(text)
+def _decoded(t: Column) -> Column:
     found = F.transform(F.regexp_extract_all(t, F.lit(_REFERENCE), F.lit(0)), _character)
     between = F.split(t, _REFERENCE, -1)
     decoded = F.array_join(F.zip_with(between, F.concat(found, F.array(F.lit(""))), lambda a, b: F.concat(a, b)), "")
     return F.when(t.contains("&"), decoded).otherwise(t)
 
 
+def unescape(text: Column | str) -> Column:
+    """Text with its character references decoded, once: numeric ones and all named ones that end in a semicolon."""
+    return _once(_col(text), _decoded)
+
+
 def clean(text: Column | str) -> Column:
     """Unescaped, trimmed text; NULL where nothing is left."""
-    return F.nullif(F.trim(unescape(text)), F.lit(""))
+    return _once(F.trim(unescape(text)), lambda t: F.when(t != "", t))
 
 
 def first_match(html: Column | str, pattern: str) -> Column:
@@ -77,8 +86,7 @@ def open_tag(tag: str, token: str, attribute: str = "class") -> str:
 
 def division(html: Column | str, id: str) -> Column:
     """The first ``div`` of that id with all it contains, without its end tag; NULL if there is none."""
-    rest = F.get(F.split(F.concat(F.lit(" "), _col(html)), f"(?={open_tag('div', id, 'id')})", 2), F.lit(1))
-    parts = F.split(rest, r"(?=</?div\b)", -1)
+    rest = F.regexp_extract(_col(html), f"(?s){open_tag('div', id, 'id')}.*", 0)
     start = F.struct(F.lit(0).alias("depth"), F.lit(0).alias("n"), F.lit(False).alias("done"))
 
     def follow(state: Column, part: Column) -> Column:
@@ -87,9 +95,12 @@ def division(html: Column | str, id: str) -> Column:
             F.struct(depth.alias("depth"), (state["n"] + 1).alias("n"), (depth <= 0).alias("done"))
         )
 
-    # the part that holds the end tag also holds what follows it
-    inside = F.aggregate(parts, start, follow, lambda state: state["n"] - state["done"].cast("int"))
-    return F.array_join(F.slice(parts, F.lit(1), inside), "")
+    def inside(parts: Column) -> Column:
+        # the part that holds the end tag also holds what follows it
+        n = F.aggregate(parts, start, follow, lambda state: state["n"] - state["done"].cast("int"))
+        return F.array_join(F.slice(parts, F.lit(1), n), "")
+
+    return _once(rest, lambda r: F.when(r != "", _once(F.split(r, r"(?=</?div\b)", -1), inside)))
 
 
 def label_values(html: Column | str, pattern: str) -> Column:

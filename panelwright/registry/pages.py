@@ -81,7 +81,7 @@ FROM ({_RAW})"""
 
 
 def listing_page_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return p.listing_fields(derived(spark, sf_dir, _DETAIL_PAGES))
+    return p.listing_fields(derived(spark, sf_dir, _DETAIL_PAGES, long_by_row=True))
 
 
 _LISTING_PAGE_FIELDS = f"""SELECT id, nullif(trim(province), '') AS province, listprice, date_added,

@@ -32,13 +32,22 @@ def r(expression: str, digits: int = 4) -> str:
     return f"round(cast({expression} AS DECIMAL(38,{digits + 4})), {digits})::DOUBLE"
 
 
-def derived(spark: SparkSession, sf_dir: str, text: str) -> DataFrame:
+def spread(df: DataFrame) -> DataFrame:
+    """The rows of a scan, dealt to as many tasks as a shuffle has, where it has fewer.
+
+    For work that takes long by row: a file of narrow rows is few splits, however many rows it holds.
+    """
+    width = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df if df.rdd.getNumPartitions() >= width else df.repartition(width)
+
+
+def derived(spark: SparkSession, sf_dir: str, text: str, long_by_row: bool = False) -> DataFrame:
     """An input table derived from the benchmark tables by a SQL text that both engines accept.
 
-    Tables are written ``{orders}`` in the text.
+    Tables are written ``{orders}`` in the text.  With ``long_by_row`` their rows are spread before.
     """
     used = {t: read(spark, sf_dir, t) for t in TABLES if f"{{{t}}}" in text}
-    return spark.sql(text, **used)
+    return spark.sql(text, **{t: spread(df) if long_by_row else df for t, df in used.items()})
 
 
 def plain(text: str) -> str:

@@ -148,3 +148,11 @@ def test_division_ends_with_its_own_end(values):
     assert values(markup.division(F.lit(page), "info")) == '<div class="k" id="info"><div>1</div>2<div><div>3</div></div>'
     assert values(markup.division(F.lit(page), "absent")) is None
     assert values(markup.division(F.lit("<div id=info>open <div>x"), "info")) == "<div id=info>open <div>x"
+    assert values(markup.division(F.lit(None).cast("string"), "info")) is None
+    wide = "\U0001f3e0" * 3 + "<div\nid='info'>\U0001f3e0\n<div id=info>1</div>\n</div>\U0001f3e0<div id='info'>2</div>"
+    assert values(markup.division(F.lit(wide), "info")) == "<div\nid='info'>\U0001f3e0\n<div id=info>1</div>\n"
+
+
+def test_a_value_named_several_times_is_worked_out_once(spark):
+    plan = spark.range(1).select(markup.clean(F.regexp_extract(F.concat(F.lit("a"), "id"), "a(.)", 1)).alias("v"))
+    assert plan._jdf.queryExecution().optimizedPlan().toString().count("regexp_extract(concat") == 1

@@ -4,8 +4,10 @@ import datetime as dt
 from decimal import Decimal
 
 import pytest
+from pyspark.sql import functions as F
 
 from panelwright.plans import listings, pages, workbook
+from panelwright.registry.pages import listing_page_fields
 from panelwright.sources.schemas import LISTING
 
 
@@ -128,3 +130,16 @@ def test_new_links_lose_nothing_and_keep_no_stored_page(spark):
     assert "bitmap_construct_agg" in plan
     sizes = [len(r["bitmap"]) for r in pages.bitmap_of(stored, bits=1 << 16).collect()]
     assert len(sizes) <= 2 and set(sizes) == {4096}
+
+
+def test_listing_pages_are_read_by_all_tasks(spark, tmp_path):
+    """One file of narrow rows, of which each becomes a page, is not one task."""
+    kinds = "p_partkey long, p_name string, p_brand string, p_type string, p_size int, p_retailprice double"
+    rows = [(i, "a name", f"Brand{i % 5}", "A TYPE", i % 50, 900.0 + i / 4) for i in range(400)] + [(None, None, None, None, None, None)] * 3
+    spark.createDataFrame([*rows, rows[7]], kinds).coalesce(1).write.parquet(f"{tmp_path}/part.parquet")
+    found = listing_page_fields(spark, str(tmp_path))
+    width = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    sizes = [r["count"] for r in found.groupBy(F.spark_partition_id()).count().collect()]
+    assert len(sizes) == width > 1 and sum(sizes) == len(rows) + 1 and max(sizes) < 2 * len(rows) / width
+    held = found.where("id = 7").collect()
+    assert len(held) == 2 and held[0] == held[1] and held[0]["Lot_size"] == "7 acres & more" and held[0]["listprice"] == "$ 901.75"
